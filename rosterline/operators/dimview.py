@@ -13,6 +13,7 @@ from ..functions.names import name_key
 from ..functions.rules import ROLE_RULES, Rule, classify, is_leader
 from ..schemas import VIEW_COLUMNS
 from .groups import rank_in_group, with_group_values
+from .spread import HOT_ROWS, HotKeys, hot_keys
 
 INACTIVE = "Inactive"
 
@@ -29,31 +30,36 @@ def subteam_active(title: Column, name: Column, active: Column, boss: Column) ->
 
 
 def first_role(df: DataFrame, person: str = "person_name", role: str = "job_class",
-               start: str = "valid_from", hired: str = "hire_date") -> DataFrame:
+               start: str = "valid_from", hired: str = "hire_date",
+               hot: HotKeys | None = None) -> DataFrame:
     """Add the day a person first held the role, and whether that is the hire date."""
-    df = with_group_values(df, [person, role], {"class_start": F.min(start)})
+    df = with_group_values(df, [person, role], {"class_start": F.min(start)}, hot=hot)
     flag = F.when(F.col("class_start") == F.col(hired), 1).otherwise(0)
     return df.withColumn("first_role_flag", flag)
 
 
-def ranked_versions(dim: DataFrame) -> DataFrame:
+def ranked_versions(dim: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Versions numbered per person from the oldest and from the latest; ties go by id."""
     return (
-        rank_in_group(dim, ["person_name"], order="valid_from", tie="id", size="_versions")
+        rank_in_group(dim, ["person_name"], order="valid_from", tie="id", size="_versions",
+                      hot=hot)
         .withColumn("reverse_rank_id", F.col("_versions") - F.col("rank_id") + 1)
         .drop("_versions")
     )
 
 
-def dim_view(dim: DataFrame, as_of: dt.date, rules: Sequence[Rule] = ROLE_RULES) -> DataFrame:
+def dim_view(dim: DataFrame, as_of: dt.date, rules: Sequence[Rule] = ROLE_RULES,
+             hot_rows: int = HOT_ROWS) -> DataFrame:
     """The dimension with ranks, adjusted starts, subteams, role class, age and first role.
 
     Versions touch in the dimension; in the view each later one starts a day after the one
     before ends. ``active`` holds for a person's whole tenure.
     """
     named = dim.withColumns({c: name_key(c) for c in ("person_name", "direct_report")})
-    ranked = with_group_values(
-        ranked_versions(named), ["person_name", "tenure_no"], {"_active": F.min("active")})
+    # A group within a person who is not hot is not hot either.
+    hot = hot_keys(named, ["person_name"], hot_rows)
+    ranked = with_group_values(ranked_versions(named, hot), ["person_name", "tenure_no"],
+                               {"_active": F.min("active")}, hot=hot)
     first = F.col("rank_id") == 1
     start, day_after = F.col("valid_from"), F.date_add("valid_from", 1)
     title, name = F.col("job_title"), F.col("person_name")
@@ -67,7 +73,7 @@ def dim_view(dim: DataFrame, as_of: dt.date, rules: Sequence[Rule] = ROLE_RULES)
         "job_class": classify(title, F.col("area"), F.col("valid_to"), rules),
         "age": age(F.col("birth_date"), F.lit(as_of)),
     })
-    return first_role(shaped).select(*VIEW_COLUMNS)
+    return first_role(shaped, hot=hot).select(*VIEW_COLUMNS)
 
 
 def latest_version(view: DataFrame) -> DataFrame:

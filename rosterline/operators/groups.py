@@ -1,7 +1,8 @@
-"""Group values, ranks, latest rows and duplicate keys without one task per group.
+"""Group values, ranks, latest rows and duplicate keys.
 
-Each of these starts with an aggregate, which Spark combines before the shuffle, and brings the
-result back with a join that splits hot keys.
+Groups of ordinary size use windows, several of which share one shuffle. If the count shows a hot
+group, its values come from an aggregate, which Spark combines before the shuffle, and a join
+that splits hot keys, so that no task gets a whole hot group.
 """
 
 from __future__ import annotations
@@ -11,32 +12,54 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .spread import HOT_ROWS, join_spread, renamed, same_keys
+from ..sources.tables import settle
+from .spread import HOT_ROWS, HotKeys, hot_keys, join_spread, renamed, same_keys
 
 ID_BLOCK = 1 << 22
 
 
 def with_group_values(df: DataFrame, keys: Sequence[str], values: dict[str, Column],
-                      where: Column | None = None, null_safe: bool = True,
-                      hot: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add aggregates over each group to its rows, as a whole-partition window would.
+                      where: Column | None = None, hot: HotKeys | None = None,
+                      hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Add aggregates over each group, or over its rows that pass ``where``, to all its rows.
 
-    With ``null_safe`` null keys form a group, as in a window; without, they get nulls, as in a
-    join.
+    Null keys form a group. ``values`` are plain aggregate expressions. ``hot`` may be on some of
+    the keys.
     """
+    hot = hot_keys(df, keys, hot_rows) if hot is None else hot
+    if not hot and where is None:
+        group = Window.partitionBy(*keys)
+        return df.withColumns({name: value.over(group) for name, value in values.items()})
+    if hot:
+        df = settle(df)
     source = df if where is None else df.filter(where)
     groups = source.groupBy(*keys).agg(*[v.alias(name) for name, v in values.items()])
-    return join_spread(df, groups, keys, "left", hot=hot, hot_rows=hot_rows,
-                       null_safe=null_safe)
+    return join_spread(df, groups, keys, "left", hot=hot, null_safe=True)
 
 
 def rank_in_group(df: DataFrame, keys: Sequence[str], order: str, tie: str,
-                  rank: str = "rank_id", size: str | None = None) -> DataFrame:
-    """Number a group's rows by (order, tie); ``tie`` is a unique whole number.
+                  rank: str = "rank_id", size: str | None = None, hot: HotKeys | None = None,
+                  hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Number a group's rows by (order, tie), and with ``size`` add the group's row count.
 
-    A group is cut into steps of one ``order`` value and one block of ``tie`` values, so no step
-    has more than ID_BLOCK rows and the join back needs no splitting. Windows run over the
-    steps' counts and within steps only.
+    ``tie`` is a unique whole number.
+    """
+    hot = hot_keys(df, keys, hot_rows) if hot is None else hot
+    if hot:
+        return _rank_by_steps(settle(df), keys, order, tie, rank, size)
+    group = Window.partitionBy(*keys)
+    ranked = df.withColumn(rank, F.row_number().over(group.orderBy(order, tie)))
+    if size:
+        ranked = ranked.withColumn(size, F.count(F.lit(1)).over(group).cast("int"))
+    return ranked
+
+
+def _rank_by_steps(df: DataFrame, keys: Sequence[str], order: str, tie: str, rank: str,
+                   size: str | None) -> DataFrame:
+    """Rank hot groups in steps of one ``order`` value and one block of ``tie`` values.
+
+    No step has more than ID_BLOCK rows, as ``tie`` is unique. Windows run over the steps' counts
+    and within steps only.
     """
     steps_by = [*keys, order, "_block"]
     df = df.withColumn("_block", F.floor(F.col(tie) / ID_BLOCK))
@@ -67,7 +90,7 @@ def latest_rows(df: DataFrame, keys: Sequence[str], order: str, tie: str | None
     """
     if keep_ties:
         tops = df.groupBy(*keys).agg(F.max(order).alias(order))
-        return df.join(tops, [*keys, order], "inner").select(*df.columns)
+        return join_spread(df, tops, [*keys, order], "left_semi")
     rest = [c for c in df.columns if c not in keys]
     by = F.struct(order, tie) if tie else F.struct(order)
     best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), by).alias("_best"))

@@ -21,7 +21,8 @@ from ..functions.names import name_key
 from ..functions.rules import first_match, manager_words
 from ..sources.tables import settle
 from .dimview import INACTIVE, latest_version
-from .spread import HOT_ROWS, PART, hot_keys, join_parts, join_spread, repeat_right, split_left
+from .spread import (HOT_ROWS, PART, HotKeys, hot_keys, join_parts, join_spread, repeat_right,
+                     split_left)
 from .timeline import calendar_bounds, clip_days, explode_days, uncovered_days
 
 DEPTH = 7
@@ -49,7 +50,7 @@ def _nodes(versions: DataFrame, *keep: str) -> DataFrame:
         level.alias("_level"))
 
 
-def _add_level(nodes: DataFrame, above: DataFrame, hot: DataFrame, dated: bool) -> DataFrame:
+def _add_level(nodes: DataFrame, above: DataFrame, hot: HotKeys, dated: bool) -> DataFrame:
     """Put each node before its boss's chain; ``nodes`` carry part numbers.
 
     In a dated walk the result is cut to the days both have in common.
@@ -60,7 +61,7 @@ def _add_level(nodes: DataFrame, above: DataFrame, hot: DataFrame, dated: bool)
         above = above.withColumnsRenamed({d: f"_above_{d}" for d in DAYS})
         where = ((F.col(DAYS[0]) <= F.col(f"_above_{DAYS[1]}"))
                  & (F.col(f"_above_{DAYS[0]}") <= F.col(DAYS[1])))
-    joined = join_parts(nodes, repeat_right(above, ["_boss"], hot), ["_boss"], "left", where)
+    joined = join_parts(nodes, repeat_right(above, hot), ["_boss"], "left", where)
     own = F.array("_level")
     chain = F.when(F.col("_above").isNull(), own).otherwise(F.concat(own, F.col("_above")))
     if dated:
@@ -72,7 +73,7 @@ def _add_level(nodes: DataFrame, above: DataFrame, hot: DataFrame, dated: bool)
     return joined.withColumn(CHAIN, chain).drop("_above", "_level")
 
 
-def walk_up(nodes: DataFrame, depth: int = DEPTH, hot: DataFrame | None = None,
+def walk_up(nodes: DataFrame, depth: int = DEPTH, hot: HotKeys | None = None,
             days: tuple[Column, Column] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``_chain``, the levels from the node itself up to ``depth``; parts stay on.
 
@@ -88,7 +89,7 @@ def walk_up(nodes: DataFrame, depth: int = DEPTH, hot: DataFrame | None = None,
         narrow = narrow.filter(F.col(DAYS[0]).isNotNull())
     names = narrow.select(F.col("_boss").alias("_name")).distinct()
     bosses = join_spread(narrow, names, ["_name"], "left_semi", hot_rows=hot_rows)
-    bosses_in_parts = split_left(bosses, ["_boss"], hot)
+    bosses_in_parts = split_left(bosses, hot)
     kept = ["_name", CHAIN, *(DAYS if dated else ())]
     above = bosses.withColumn(CHAIN, F.array("_level")).select(*kept)
     absent = None
@@ -99,7 +100,7 @@ def walk_up(nodes: DataFrame, depth: int = DEPTH, hot: DataFrame | None = None,
         full = above.unionByName(absent, allowMissingColumns=True) if dated else above
         above = _add_level(bosses_in_parts, full, hot, dated).select(*kept)
     full = above.unionByName(absent, allowMissingColumns=True) if dated else above
-    return _add_level(split_left(nodes, ["_boss"], hot), full, hot, dated)
+    return _add_level(split_left(nodes, hot), full, hot, dated)
 
 
 def _level(n: int) -> Column:
@@ -187,7 +188,7 @@ def manager_periods(view: DataFrame, calendar: DataFrame, as_of: dt.date,
     nodes = settle(_nodes(open_days(view, calendar, as_of), *OWN_COLUMNS, *DAYS))
     hot = hot_keys(nodes, ["_boss"], hot_rows)
     walked = walk_up(nodes, max_depth, hot, calendar_bounds(calendar))
-    walked = join_parts(walked, repeat_right(bosses, ["_boss"], hot), ["_boss"]).drop(PART)
+    walked = join_parts(walked, repeat_right(bosses, hot), ["_boss"]).drop(PART)
     walked = _with_manager_level(walked, max_depth)
     manager = F.when(F.col("manager_level") == 0,
                      F.coalesce("_boss_manager", F.lit(INACTIVE))).otherwise(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .spread import HOT_ROWS, join_spread
+from .spread import HOT_ROWS, HotKeys, join_spread
 
 
 def not_in(left: DataFrame, right: DataFrame, on: Sequence[str], **spread) -> DataFrame:
@@ -42,7 +42,7 @@ def update_from(df: DataFrame, updates: DataFrame, on: Sequence[str],
 
 def join_valid_at(facts: DataFrame, dim: DataFrame, on: Sequence[str], at: str,
                   start: str = "valid_from", end: str = "valid_to", how: str = "left",
-                  hot: DataFrame | None = None, hot_rows: int = HOT_ROWS,
+                  hot: HotKeys | None = None, hot_rows: int = HOT_ROWS,
                   spread_by: Sequence[str] | None = None) -> DataFrame:
     """Facts with the dimension versions valid on their day, both ends included.
 

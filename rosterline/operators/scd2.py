@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from .dimview import INACTIVE
 from .groups import with_group_values
 from .ids import dense_ids, max_value
 from .joins import changed, ends_within, not_in, update_from
-from .spread import join_spread
+from .spread import HotKeys, join_spread
 
 PERSON = "person_name"
 FROM_SNAPSHOT = (PERSON, *TRACKED, "hire_date")
@@ -53,7 +55,7 @@ def _with_ids(rows: DataFrame, dim: DataFrame, order: Sequence[str]) -> DataFram
 
 
 def scd2_new_entities(dim: DataFrame, snap: DataFrame, as_of: dt.date,
-                      hot: DataFrame | None = None) -> DataFrame:
+                      hot: HotKeys | None = None) -> DataFrame:
     """Add a first version for every snapshot person the dimension does not know."""
     known = {
         **{c: F.col(c) for c in FROM_SNAPSHOT},
@@ -97,7 +99,7 @@ def _differs(tracked: Sequence[str], null_safe: bool) -> Column:
 
 def scd2_close_changed(dim: DataFrame, snap: DataFrame, as_of: dt.date,
                        tracked: Sequence[str] = TRACKED, null_safe: bool = False,
-                       hot: DataFrame | None = None) -> DataFrame:
+                       hot: HotKeys | None = None) -> DataFrame:
     """Close open versions of active persons whose tracked attributes changed.
 
     A change from or to null counts with ``null_safe`` only.
@@ -113,7 +115,7 @@ def scd2_close_changed(dim: DataFrame, snap: DataFrame, as_of: dt.date,
 def scd2_new_versions(dim: DataFrame, snap: DataFrame, as_of: dt.date,
                       tracked: Sequence[str] = TRACKED, carry: Sequence[str] = CARRIED,
                       null_safe: bool = False, rehire: bool = False,
-                      hot: DataFrame | None = None) -> DataFrame:
+                      hot: HotKeys | None = None) -> DataFrame:
     """Open a version for persons whose versions are all closed and one of them differs.
 
     Attributes come from the snapshot, those in ``carry`` from the person's latest row. The
@@ -160,7 +162,7 @@ def scd2_new_versions(dim: DataFrame, snap: DataFrame, as_of: dt.date,
 
 
 def scd2_soft_delete(dim: DataFrame, snap: DataFrame, as_of: dt.date, exempt: str | None = None,
-                     hot: DataFrame | None = None) -> DataFrame:
+                     hot: HotKeys | None = None) -> DataFrame:
     """End open versions of active persons the snapshot no longer lists; they stay not dead.
 
     ``exempt`` is a LIKE pattern for names to leave alone.
@@ -178,7 +180,7 @@ def scd2_soft_delete(dim: DataFrame, snap: DataFrame, as_of: dt.date, exempt: st
 
 
 def backfill(dim: DataFrame, src: DataFrame, key: str = PERSON, col: str = "termination_date",
-             sentinel: str | None = None, hot: DataFrame | None = None) -> DataFrame:
+             sentinel: str | None = None, hot: HotKeys | None = None) -> DataFrame:
     """Fill ``col`` of inactive persons from another list, where it is null or the sentinel.
 
     If the list has several values for a key, the greatest is taken.
@@ -194,22 +196,26 @@ def backfill(dim: DataFrame, src: DataFrame, key: str = PERSON, col: str = "term
 
 
 def spread_by_group(dim: DataFrame, group: Sequence[str], values: dict[str, Column],
-                    where: Column | None = None, hot: DataFrame | None = None) -> DataFrame:
-    """Write group aggregates over the rows that pass ``where`` to all rows of the group."""
+                    where: Column | None = None, hot: HotKeys | None = None) -> DataFrame:
+    """Write group aggregates over the rows that pass ``where`` to all rows of the group.
+
+    Rows with a null in the group columns keep their values.
+    """
     named = {f"_group_{c}": v for c, v in values.items()}
+    grouped = reduce(and_, (F.col(c).isNotNull() for c in group))
     return (
-        with_group_values(dim, group, named, where, null_safe=False, hot=hot)
-        .withColumns({c: F.coalesce(f"_group_{c}", c) for c in values})
+        with_group_values(dim, group, named, where, hot=hot)
+        .withColumns({c: F.coalesce(F.when(grouped, F.col(f"_group_{c}")), c) for c in values})
         .select(*dim.columns)
     )
 
 
-def spread_termination(dim: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def spread_termination(dim: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Give all versions of a tenure its last termination date and its activity."""
     return spread_by_group(
         dim, [PERSON, "tenure_no"],
-        {"active": F.min("active"), "termination_date": F.max("termination_date")},
-        where=F.col("termination_date").isNotNull(), hot=hot)
+        {"active": F.min(F.when(F.col("termination_date").isNotNull(), F.col("active"))),
+         "termination_date": F.max("termination_date")}, hot=hot)
 
 
 def clamp_valid_to(dim: DataFrame) -> DataFrame:
@@ -241,7 +247,7 @@ def _boss_periods(dim: DataFrame) -> DataFrame:
 
 
 def effective_manager(dim: DataFrame, full_overlap: bool = False,
-                      hot_bosses: DataFrame | None = None) -> DataFrame:
+                      hot_bosses: HotKeys | None = None) -> DataFrame:
     """Fill ``effective_boss``: who answered for a person during a version.
 
     The named boss if an open version of theirs touches this one; else the boss if their current
@@ -284,7 +290,7 @@ def apply_defaults(dim: DataFrame, overrides: DataFrame | None = None,
 
 
 def enrich(dim: DataFrame, src: DataFrame, key: str = PERSON,
-           cols: Sequence[str] = ("birth_date",), hot: DataFrame | None = None) -> DataFrame:
+           cols: Sequence[str] = ("birth_date",), hot: HotKeys | None = None) -> DataFrame:
     """Fill missing ``cols`` from another list; of several values the greatest is taken."""
     values = src.groupBy(key).agg(*[F.max(c).alias(f"_src_{c}") for c in cols])
     return (

@@ -1,17 +1,19 @@
 """Equi joins whose hot keys are split over many tasks.
 
-A key with more than ``hot_rows`` rows on the left is cut into parts: its left rows get a part
-number from a hash of the row, its right rows are repeated once per part. Every left row still
-meets every right row of its key exactly once, so results do not change. The hash makes the part
-number the same when a task is run again.
-
-The list of hot keys is broadcast. It cannot hold more than ``rows(left) / hot_rows`` entries:
-with the default, 10^12 left rows give at most 250,000 keys.
+Rows are counted per key first. A key with more than ``hot_rows`` rows on the left is cut into
+parts: its left rows get a part number from a hash of the row, its right rows are repeated once
+per part. Every left row still meets every right row of its key exactly once, so results do not
+change. The hash makes the part number the same when a task is run again. Where no key is hot,
+which the count tells, the join is an ordinary one.
+
+The list of hot keys goes through the driver and is broadcast. It cannot hold more than
+``rows(left) / hot_rows`` entries: with the default, 10^12 left rows give at most 250,000 keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -23,6 +25,17 @@ NULL_PARTS = 1024  # rows with a null key match nothing; they are only kept from
 PART = "_part"
 
 
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys with very many rows and the parts each is cut into; no table if there are none."""
+
+    on: tuple[str, ...]
+    table: DataFrame | None
+
+    def __bool__(self) -> bool:
+        return self.table is not None
+
+
 def same_keys(on: Sequence[str], prefix: str, null_safe: bool = False) -> Column:
     """Equality of each column with its renamed partner."""
     pairs = [(F.col(k), F.col(prefix + k)) for k in on]
@@ -33,42 +46,46 @@ def renamed(df: DataFrame, on: Sequence[str], prefix: str) -> DataFrame:
     return df.withColumnsRenamed({k: prefix + k for k in on})
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS,
-             weight: Column | None = None) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, with the number of parts each is cut into."""
-    rows = F.sum(weight) if weight is not None else F.count(F.lit(1))
-    return (
-        df.groupBy(*on).agg(rows.alias("_rows"))
+def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> HotKeys:
+    """Count rows per key and keep the keys with more than ``hot_rows``. Runs a job."""
+    found = (
+        df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > hot_rows)
         .select(*on, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_parts"))
     )
+    rows = found.collect()
+    table = df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    return HotKeys(tuple(on), table)
 
 
-def _with_parts(df: DataFrame, on: Sequence[str], hot: DataFrame, null_safe: bool) -> DataFrame:
-    hot = renamed(hot, on, "_hot_")
+def _with_parts(df: DataFrame, hot: HotKeys, null_safe: bool) -> DataFrame:
+    table = renamed(hot.table, hot.on, "_hot_")
     return (
-        df.join(F.broadcast(hot), same_keys(on, "_hot_", null_safe), "left")
-        .drop(*[f"_hot_{k}" for k in on])
+        df.join(F.broadcast(table), same_keys(hot.on, "_hot_", null_safe), "left")
+        .drop(*[f"_hot_{k}" for k in hot.on])
     )
 
 
-def split_left(df: DataFrame, on: Sequence[str], hot: DataFrame,
-               spread_by: Sequence[str] | None = None, null_safe: bool = False) -> DataFrame:
-    """Add the part number to the side that has the hot keys."""
+def split_left(df: DataFrame, hot: HotKeys, spread_by: Sequence[str] | None = None,
+               null_safe: bool = False) -> DataFrame:
+    """Add the part number to the side that has the hot keys, if there are any."""
+    if not hot:
+        return df
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     if not null_safe:
-        no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in on))
+        no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in hot.on))
         parts = F.when(no_key, F.lit(NULL_PARTS)).otherwise(parts)
     part = F.pmod(F.xxhash64(*(spread_by or df.columns)), parts).cast("int")
-    return _with_parts(df, on, hot, null_safe).withColumn(PART, part).drop("_parts")
+    return _with_parts(df, hot, null_safe).withColumn(PART, part).drop("_parts")
 
 
-def repeat_right(df: DataFrame, on: Sequence[str], hot: DataFrame,
-                 null_safe: bool = False) -> DataFrame:
-    """Repeat the rows of hot keys once per part."""
+def repeat_right(df: DataFrame, hot: HotKeys, null_safe: bool = False) -> DataFrame:
+    """Repeat the rows of hot keys once per part, if there are any."""
+    if not hot:
+        return df
     last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
     return (
-        _with_parts(df, on, hot, null_safe)
+        _with_parts(df, hot, null_safe)
         .withColumn(PART, F.explode(F.sequence(F.lit(0), last)))
         .drop("_parts")
     )
@@ -76,28 +93,31 @@ def repeat_right(df: DataFrame, on: Sequence[str], hot: DataFrame,
 
 def join_parts(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
                where: Column | None = None, null_safe: bool = False) -> DataFrame:
-    """Join two sides that carry part numbers; the left's part number stays."""
-    keys = [*on, PART]
+    """Join two sides made by split_left and repeat_right; the left's part number stays."""
+    by_part = PART in left.columns
+    keys = [*on, PART] if by_part else [*on]
     right = renamed(right, keys, "_r_")
-    condition = same_keys(on, "_r_", null_safe) & (F.col(PART) == F.col(f"_r_{PART}"))
+    condition = same_keys(on, "_r_", null_safe)
+    if by_part:
+        condition &= F.col(PART) == F.col(f"_r_{PART}")
     if where is not None:
         condition &= where
     return left.join(right, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def join_spread(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-                where: Column | None = None, *, hot: DataFrame | None = None,
+                where: Column | None = None, *, hot: HotKeys | None = None,
                 hot_rows: int = HOT_ROWS, spread_by: Sequence[str] | None = None,
                 null_safe: bool = False) -> DataFrame:
     """Join on columns both sides name alike, plus an optional condition, splitting hot keys.
 
-    Columns other than the keys must have different names on both sides. ``hot`` takes a list
-    from :func:`hot_keys`, to save counting when the left side is costly or used again.
+    Columns other than the keys must have different names on both sides. ``hot`` takes the result
+    of :func:`hot_keys`, to save counting when the left side is costly or used again; its columns
+    may be some of the join's.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"join_spread keeps the left side whole; how={how!r} does not")
-    on = [on] if isinstance(on, str) else list(on)
     hot = hot_keys(left, on, hot_rows) if hot is None else hot
-    left = split_left(left, on, hot, spread_by, null_safe)
-    right = repeat_right(right, on, hot, null_safe)
+    left = split_left(left, hot, spread_by, null_safe)
+    right = repeat_right(right, hot, null_safe)
     return join_parts(left, right, on, how, where, null_safe).drop(PART)

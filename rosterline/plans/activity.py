@@ -111,9 +111,8 @@ def stamp_activities(activities: DataFrame, tables: StampTables, day: str = "act
     versions comes out several times.
     """
     hot = hot_keys(activities, OWNER, hot_rows)
-    facts = split_left(_with_outcome(activities, tables.dispositions), OWNER, hot,
-                       ["activity_id"])
-    staff = repeat_right(staff_lookup(tables.staff, tables.cohorts), OWNER, hot)
+    facts = split_left(_with_outcome(activities, tables.dispositions), hot, ["activity_id"])
+    staff = repeat_right(staff_lookup(tables.staff, tables.cohorts), hot)
     stamped = _stamp(facts, staff, tables.calendar, F.col(day), "", "activity_type", options)
     return stamped.select(*ACTIVITY_COLUMNS, *_stamp_columns())
 
@@ -129,10 +128,9 @@ def activity_analysis(activities: DataFrame, tables: StampTables, day: str = "ac
     the activities are shuffled once.
     """
     hot = hot_keys(activities, OWNER, hot_rows)
-    facts = split_left(_with_outcome(activities, tables.dispositions), OWNER, hot,
-                       ["activity_id"])
+    facts = split_left(_with_outcome(activities, tables.dispositions), hot, ["activity_id"])
     prefix = "creation_"
-    staff = repeat_right(staff_lookup(tables.staff, tables.cohorts), OWNER, hot)
+    staff = repeat_right(staff_lookup(tables.staff, tables.cohorts), hot)
     at_creation = staff.toDF(*[c if c in (*OWNER, PART) else prefix + c for c in staff.columns])
     stamped = _stamp(facts, staff, tables.calendar, F.col(day), "", "activity_type", options)
     stamped = _stamp(stamped, at_creation, tables.calendar, F.col(creation_day), prefix,

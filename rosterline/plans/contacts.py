@@ -55,9 +55,9 @@ def contact_analysis(contacts: DataFrame, tables: ContactTables,
     facts = join_spread(contacts, companies, ["company_id"], "left", hot_rows=hot_rows,
                         spread_by=by_id)
     dated = on_calendar(facts, tables.calendar, F.col("created_at").cast("date"), "original_")
-    staff = repeat_right(staff_lookup(tables.staff, tables.cohorts), OWNER, hot)
+    staff = repeat_right(staff_lookup(tables.staff, tables.cohorts), hot)
     valid = F.col("original_dte").between(F.col("valid_from"), F.col("valid_to"))
-    owned = join_parts(split_left(dated, OWNER, hot, by_id), staff, OWNER, "left", valid)
+    owned = join_parts(split_left(dated, hot, by_id), staff, OWNER, "left", valid)
     adjusted = adjusted_date(owned, "original_dte", "hire_date", tables.calendar)
     # Managers are keyed by owner too, so that the parts of hot owners serve for this join.
     managers = join_spread(
@@ -65,7 +65,7 @@ def contact_analysis(contacts: DataFrame, tables: ContactTables,
         tables.staff.select("owner_id", "person_name").distinct(), ["person_name"], "inner",
         hot_rows=hot_rows)
     on_day = F.col("adj_dte").between(F.col("first_day"), F.col("last_day"))
-    managed = join_parts(adjusted, repeat_right(managers, OWNER, hot),
+    managed = join_parts(adjusted, repeat_right(managers, hot),
                          [*OWNER, "person_name"], "left", on_day).drop(PART)
     # Adjusted dates count Monday weeks, original ones Sunday weeks.
     metrics = tenure_metrics(managed, "adj_dte", "hire_date", first_day="mon")
