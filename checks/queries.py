@@ -132,13 +132,13 @@ def staff_view(t):
 
 @query("classify_role")
 def role_class(t):
-    return t.staff.select("id", "job_title", "area", "valid_to", classify(
-        F.col("job_title"), F.col("area"), F.col("valid_to")).alias("job_class"))
+    return t.staff.select("id", "job_title", "area", "valid_to", 
+                          classify().alias("job_class"))
 
 
 @query("subteam")
 def teams(t):
-    title, name = F.col("job_title"), F.col("person_name")
+    title, name = "job_title", F.col("person_name")
     return t.staff.select(
         "id", subteam(title, name, F.col("direct_report")).alias("subteam"),
         subteam_active(title, name, F.col("active"), F.col("effective_boss"))

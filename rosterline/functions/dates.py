@@ -6,14 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Days from the last Sunday or Monday before it to 1970-01-01, a Thursday.
+DAYS_TO_EPOCH = {"sun": 4, "mon": 3}
+
+
+def week_number(day: Column, first_day: str = "sun") -> Column:
+    """Number of the week since 1970, for weeks that start on 'sun' or 'mon'."""
+    if first_day not in DAYS_TO_EPOCH:
+        raise ValueError(f"first_day must be 'sun' or 'mon', not {first_day!r}")
+    return F.floor((F.unix_date(day) + DAYS_TO_EPOCH[first_day]) / 7)
+
+
 def weeks_between(a: Column, b: Column, first_day: str = "sun") -> Column:
     """Week boundaries crossed from a to b, for weeks that start on 'sun' or 'mon'."""
-    if first_day not in ("sun", "mon"):
-        raise ValueError(f"first_day must be 'sun' or 'mon', not {first_day!r}")
-    # trunc() starts weeks on Monday; moving both dates a day ahead makes that Sunday.
-    ahead = 1 if first_day == "sun" else 0
-    start_a, start_b = (F.trunc(F.date_add(d, ahead), "week") for d in (a, b))
-    return (F.datediff(start_b, start_a) / 7).cast("int")
+    return (week_number(b, first_day) - week_number(a, first_day)).cast("int")
 
 
 def month_diff(a: Column, b: Column) -> Column:

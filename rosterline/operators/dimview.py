@@ -18,12 +18,12 @@ from .spread import HOT_ROWS, HotKeys, hot_keys
 INACTIVE = "Inactive"
 
 
-def subteam(title: Column, name: Column, boss: Column) -> Column:
+def subteam(title: str, name: Column, boss: Column) -> Column:
     """Leaders are their own subteam, others belong to their boss."""
     return F.when(is_leader(title), name).otherwise(boss)
 
 
-def subteam_active(title: Column, name: Column, active: Column, boss: Column) -> Column:
+def subteam_active(title: str, name: Column, active: Column, boss: Column) -> Column:
     """As :func:`subteam`, with leaders who left marked and the effective boss for others."""
     own = F.when(active == 0, F.lit(INACTIVE)).otherwise(name)
     return F.when(is_leader(title), own).otherwise(boss)
@@ -62,7 +62,7 @@ def dim_view(dim: DataFrame, as_of: dt.date, rules: Sequence[Rule] = ROLE_RULES,
                                {"_active": F.min("active")}, hot=hot)
     first = F.col("rank_id") == 1
     start, day_after = F.col("valid_from"), F.date_add("valid_from", 1)
-    title, name = F.col("job_title"), F.col("person_name")
+    title, name = "job_title", F.col("person_name")
     shaped = ranked.withColumns({
         "active": F.col("_active"),
         "valid_from": F.when(first, start).otherwise(day_after),
@@ -70,7 +70,7 @@ def dim_view(dim: DataFrame, as_of: dt.date, rules: Sequence[Rule] = ROLE_RULES,
         "subteam": subteam(title, name, F.col("direct_report")),
         "subteam_active": subteam_active(
             title, name, F.col("_active"), F.col("effective_boss")),
-        "job_class": classify(title, F.col("area"), F.col("valid_to"), rules),
+        "job_class": classify(title, rules=rules),
         "age": age(F.col("birth_date"), F.lit(as_of)),
     })
     return first_role(shaped, hot=hot).select(*VIEW_COLUMNS)

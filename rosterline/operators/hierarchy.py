@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import name_key
-from ..functions.rules import first_match, manager_words
+from ..functions.rules import manager_words
 from ..sources.tables import settle
 from .dimview import INACTIVE, latest_version
 from .spread import (HOT_ROWS, PART, HotKeys, hot_keys, join_parts, join_spread, repeat_right,
@@ -42,8 +42,7 @@ def _nodes(versions: DataFrame, *keep: str) -> DataFrame:
         F.col("job_title").alias("title"),
         F.col("job_class").alias("class"),
         F.col("termination_date").isNotNull().alias("left_company"),
-        *[flag.alias(name) for name, flag in
-          manager_words(F.col("job_title"), F.col("area")).items()],
+        *[flag.alias(name) for name, flag in manager_words().items()],
     )
     return versions.select(
         *keep, name_key("person_name").alias("_name"), name_key("direct_report").alias("_boss"),
@@ -73,8 +72,14 @@ def _add_level(nodes: DataFrame, above: DataFrame, hot: HotKeys, dated: bool) ->
     return joined.withColumn(CHAIN, chain).drop("_above", "_level")
 
 
-def walk_up(nodes: DataFrame, depth: int = DEPTH, hot: HotKeys | None = None,
-            days: tuple[Column, Column] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def _hot_names(nodes: DataFrame, hot_rows: int) -> HotKeys:
+    """Names that occur very often, as a person's own or as the boss's, in one list."""
+    names = nodes.select(F.explode(F.array("_boss", "_name")).alias("_boss"))
+    return hot_keys(names, ["_boss"], hot_rows)
+
+
+def walk_up(nodes: DataFrame, depth: int, hot: HotKeys,
+            days: tuple[Column, Column] | None = None) -> DataFrame:
     """Add ``_chain``, the levels from the node itself up to ``depth``; parts stay on.
 
     ``days``, the calendar's first and last, makes the walk a dated one: rows are split where
@@ -83,12 +88,11 @@ def walk_up(nodes: DataFrame, depth: int = DEPTH, hot: HotKeys | None = None,
     if depth < 2:
         raise ValueError("a chain has at least two levels")
     dated = days is not None
-    hot = hot_keys(nodes, ["_boss"], hot_rows) if hot is None else hot
     narrow = nodes.select("_name", "_boss", "_level", *(DAYS if dated else ()))
     if dated:
         narrow = narrow.filter(F.col(DAYS[0]).isNotNull())
     names = narrow.select(F.col("_boss").alias("_name")).distinct()
-    bosses = join_spread(narrow, names, ["_name"], "left_semi", hot_rows=hot_rows)
+    bosses = join_spread(narrow, names, ["_name"], "left_semi", hot=hot.named("_name"))
     bosses_in_parts = split_left(bosses, hot)
     kept = ["_name", CHAIN, *(DAYS if dated else ())]
     above = bosses.withColumn(CHAIN, F.array("_level")).select(*kept)
@@ -107,23 +111,18 @@ def _level(n: int) -> Column:
     return F.get(CHAIN, F.lit(n - 1))
 
 
-def _manager_tests(depth: int) -> list[Column]:
-    """The manager test at each level; unknown, so not passed, where a level is missing."""
-    tests = []
-    for n in range(1, depth + 1):
-        here = _level(n)
-        vp = here["says_vp"]
-        if n > 1:
-            vp = vp & ~_level(n - 1)["says_manager"]
-        tests.append((here["says_manager"] | vp | here["other_head"]) & ~here["says_key"])
-    return tests
+def _manager_test(n: int) -> str:
+    """The manager test at level n; unknown, so not passed, where a level is missing."""
+    here, below = f"get({CHAIN}, {n - 1})", f"get({CHAIN}, {n - 2})"
+    vp = f"{here}.says_vp" + (f" and not {below}.says_manager" if n > 1 else "")
+    return f"({here}.says_manager or {vp} or {here}.other_head) and not {here}.says_key"
 
 
 def _with_manager_level(df: DataFrame, depth: int) -> DataFrame:
-    levels = [(test, F.lit(n)) for n, test in enumerate(_manager_tests(depth), start=1)]
-    found = F.col("manager_level")
-    return (df.withColumn("manager_level", first_match(levels, F.lit(0)))
-            .withColumn("_manager", F.get(CHAIN, found - 1)))
+    """Add the first level that passes the test, 0 for none, and that level's struct."""
+    branches = " ".join(f"when {_manager_test(n)} then {n}" for n in range(1, depth + 1))
+    return (df.withColumn("manager_level", F.expr(f"case {branches} else 0 end"))
+            .withColumn("_manager", F.get(CHAIN, F.col("manager_level") - 1)))
 
 
 def current_manager(view: DataFrame, max_depth: int = DEPTH, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -133,7 +132,11 @@ def current_manager(view: DataFrame, max_depth: int = DEPTH, hot_rows: int = HOT
     has left and 'Other' if there is none.
     """
     nodes = settle(_nodes(latest_version(view), "person_name", "job_title", "direct_report"))
-    walked = _with_manager_level(walk_up(nodes, max_depth, hot_rows=hot_rows), max_depth)
+    return _current_manager(nodes, max_depth, _hot_names(nodes, hot_rows))
+
+
+def _current_manager(nodes: DataFrame, max_depth: int, hot: HotKeys) -> DataFrame:
+    walked = _with_manager_level(walk_up(nodes, max_depth, hot), max_depth)
     manager = (F.when(F.col("manager_level") == 0, F.lit(NO_MANAGER))
                .when(F.col("_manager.left_company"), F.lit(INACTIVE))
                .otherwise(F.col("_manager.name")))
@@ -178,15 +181,14 @@ def manager_periods(view: DataFrame, calendar: DataFrame, as_of: dt.date,
     The first level that passes the manager test on the day is the manager. If there is none,
     it is the current manager of the boss, else 'Inactive'.
     """
-    view = settle(view.select("reverse_rank_id", "valid_from", "valid_to", "termination_date",
-                              *OWN_COLUMNS))
+    nodes = settle(_nodes(open_days(view, calendar, as_of), "reverse_rank_id", *OWN_COLUMNS,
+                          *DAYS))
+    hot = _hot_names(nodes, hot_rows)
     if current is None:
-        current = current_manager(view, max_depth, hot_rows)
+        current = _current_manager(latest_version(nodes), max_depth, hot)
     bosses = current.select(
         name_key("person_name").alias("_boss"), F.col("job_title").alias("direct_report_title"),
         F.col("manager").alias("_boss_manager"))
-    nodes = settle(_nodes(open_days(view, calendar, as_of), *OWN_COLUMNS, *DAYS))
-    hot = hot_keys(nodes, ["_boss"], hot_rows)
     walked = walk_up(nodes, max_depth, hot, calendar_bounds(calendar))
     walked = join_parts(walked, repeat_right(bosses, hot), ["_boss"]).drop(PART)
     walked = _with_manager_level(walked, max_depth)

@@ -35,6 +35,12 @@ class HotKeys:
     def __bool__(self) -> bool:
         return self.table is not None
 
+    def named(self, *on: str) -> HotKeys:
+        """The same keys under other column names."""
+        if self.table is None:
+            return HotKeys(on, None)
+        return HotKeys(on, self.table.withColumnsRenamed(dict(zip(self.on, on))))
+
 
 def same_keys(on: Sequence[str], prefix: str, null_safe: bool = False) -> Column:
     """Equality of each column with its renamed partner."""
@@ -48,14 +54,36 @@ def renamed(df: DataFrame, on: Sequence[str], prefix: str) -> DataFrame:
 
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> HotKeys:
     """Count rows per key and keep the keys with more than ``hot_rows``. Runs a job."""
+    return hot_keys_each(df, [on], hot_rows)[0]
+
+
+def hot_keys_each(df: DataFrame, ons: Sequence[Sequence[str]],
+                  hot_rows: int = HOT_ROWS) -> list[HotKeys]:
+    """Hot keys by several sets of columns, counted in one pass."""
+    columns = list(dict.fromkeys(c for on in ons for c in on))
+    if len(ons) == 1:
+        grouped, which = df.groupBy(*columns), F.lit(0)
+    else:
+        grouped = df.groupingSets([[F.col(c) for c in on] for on in ons],
+                                  *map(F.col, columns))
+        which = F.grouping_id()
     found = (
-        df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+        grouped.agg(F.count(F.lit(1)).alias("_rows"), which.cast("long").alias("_set"))
         .filter(F.col("_rows") > hot_rows)
-        .select(*on, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_parts"))
+        .select(*columns, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_parts"), "_set")
     )
     rows = found.collect()
-    table = df.sparkSession.createDataFrame(rows, found.schema) if rows else None
-    return HotKeys(tuple(on), table)
+    if not rows:
+        return [HotKeys(tuple(on), None) for on in ons]
+    table = df.sparkSession.createDataFrame(rows, found.schema)
+    results = []
+    for on in ons:
+        # grouping_id() has a bit for every column, the first highest, set if it is left out
+        number = int("".join("0" if c in on else "1" for c in columns), 2)
+        is_hot = any(r["_set"] == number for r in rows)
+        mine = table.filter(F.col("_set") == number).select(*on, "_parts")
+        results.append(HotKeys(tuple(on), mine if is_hot else None))
+    return results
 
 
 def _with_parts(df: DataFrame, hot: HotKeys, null_safe: bool) -> DataFrame:

@@ -45,6 +45,13 @@ def tenure_metrics(df: DataFrame, event: str, start: str, kind: str | None = Non
     else:
         raise ValueError(f"month_mode must be 'calendar' or 'rounded', not {month_mode!r}")
     months = months + F.when(F.dayofmonth(since) <= EARLY_HIRE_DAY, 1).otherwise(0)
+    actual = f"{prefix}actual_" if actual_prefix is None else actual_prefix
+    df = df.withColumns({
+        f"{prefix}days_since_entry": days,
+        f"{actual}weeks_since_entry": weeks.cast("int"),
+        f"{actual}months_since_entry": months.cast("int"),
+    })
+    days, weeks, months = (F.col(c) for c in df.columns[-3:])
     capped_weeks = cap(weeks, LAST_WEEK, LAST_WEEK + 1)
     if meeting_rule:
         if kind is None:
@@ -52,11 +59,8 @@ def tenure_metrics(df: DataFrame, event: str, start: str, kind: str | None = Non
         soon = (F.col(kind) == "MEETING") & days.between(*MEETING_DAYS)
         capped_weeks = F.when(soon, MEETING_WEEK).otherwise(capped_weeks)
         weeks = F.when(soon, MEETING_WEEK).otherwise(weeks)
-    actual = f"{prefix}actual_" if actual_prefix is None else actual_prefix
     return df.withColumns({
-        f"{prefix}days_since_entry": days,
-        f"{prefix}weeks_since_entry": capped_weeks.cast("int"),
-        f"{prefix}months_since_entry": cap(months, LAST_MONTH, LAST_MONTH).cast("int"),
-        f"{actual}weeks_since_entry": weeks.cast("int"),
-        f"{actual}months_since_entry": months.cast("int"),
+        f"{actual}weeks_since_entry": weeks,
+        f"{prefix}weeks_since_entry": capped_weeks,
+        f"{prefix}months_since_entry": cap(months, LAST_MONTH, LAST_MONTH),
     })

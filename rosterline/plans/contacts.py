@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import weeks_between
 from ..functions.rules import first_match
-from ..operators.spread import (HOT_ROWS, PART, hot_keys, join_parts, join_spread, repeat_right,
-                                split_left)
+from ..operators.spread import (HOT_ROWS, PART, hot_keys_each, join_parts, join_spread,
+                                repeat_right, split_left)
 from ..operators.tenure import tenure_metrics
 from .activity import NO_COHORT, OWNER, on_calendar, staff_lookup
 
@@ -51,8 +51,8 @@ def contact_analysis(contacts: DataFrame, tables: ContactTables,
     """One row per contact and staff version valid on its creation day."""
     by_id = ["contact_id"]
     companies = tables.companies.select("company_id", "row_tag")
-    hot = hot_keys(contacts, OWNER, hot_rows)
-    facts = join_spread(contacts, companies, ["company_id"], "left", hot_rows=hot_rows,
+    hot, hot_companies = hot_keys_each(contacts, [OWNER, ["company_id"]], hot_rows)
+    facts = join_spread(contacts, companies, ["company_id"], "left", hot=hot_companies,
                         spread_by=by_id)
     dated = on_calendar(facts, tables.calendar, F.col("created_at").cast("date"), "original_")
     staff = repeat_right(staff_lookup(tables.staff, tables.cohorts), hot)
