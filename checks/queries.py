@@ -52,8 +52,7 @@ def view(t: Inputs) -> DataFrame:
 
 
 def stamp_tables(t: Inputs) -> StampTables:
-    # The pipeline reads the view from the table the view job wrote.
-    return StampTables(t.calendar, settle(view(t)), t.cohorts, t.dispositions)
+    return StampTables(t.calendar, view(t), t.cohorts, t.dispositions)
 
 
 def overrides(t: Inputs) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -68,29 +69,31 @@ def shared_dir(spark: SparkSession) -> str:
 
     Where it is unset a local session gets a temporary folder; a cluster must name one.
     """
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if folder:
-        return folder
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="rosterline-")
-    sc.setCheckpointDir(folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.conf.get("spark.master").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = _local_folder()
     return folder
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="rosterline-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Store an intermediate result reliably and go on from there.
+    """Store an intermediate result in the shared folder and go on from there.
 
-    Used where a plan reads a result several times; survives the loss of executors.
+    Used where a plan reads a result several times. The table survives the loss of executors;
+    unlike a checkpoint it is columnar, so that later steps read the columns they need, and
+    tells its size.
     """
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
