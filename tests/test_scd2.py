@@ -1,0 +1,304 @@
+from __future__ import annotations
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rosterline.operators import (apply_defaults, backfill, clamp_valid_to, effective_manager,
+                                  enrich, hot_keys, prepare_snapshot, scd2_close_changed,
+                                  scd2_new_entities, scd2_new_versions, scd2_soft_delete,
+                                  spread_by_group, spread_termination)
+from rosterline.plans import RunOptions, load_dim, run_job, scd2_run
+from rosterline.schemas import LEAVERS, OPEN_END, STAFF_DIM
+from rosterline.sources import read, write
+from tests.helpers import bag, day, rows, snapshot, staff
+
+RUN = day("2022-03-01")
+
+
+def prepared(spark, *people):
+    return prepare_snapshot(snapshot(spark, *people))
+
+
+def test_new_persons_get_ids_after_the_greatest(spark):
+    dim = staff(spark, {"id": 70, "person_name": "Ana Paz"})
+    snap = prepared(spark, {"person_name": " Ana  Paz "},
+                    {"person_name": "Luz Rey", "person_no": 9, "has_reports": "Si",
+                     "area": "Atención", "hire_date": day("2022-02-01")},
+                    {"person_name": "Eva Gil", "person_no": 3})
+    got = scd2_new_entities(dim, snap, RUN)
+    assert rows(got, "id", "person_name") == [(70, "Ana Paz"), (71, "Eva Gil"), (72, "Luz Rey")]
+    luz = got.filter("id = 72").first()
+    assert (luz["has_reports"], luz["area"], luz["valid_from"], luz["valid_to"], luz["tenure_no"],
+            luz["dead"], luz["active"]) == (1, "Atencion", day("2022-02-01"), OPEN_END, 1, 0, 1)
+    assert luz["crm_name"] is None and got.schema.names == dim.schema.names
+
+
+def test_snapshot_rows_without_a_name_are_new(spark):
+    dim = staff(spark, {"person_name": None})
+    assert scd2_new_entities(dim, prepared(spark, {"person_name": None}), RUN).count() == 2
+
+
+@pytest.mark.parametrize("change,closes", [
+    ({"job_title": "VP Sales"}, True), ({"job_title": " SDR  Intern "}, False),
+    ({"has_reports": "Si"}, True), ({"country": "MX"}, True), ({"gender": None}, False),
+    ({"direct_report": "Other Boss"}, False), ({}, False)])
+def test_changes_close_versions(spark, change, closes):
+    """The boss is null in the dimension, and a change from or to null does not count."""
+    dim = staff(spark, {"person_name": "Ana"})
+    got = scd2_close_changed(dim, prepared(spark, {"person_name": "Ana", **change}), RUN).first()
+    assert (got["dead"], got["valid_to"]) == ((1, RUN) if closes else (0, OPEN_END))
+
+
+@pytest.mark.parametrize("change,closes", [
+    ({"gender": None}, True), ({"direct_report": "Boss"}, True), ({}, False)])
+def test_null_changes_count_on_request(spark, change, closes):
+    dim = staff(spark, {"person_name": "Ana"})
+    snap = prepared(spark, {"person_name": "Ana", **change})
+    assert scd2_close_changed(dim, snap, RUN, null_safe=True).first()["dead"] == int(closes)
+
+
+def test_only_open_active_versions_close(spark):
+    dim = staff(spark, {"person_name": "Ana", "dead": 1}, {"person_name": "Ana", "active": 0},
+                {"person_name": "Ana"}, {"person_name": "Luz"})
+    snap = prepared(spark, {"person_name": "Ana", "country": "MX"})
+    assert rows(scd2_close_changed(dim, snap, RUN), "id", "dead") == [
+        (1, 1), (2, 0), (3, 1), (4, 0)]
+
+
+def test_several_snapshot_rows_of_one_person(spark):
+    """A version closes if any row differs, and never comes out twice."""
+    rng = random.Random(3)
+
+    def person(**more):
+        return {"person_name": rng.choice("ab"), "country": rng.choice(["CO", "MX", None]),
+                "job_title": rng.choice(["X", "Y"]), "gender": rng.choice(["F", None]), **more}
+
+    versions = [person() for _ in range(30)]
+    people = [person() for _ in range(4)]
+    dim, snap = staff(spark, *versions), prepared(spark, *people)
+    for null_safe in (False, True):
+        def differs(a, b):
+            return any(a[c] != b[c] and (null_safe or None not in (a[c], b[c]))
+                       for c in ("country", "job_title", "gender"))
+
+        expected = sorted(
+            (i, int(any(p["person_name"] == v["person_name"] and differs(v, p) for p in people)))
+            for i, v in enumerate(versions, start=1))
+        got = scd2_close_changed(dim, snap, RUN, null_safe=null_safe)
+        assert sorted((r["id"], r["dead"]) for r in got.collect()) == expected
+
+
+def test_reopened_person(spark):
+    dim = staff(
+        spark,
+        {"person_name": "Ana", "dead": 1, "hire_date": day("2019-05-01"), "owner_id": 5,
+         "education": "old", "updated_at": dt.datetime(2021, 1, 1)},
+        {"person_name": "Ana", "dead": 1, "owner_id": 8, "tenure_no": 2, "education": "new",
+         "updated_at": dt.datetime(2021, 6, 1)},
+        {"person_name": "Ana", "dead": 1, "education": "lost", "updated_at": None},
+        {"person_name": "Luz", "dead": 1}, {"person_name": "Luz", "dead": 0})
+    snap = prepared(spark, {"person_name": "Ana", "country": "MX"},
+                    {"person_name": "Luz", "country": "MX"})
+    got = scd2_new_versions(dim, snap, RUN)
+    assert got.count() == 6
+    new = got.filter("id = 6").first()
+    assert new["person_name"] == "Ana" and new["country"] == "MX"
+    assert (new["hire_date"], new["tenure_no"], new["owner_id"], new["education"]) == (
+        day("2019-05-01"), 2, 8, "new")
+    assert (new["valid_from"], new["valid_to"], new["dead"], new["active"]) == (
+        RUN, OPEN_END, 0, 1)
+
+
+def test_person_with_null_update_times_is_kept(spark):
+    dim = staff(spark, {"person_name": "Ana", "dead": 1, "updated_at": None, "segment": "s"})
+    got = scd2_new_versions(dim, prepared(spark, {"person_name": "Ana", "country": "MX"}), RUN)
+    assert got.filter("id = 2").first()["segment"] == "s"
+
+
+def test_rehired_person(spark):
+    dim = staff(spark, {"person_name": "Ana", "active": 0, "valid_to": day("2021-01-01")})
+    snap = prepared(spark, {"person_name": "Ana", "hire_date": day("2022-02-15")})
+    assert scd2_new_entities(dim, snap, RUN).count() == 1
+    assert scd2_close_changed(dim, snap, RUN).first()["dead"] == 0
+    assert scd2_new_versions(dim, snap, RUN).count() == 1
+    new = scd2_new_versions(dim, snap, RUN, rehire=True).filter("id = 2").first()
+    assert (new["tenure_no"], new["hire_date"]) == (2, day("2022-02-15"))
+
+
+def test_soft_delete(spark):
+    dim = staff(spark, {"person_name": "Ana"}, {"person_name": "Luz"},
+                {"person_name": "Eva Keep"}, {"person_name": "Gone", "active": 0},
+                {"person_name": "Past", "dead": 1})
+    got = scd2_soft_delete(dim, prepared(spark, {"person_name": "Ana"}), RUN, "%Keep")
+    assert rows(got, "id", "active", "dead", "valid_to") == [
+        (1, 1, 0, OPEN_END), (2, 0, 0, RUN), (3, 1, 0, OPEN_END), (4, 0, 0, OPEN_END),
+        (5, 1, 1, OPEN_END)]
+
+
+def test_backfill_with_sentinel(spark):
+    dim = spark.createDataFrame(
+        [(1, "Ana", 0, None), (2, "Ana", 0, "NULL"), (3, "Ana", 0, "2020-01-01"),
+         (4, "Ana", 1, None), (5, "Luz", 0, "NULL")],
+        "id int, person_name string, active int, ended string")
+    src = spark.createDataFrame([("Ana", "2021-01-01"), ("Ana", "2021-05-05")],
+                                "person_name string, ended string")
+    assert rows(backfill(dim, src, col="ended", sentinel="NULL"), "id", "ended") == [
+        (1, "2021-05-05"), (2, "2021-05-05"), (3, "2020-01-01"), (4, None), (5, "NULL")]
+
+
+def test_termination_reaches_the_whole_tenure(spark):
+    dim = staff(
+        spark, {"person_name": "Ana"},
+        {"person_name": "Ana", "active": 0, "termination_date": day("2021-05-01")},
+        {"person_name": "Ana", "tenure_no": 2}, {"person_name": None, "active": 1},
+        {"person_name": None, "active": 0, "termination_date": day("2021-05-01")})
+    got = spread_termination(dim)
+    assert rows(got, "id", "active", "termination_date") == [
+        (1, 0, day("2021-05-01")), (2, 0, day("2021-05-01")), (3, 1, None), (4, 1, None),
+        (5, 0, day("2021-05-01"))]
+    filtered = spread_by_group(
+        dim, ["person_name", "tenure_no"],
+        {"active": F.min("active"), "termination_date": F.max("termination_date")},
+        where=F.col("termination_date").isNotNull())
+    assert bag(filtered) == bag(got)
+    hot = hot_keys(dim, ["person_name"], 1)
+    assert hot and bag(spread_termination(dim, hot)) == bag(got)
+
+
+def test_clamp(spark):
+    dim = staff(spark, {"person_name": "a", "termination_date": day("2021-01-01")},
+                {"person_name": "b"},
+                {"person_name": "c", "termination_date": day("2021-01-01"),
+                 "valid_to": day("2020-06-01")})
+    assert rows(clamp_valid_to(dim), "id", "valid_to") == [
+        (1, day("2021-01-01")), (2, OPEN_END), (3, day("2020-06-01"))]
+
+
+def boss_case(spark, *boss_versions):
+    worker = {"id": 1, "person_name": "Ana", "direct_report": "Boss",
+              "valid_from": day("2020-03-01"), "valid_to": day("2020-09-01")}
+    bosses = [{"id": i, "person_name": "Boss", **v}
+              for i, v in enumerate(boss_versions, start=2)]
+    return staff(spark, worker, *bosses)
+
+
+@pytest.mark.parametrize("versions,expected", [
+    ([], "Inactive"),
+    ([{"valid_from": day("2020-01-01")}], "Boss"),
+    # open, but inside the worker's version: found as a current start only
+    ([{"valid_from": day("2020-04-01"), "valid_to": day("2020-05-01")}], "Boss"),
+    ([{"valid_from": day("2021-01-01")}], "Inactive"),
+    ([{"dead": 1, "valid_from": day("2020-01-01"), "valid_to": day("2020-04-01")}], "Inactive"),
+    ([{"active": 0, "valid_from": day("2020-01-01"), "valid_to": day("2020-04-01")}], "Boss"),
+    ([{"active": 0, "valid_from": day("2020-04-01"), "valid_to": day("2020-05-01")}], "Inactive"),
+])
+def test_effective_boss(spark, versions, expected):
+    got = effective_manager(boss_case(spark, *versions))
+    assert got.filter("id = 1").first()["effective_boss"] == expected
+    assert got.count() == 1 + len(versions)
+
+
+def test_effective_boss_with_containment(spark):
+    dim = boss_case(spark, {"active": 0, "valid_from": day("2020-04-01"),
+                            "valid_to": day("2020-05-01")})
+    got = effective_manager(dim, full_overlap=True)
+    assert got.filter("id = 1").first()["effective_boss"] == "Boss"
+
+
+def test_many_reports_of_one_boss(spark):
+    people = [{"person_name": f"p{i}", "direct_report": "p0"} for i in range(60)]
+    dim = staff(spark, *people)
+    plain = effective_manager(dim)
+    hot = hot_keys(dim.select(F.col("direct_report").alias("_boss")), ["_boss"], 10)
+    assert hot and bag(effective_manager(dim, hot_bosses=hot)) == bag(plain)
+    assert plain.filter("effective_boss = 'p0'").count() == 60
+
+
+def test_defaults_and_enrich(spark):
+    dim = staff(
+        spark, {"person_name": "a", "direct_report": "B"},
+        {"person_name": "b", "direct_report": "C", "country_2": "PE"},
+        {"person_name": "c"}, {"person_name": "d", "direct_report": "B", "segment": "own"})
+    overrides = spark.createDataFrame([(2, "AR")], "id long, country_2 string")
+    got = apply_defaults(dim, overrides, "B")
+    assert rows(got, "id", "country_2", "segment") == [
+        (1, "CO", "SMB"), (2, "AR", "Mid Market"), (3, "CO", None), (4, "CO", "own")]
+    snap = prepared(spark, {"person_name": "a", "birth_date": day("1990-01-01")},
+                    {"person_name": "a", "birth_date": day("1991-01-01")})
+    born = enrich(dim, snap)
+    assert rows(born, "id", "birth_date") == [
+        (1, day("1991-01-01")), (2, None), (3, None), (4, None)]
+
+
+@pytest.fixture(scope="module")
+def company(spark):
+    """Two years of staff with changes, leavers and new people, one person with many rows."""
+    rng = random.Random(11)
+    names = [f"Person {i}" for i in range(40)]
+    versions, people = [], []
+    for n, name in enumerate(names[:34]):
+        count = 25 if n == 0 else rng.randrange(1, 4)
+        for v in range(count):
+            start = day("2020-01-01") + dt.timedelta(days=20 * v)
+            last = v == count - 1
+            versions.append({
+                "person_name": name, "direct_report": names[n // 2],
+                "job_title": rng.choice(["SDR Intern", "VP Sales"]),
+                "country": rng.choice(["CO", "MX"]), "valid_from": start,
+                "valid_to": OPEN_END if last else start + dt.timedelta(days=20),
+                "dead": 0 if last else 1, "active": 0 if n % 9 == 4 else 1,
+                "updated_at": rng.choice([None, dt.datetime(2021, 1, 1)])})
+    for n, name in enumerate(names):
+        if n % 7 != 5:
+            people.append({"person_name": f" {name.replace(' ', '  ')}",
+                           "direct_report": names[n // 2], "country": rng.choice(["CO", "MX"]),
+                           "birth_date": day("1980-01-01")})
+    leavers = spark.createDataFrame([(names[4], day("2021-06-01")), (names[13], None)], LEAVERS)
+    return staff(spark, *versions), snapshot(spark, *people), leavers
+
+
+def test_run_invariants(spark, company):
+    dim, snap, leavers = company
+    got = scd2_run(dim, snap, leavers, RunOptions(RUN, segment_boss="Person 1"))
+    assert got.schema.names == STAFF_DIM.names
+    assert got.groupBy("id").count().filter("count > 1").isEmpty()
+    open_ones = got.filter("dead = 0 and active = 1").groupBy("person_name").count()
+    assert open_ones.filter("count > 1").isEmpty()
+    listed = prepare_snapshot(snap).select("person_name")
+    assert got.filter("active = 1 and dead = 0").join(listed, "person_name", "left_anti").isEmpty()
+
+
+def test_second_run_changes_nothing(spark, company):
+    dim, snap, leavers = company
+    once = scd2_run(dim, snap, leavers, RunOptions(RUN))
+    twice = scd2_run(once, snap, leavers, RunOptions(RUN))
+    assert bag(once) == bag(twice)
+
+
+def test_run_with_hot_persons(spark, company):
+    dim, snap, leavers = company
+    plain = scd2_run(dim, snap, leavers, RunOptions(RUN))
+    split = scd2_run(dim, snap, leavers, RunOptions(RUN, hot_rows=5))
+    assert bag(plain) == bag(split)
+
+
+def test_load_and_job(spark, company, tmp_path):
+    dim, snap, leavers = company
+    raw = dim.withColumns({"id": F.col("id").cast("string"),
+                           "termination_date": F.lit("NULL"),
+                           "updated_at": F.col("updated_at").cast("string")}).drop("training")
+    loaded = load_dim(raw)
+    assert loaded.schema.simpleString() == STAFF_DIM.simpleString()
+    assert bag(loaded) == bag(dim)
+    paths = {k: str(tmp_path / k) for k in ("history", "seed", "snap", "leavers", "staging")}
+    write(raw, paths["seed"])
+    write(snap, paths["snap"])
+    write(leavers, paths["leavers"])
+    for _ in range(2):
+        run_job(spark, paths["history"], paths["seed"], paths["snap"], paths["leavers"],
+                paths["staging"], RunOptions(RUN))
+    assert bag(read(spark, paths["history"])) == bag(
+        scd2_run(dim, snap, leavers, RunOptions(RUN)))
