@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import join_range
-from ..operators.spread import (HOT_ROWS, PART, hot_keys, join_parts, repeat_right, split_left)
+from ..operators.spread import (HOT_ROWS, PART, choose_spread, join_parts, join_spread, lookup,
+                                repeat_right, split_left)
 from ..operators.tenure import tenure_metrics
 
 NO_COHORT = "Unidentified"
 FEED_PREFIX = "properties."
 OWNER = ["owner_id"]
+CALENDAR_DAYS = 4_000_000  # more than a date can tell apart, so any calendar with one row a day
 
 
 @dataclass(frozen=True)
@@ -48,7 +50,7 @@ def unify_activities(feeds: Sequence[DataFrame], prefix: str = FEED_PREFIX,
     return strip_prefix(union, prefix).withColumn("activity_date", F.col(at).cast("date"))
 
 
-def staff_lookup(view: DataFrame, cohorts: DataFrame, prefix: str = "") -> DataFrame:
+def staff_lookup(view: DataFrame, cohorts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Staff versions with their hire cohort, cut to what stamps show.
 
     The cohort depends on the hire date alone, so it is looked up here, not once per activity.
@@ -57,9 +59,9 @@ def staff_lookup(view: DataFrame, cohorts: DataFrame, prefix: str = "") -> DataF
         view.select("owner_id", "valid_from", "valid_to", "person_name", "hire_date", "area",
                     "subteam", "subteam_active", "direct_report", "country", "country_2",
                     "segment"),
-        cohorts.withColumnRenamed("name", "cohort"), "hire_date", "start_date", "end_date")
-    staff = staff.drop("start_date", "end_date").withColumnRenamed("area", "team")
-    return staff.toDF(*[c if c == "owner_id" else prefix + c for c in staff.columns])
+        cohorts.withColumnRenamed("name", "cohort"), "hire_date", "start_date", "end_date",
+        hot_rows=hot_rows)
+    return staff.drop("start_date", "end_date").withColumnRenamed("area", "team")
 
 
 def on_calendar(df: DataFrame, calendar: DataFrame, day: Column, prefix: str = "") -> DataFrame:
@@ -95,11 +97,22 @@ ACTIVITY_COLUMNS = ("activity_id", "company_id", "contact_ids", "activity_type",
                     "call_duration", "created_date")
 
 
-def _with_outcome(activities: DataFrame, dispositions: DataFrame) -> DataFrame:
+def _with_outcome(activities: DataFrame, dispositions: DataFrame, hot_rows: int) -> DataFrame:
     labels = dispositions.select(F.col("id").alias("disposition_id"),
                                  F.col("label").alias("call_outcome"))
-    return activities.join(labels, "disposition_id", "left").withColumn(
-        "created_date", F.col("created_at").cast("date"))
+    return join_spread(
+        activities, labels, ["disposition_id"], "left", hot_rows=hot_rows,
+        spread_by=["activity_id"]).withColumn("created_date", F.col("created_at").cast("date"))
+
+
+def _sides(activities: DataFrame, tables: StampTables,
+           hot_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Calendar, activities and staff, ready to be joined."""
+    staff = staff_lookup(tables.staff, tables.cohorts, hot_rows=hot_rows)
+    spread = choose_spread(activities, [(staff, OWNER)], hot_rows)[0]
+    facts = _with_outcome(activities, tables.dispositions, hot_rows)
+    return (lookup(tables.calendar, CALENDAR_DAYS), split_left(facts, spread, ["activity_id"]),
+            repeat_right(staff, spread))
 
 
 def stamp_activities(activities: DataFrame, tables: StampTables, day: str = "activity_date",
@@ -110,10 +123,8 @@ def stamp_activities(activities: DataFrame, tables: StampTables, day: str = "act
     An activity on a day outside the calendar gets no staff version. One that meets several
     versions comes out several times.
     """
-    hot = hot_keys(activities, OWNER, hot_rows)
-    facts = split_left(_with_outcome(activities, tables.dispositions), hot, ["activity_id"])
-    staff = repeat_right(staff_lookup(tables.staff, tables.cohorts), hot)
-    stamped = _stamp(facts, staff, tables.calendar, F.col(day), "", "activity_type", options)
+    calendar, facts, staff = _sides(activities, tables, hot_rows)
+    stamped = _stamp(facts, staff, calendar, F.col(day), "", "activity_type", options)
     return stamped.select(*ACTIVITY_COLUMNS, *_stamp_columns())
 
 
@@ -127,12 +138,10 @@ def activity_analysis(activities: DataFrame, tables: StampTables, day: str = "ac
     stamped tables on the activity id gives, without that join. Both look up the same owner, so
     the activities are shuffled once.
     """
-    hot = hot_keys(activities, OWNER, hot_rows)
-    facts = split_left(_with_outcome(activities, tables.dispositions), hot, ["activity_id"])
+    calendar, facts, staff = _sides(activities, tables, hot_rows)
     prefix = "creation_"
-    staff = repeat_right(staff_lookup(tables.staff, tables.cohorts), hot)
     at_creation = staff.toDF(*[c if c in (*OWNER, PART) else prefix + c for c in staff.columns])
-    stamped = _stamp(facts, staff, tables.calendar, F.col(day), "", "activity_type", options)
-    stamped = _stamp(stamped, at_creation, tables.calendar, F.col(creation_day), prefix,
+    stamped = _stamp(facts, staff, calendar, F.col(day), "", "activity_type", options)
+    stamped = _stamp(stamped, at_creation, calendar, F.col(creation_day), prefix,
                      "activity_type", options)
     return stamped.select(*ACTIVITY_COLUMNS, *_stamp_columns(), *_stamp_columns(prefix))
