@@ -56,7 +56,7 @@ def stamp_tables(t: Inputs) -> StampTables:
 
 
 def overrides(t: Inputs) -> DataFrame:
-    return t.staff.filter(F.col("id") % 250 == 10).select("id", F.lit("N99").alias("country_2"))
+    return t.staff.filter(F.col("country") == "N7").select("id", F.lit("N99").alias("country_2"))
 
 
 def snap(t: Inputs) -> DataFrame:
@@ -254,7 +254,7 @@ def roundtrip(t):
     path = scratch_path(t.spark, "activities")
     facts = unify_activities(t.feeds).select("activity_id", "owner_id", "activity_date",
                                              F.year("activity_date").alias("yyyy"))
-    write(facts, path, ["yyyy"])
+    write(facts, path, ["yyyy"], sort_by=["activity_id"])
     later = read(t.spark, path).withColumn("activity_date", F.date_add("activity_date", 1))
     staged_overwrite(later, path, f"{path}-staging", ["yyyy"])
     return read(t.spark, path)

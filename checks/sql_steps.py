@@ -146,7 +146,7 @@ def defaults(dim: str, boss: str) -> str:
 from {dim} d left join overrides o on o.id = d.id"""
 
 
-OVERRIDES = "select id, 'N99' as country_2 from staff where id % 250 = 10"
+OVERRIDES = "select id, 'N99' as country_2 from staff where country = 'N7'"
 
 
 def add_birth(dim: str) -> str:

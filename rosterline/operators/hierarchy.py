@@ -93,13 +93,17 @@ def walk_up(nodes: DataFrame, depth: int, hot: HotKeys,
         narrow = narrow.filter(F.col(DAYS[0]).isNotNull())
     names = narrow.select(F.col("_boss").alias("_name")).distinct()
     bosses = join_spread(narrow, names, ["_name"], "left_semi", hot=hot.named("_name"))
-    bosses_in_parts = split_left(bosses, hot)
-    kept = ["_name", CHAIN, *(DAYS if dated else ())]
-    above = bosses.withColumn(CHAIN, F.array("_level")).select(*kept)
     absent = None
     if dated:
-        # Days without a version are rows without a chain, so that a left join keeps them.
-        absent = uncovered_days(bosses, ["_name"], *DAYS, *days)
+        # Days without a version are rows without a chain, so that a left join keeps them. All
+        # levels read both kinds of rows, so they are stored, told apart by the level.
+        missing = uncovered_days(bosses, ["_name"], *DAYS, *days)
+        stored = settle(bosses.unionByName(missing, allowMissingColumns=True))
+        bosses = stored.filter(F.col("_level").isNotNull())
+        absent = stored.filter(F.col("_level").isNull()).select("_name", *DAYS)
+    kept = ["_name", CHAIN, *(DAYS if dated else ())]
+    above = bosses.withColumn(CHAIN, F.array("_level")).select(*kept)
+    bosses_in_parts = split_left(bosses, hot)
     for _ in range(depth - 2):
         full = above.unionByName(absent, allowMissingColumns=True) if dated else above
         above = _add_level(bosses_in_parts, full, hot, dated).select(*kept)
@@ -207,9 +211,12 @@ def daily_manager(view: DataFrame, calendar: DataFrame, as_of: dt.date,
                   current: DataFrame | None = None, max_depth: int = DEPTH,
                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """The manager of every person on every calendar day, with the levels of the chain."""
-    periods = manager_periods(view, calendar, as_of, current, max_depth, hot_rows)
-    days = explode_days(periods)
-    return days.withColumns({
-        f"level_{n}_dte": F.when(F.col(f"level_{n}_name").isNotNull(), F.col("dte"))
-        for n in range(2, max_depth + 1)
+    return periods_to_days(manager_periods(view, calendar, as_of, current, max_depth, hot_rows))
+
+
+def periods_to_days(periods: DataFrame) -> DataFrame:
+    """The rows of manager_periods once per day, with the days of the levels there are."""
+    names = [c for c in periods.columns if c.startswith("level_") and c.endswith("_name")]
+    return explode_days(periods).withColumns({
+        c.replace("_name", "_dte"): F.when(F.col(c).isNotNull(), F.col("dte")) for c in names
     }).drop(*DAYS)

@@ -1,10 +1,12 @@
 from .activity import (StampTables, TenureOptions, activity_analysis, on_calendar, staff_lookup,
                        stamp_activities, strip_prefix, unify_activities)
 from .contacts import ContactTables, adjusted_date, contact_analysis, shifted_day
-from .scd2_run import RunOptions, load_dim, run_job, scd2_run
+from .jobs import activity_job, contact_job, dimension_job, manager_job, view_job
+from .scd2_run import RunOptions, load_dim, scd2_run
 
 __all__ = [
     "ContactTables", "RunOptions", "StampTables", "TenureOptions", "activity_analysis",
-    "adjusted_date", "contact_analysis", "load_dim", "on_calendar", "run_job", "scd2_run",
-    "shifted_day", "staff_lookup", "stamp_activities", "strip_prefix", "unify_activities",
+    "activity_job", "adjusted_date", "contact_analysis", "contact_job", "dimension_job",
+    "load_dim", "manager_job", "on_calendar", "scd2_run", "shifted_day", "staff_lookup",
+    "stamp_activities", "strip_prefix", "unify_activities", "view_job",
 ]

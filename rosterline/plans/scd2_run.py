@@ -1,11 +1,11 @@
-"""One run of the staff dimension: all steps in order, and the job around them."""
+"""One run of the staff dimension: all steps in order."""
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import name_key, null_if
@@ -15,7 +15,7 @@ from ..operators.scd2 import (PERSON, apply_defaults, backfill, clamp_valid_to,
                               spread_termination)
 from ..operators.spread import HOT_ROWS, hot_keys
 from ..schemas import STAFF_DIM
-from ..sources.tables import read, read_first, settle, staged_overwrite
+from ..sources.tables import settle
 
 
 @dataclass(frozen=True)
@@ -71,11 +71,3 @@ def scd2_run(dim: DataFrame, snap: DataFrame, leavers: DataFrame, options: RunOp
     dim = effective_manager(settle(dim), options.full_overlap)
     dim = apply_defaults(dim, overrides, options.segment_boss)
     return enrich(dim, snap, hot=hot)
-
-
-def run_job(spark: SparkSession, history: str, seed: str, snapshot: str, leavers: str,
-            staging: str, options: RunOptions, overrides: DataFrame | None = None) -> None:
-    """Read the tables, run, and replace the history by way of the staging table."""
-    dim = load_dim(read_first(spark, [history, seed]))
-    result = scd2_run(dim, read(spark, snapshot), read(spark, leavers), options, overrides)
-    staged_overwrite(result, history, staging)

@@ -35,14 +35,18 @@ def read_first(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     raise FileNotFoundError(f"no table at any of {list(paths)}")
 
 
-def write(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write(df: DataFrame, path: str, partition_by: Sequence[str] = (),
+          sort_by: Sequence[str] = ()) -> None:
     """Replace the table at the path.
 
     With ``partition_by`` rows are first gathered by partition value; REBALANCE splits values
-    with much data over several files and joins small ones.
+    with much data over several files and joins small ones. ``sort_by`` orders each file, not
+    the whole table, so that readers can skip parts of it.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 

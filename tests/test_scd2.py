@@ -10,7 +10,7 @@ from rosterline.operators import (apply_defaults, backfill, clamp_valid_to, effe
                                   enrich, hot_keys, prepare_snapshot, scd2_close_changed,
                                   scd2_new_entities, scd2_new_versions, scd2_soft_delete,
                                   spread_by_group, spread_termination)
-from rosterline.plans import RunOptions, load_dim, run_job, scd2_run
+from rosterline.plans import RunOptions, dimension_job, load_dim, scd2_run
 from rosterline.schemas import LEAVERS, OPEN_END, STAFF_DIM
 from rosterline.sources import read, write
 from tests.helpers import bag, day, rows, snapshot, staff
@@ -298,7 +298,7 @@ def test_load_and_job(spark, company, tmp_path):
     write(snap, paths["snap"])
     write(leavers, paths["leavers"])
     for _ in range(2):
-        run_job(spark, paths["history"], paths["seed"], paths["snap"], paths["leavers"],
-                paths["staging"], RunOptions(RUN))
+        dimension_job(spark, paths["history"], paths["seed"], paths["snap"], paths["leavers"],
+                      paths["staging"], RunOptions(RUN))
     assert bag(read(spark, paths["history"])) == bag(
         scd2_run(dim, snap, leavers, RunOptions(RUN)))
