@@ -7,8 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.names import name_key, null_if
+from ..functions.names import name_key
 from ..operators.scd2 import (PERSON, apply_defaults, backfill, clamp_valid_to,
                               effective_manager, enrich, prepare_snapshot, scd2_close_changed,
                               scd2_new_entities, scd2_new_versions, scd2_soft_delete,
@@ -32,22 +33,24 @@ class RunOptions:
 
 
 def load_dim(raw: DataFrame) -> DataFrame:
-    """Bring a stored or seed dimension to the schema; unreadable values become null.
+    """Bring a stored or seed dimension to the schema.
 
-    The text 'NULL' stands for a missing value in text columns.
+    Numbers and dates may come as text; what cannot be read as one, such as the word 'NULL' for
+    a missing termination, becomes null. Missing columns are null.
     """
-    def column(name: str, source: str, kind) -> Column:
+    found = {c.lower(): c for c in raw.columns}
+    kinds = dict(raw.dtypes)
+
+    def column(field) -> Column:
+        if field.name not in found:
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        source = found[field.name]
         col = F.col(source)
-        if dict(raw.dtypes)[source] == "string":
-            col = null_if(F.trim(col), "NULL")
-        return col.try_cast(kind).alias(name)
+        if kinds[source] == "string" and field.dataType != T.StringType():
+            col = F.trim(col)
+        return col.try_cast(field.dataType).alias(field.name)
 
-    found = {c.lower(): c for c in raw.columns}
-    return raw.select(*[
-        column(f.name, found[f.name], f.dataType) if f.name in found
-        else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in STAFF_DIM.fields
-    ])
+    return raw.select(*[column(f) for f in STAFF_DIM.fields])
 
 
 def scd2_run(dim: DataFrame, snap: DataFrame, leavers: DataFrame, options: RunOptions,
