@@ -15,12 +15,13 @@ from .timeline import calendar_bounds, clip_days, explode_days, uncovered_days
 
 __all__ = [
     "HOT_ROWS", "SMALL_ROWS", "apply_defaults", "backfill", "calendar_bounds", "cap", "changed",
-    "choose_spread", "clamp_valid_to", "clip_days", "current_manager", "daily_manager", "daily_roster",
-    "dense_ids", "dim_view", "duplicate_keys", "effective_manager", "ends_within", "enrich",
-    "explode_days", "first_role", "hot_keys", "is_small", "join_overlapping", "join_range", "join_spread",
-    "join_valid_at", "latest_rows", "latest_version", "lookup", "manager_periods", "matched", "max_value",
-    "not_in", "open_days", "periods_to_days", "prepare_snapshot", "rank_in_group", "ranked_versions",
-    "scd2_close_changed", "scd2_new_entities", "scd2_new_versions", "scd2_soft_delete",
-    "spread_by_group", "spread_termination", "subteam", "subteam_active", "tenure_metrics",
-    "uncovered_days", "update_from", "walk_up", "with_group_values",
+    "choose_spread", "clamp_valid_to", "clip_days", "current_manager", "daily_manager",
+    "daily_roster", "dense_ids", "dim_view", "duplicate_keys", "effective_manager", "ends_within",
+    "enrich", "explode_days", "first_role", "hot_keys", "is_small", "join_overlapping",
+    "join_range", "join_spread", "join_valid_at", "latest_rows", "latest_version", "lookup",
+    "manager_periods", "matched", "max_value", "not_in", "open_days", "periods_to_days",
+    "prepare_snapshot", "rank_in_group", "ranked_versions", "scd2_close_changed",
+    "scd2_new_entities", "scd2_new_versions", "scd2_soft_delete", "spread_by_group",
+    "spread_termination", "subteam", "subteam_active", "tenure_metrics", "uncovered_days",
+    "update_from", "walk_up", "with_group_values",
 ]

@@ -64,13 +64,13 @@ def scd2_run(dim: DataFrame, snap: DataFrame, leavers: DataFrame, options: RunOp
                    options.hot_rows)
     dim = scd2_new_entities(dim, snap, as_of, hot)
     dim = scd2_close_changed(dim, snap, as_of, null_safe=options.null_safe, hot=hot)
-    # Each of the next steps reads the dimension more than once, so it is stored in between.
-    dim = settle(dim)
-    dim = scd2_new_versions(dim, snap, as_of, null_safe=options.null_safe,
+    # New versions and effective bosses read the dimension several times, so it is stored there.
+    # The steps between them are all by person: one shuffle serves them.
+    dim = scd2_new_versions(settle(dim), snap, as_of, null_safe=options.null_safe,
                             rehire=options.rehire, hot=hot)
     dim = scd2_soft_delete(dim, snap, as_of, options.exempt, hot)
-    dim = settle(backfill(dim, leavers, hot=hot))
-    dim = clamp_valid_to(spread_termination(dim))
+    dim = backfill(dim, leavers, hot=hot)
+    dim = clamp_valid_to(spread_termination(dim, hot))
     dim = effective_manager(settle(dim), options.full_overlap)
     dim = apply_defaults(dim, overrides, options.segment_boss)
     return enrich(dim, snap, hot=hot)
