@@ -14,7 +14,7 @@ from ..operators.scd2 import (PERSON, apply_defaults, backfill, clamp_valid_to,
                               effective_manager, enrich, prepare_snapshot, scd2_close_changed,
                               scd2_new_entities, scd2_new_versions, scd2_soft_delete,
                               spread_termination)
-from ..operators.spread import HOT_ROWS, hot_keys
+from ..operators.spread import HOT_ROWS, hot_keys_each
 from ..schemas import STAFF_DIM
 from ..sources.tables import settle
 
@@ -59,9 +59,10 @@ def scd2_run(dim: DataFrame, snap: DataFrame, leavers: DataFrame, options: RunOp
     as_of = options.as_of
     snap = prepare_snapshot(snap)
     leavers = leavers.withColumn(PERSON, name_key(PERSON))
-    # Persons are counted once for all steps: each adds at most a row per snapshot row.
-    hot = hot_keys(dim.select(PERSON).unionByName(snap.select(PERSON)), [PERSON],
-                   options.hot_rows)
+    # Persons and bosses are counted once for all steps; a step adds a row per snapshot row at most.
+    names = [PERSON, name_key("direct_report").alias("_boss")]
+    hot, hot_bosses = hot_keys_each(dim.select(*names).unionByName(snap.select(*names)),
+                                    [[PERSON], ["_boss"]], options.hot_rows)
     dim = scd2_new_entities(dim, snap, as_of, hot)
     dim = scd2_close_changed(dim, snap, as_of, null_safe=options.null_safe, hot=hot)
     # New versions and effective bosses read the dimension several times, so it is stored there.
@@ -71,6 +72,6 @@ def scd2_run(dim: DataFrame, snap: DataFrame, leavers: DataFrame, options: RunOp
     dim = scd2_soft_delete(dim, snap, as_of, options.exempt, hot)
     dim = backfill(dim, leavers, hot=hot)
     dim = clamp_valid_to(spread_termination(dim, hot))
-    dim = effective_manager(settle(dim), options.full_overlap)
+    dim = effective_manager(settle(dim), options.full_overlap, hot_bosses)
     dim = apply_defaults(dim, overrides, options.segment_boss)
     return enrich(dim, snap, hot=hot)
