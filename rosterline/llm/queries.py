@@ -7,8 +7,10 @@ operator returns.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import transcode
+from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .token_counts import token_counts
 
@@ -38,14 +40,24 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder)).drop("level", "name")
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination(table(spark, folder), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        "contaminated")
+
+
 QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_token_counts": op6_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_decontamination": op8_decontamination,
 }
 
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+WORDS = f"regexp_extract_all({FOLD}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
 ORACLES = {
     "op7_exact_dedup": f"""
         with folded as (select doc_id, {FOLD} as t from documents),
@@ -54,4 +66,28 @@ ORACLES = {
         select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept,
                sha256(t) as text_sha256
         from folded join groups using (t)""",
+    "op8_decontamination": f"""
+        with item_words as (select item_id, {WORDS} as w from benchmark),
+        sized as (select item_id, w, least(len(w), 10) as n from item_words where len(w) > 0),
+        windows as (
+            select distinct item_id, n, array_to_string(w[s:s + n - 1], ' ') as win
+            from (select *, unnest(range(1, len(w) - n + 2)) as s from sized)),
+        sizes as (select distinct n from windows),
+        docs as (select doc_id, {WORDS} as w from documents),
+        runs as (
+            select doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') as win
+            from (select *, unnest(range(1, len(w) - n + 2)) as s from docs cross join sizes)),
+        hits as (select distinct doc_id, s, n, item_id from runs join windows using (n, win)),
+        places as (
+            select doc_id, count(distinct p) as n_hit
+            from (select doc_id, unnest(range(s, s + n)) as p from hits) group by doc_id),
+        listed as (
+            select doc_id, count(*) as n_items,
+                   string_agg(i, ',' order by encode(i)) as items
+            from (select distinct doc_id, cast(item_id as varchar) as i from hits)
+            group by doc_id)
+        select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+               coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+               coalesce(n_hit, 0) > 0 as contaminated
+        from docs d left join places using (doc_id) left join listed using (doc_id)""",
 }
