@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import langid, toxicity
 from .bpe import transcode
+from .common import id_remainder
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .token_counts import token_counts
@@ -26,6 +28,22 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder)
+    model = toxicity.learn(docs, table(spark, folder, "labels"),
+                           where=id_remainder(F.col("id"), 5) != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id", (id_remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder)
+    held_out = id_remainder(F.col("doc_id"), 4) == 2
+    model = langid.learn(docs, where=~held_out)
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder).select("doc_id", "text")
     outputs = {c: c for c in ("n_tokens", "ids_sha256", "decoded_sha256")}
@@ -48,6 +66,8 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op3_language_id": op3_language_id,
     "op5_bpe": op5_bpe,
     "op6_token_counts": op6_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
