@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import settle
 
-__all__ = ["doc_hash", "fold_case", "id_remainder", "settle", "unused"]
+__all__ = ["doc_hash", "fold_case", "id_remainder", "settle", "ship", "unused"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -41,3 +44,16 @@ def unused(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         found.append(name)
     return found
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    A cluster has the package installed, or it is given with --py-files; this serves sessions
+    whose workers start in another folder.
+    """
+    environment = spark.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])

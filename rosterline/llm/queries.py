@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 
 from . import langid, toxicity
 from .bpe import transcode
-from .common import id_remainder
+from .common import id_remainder, ship
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
+from .ppm import ppm_scores
 from .token_counts import token_counts
 
 
 def table(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -65,6 +67,10 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
                         "contaminated")
 
 
+def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return ppm_scores(table(spark, folder), id_remainder(F.col("doc_id"), 7) == 2)
+
+
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_language_id": op3_language_id,
@@ -72,6 +78,7 @@ QUERIES = {
     "op6_token_counts": op6_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_decontamination": op8_decontamination,
+    "op9_lm_scoring": op9_lm_scoring,
 }
 
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
