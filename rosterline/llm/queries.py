@@ -14,6 +14,7 @@ from .bpe import transcode
 from .common import id_remainder, ship
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
+from .minhash import near_duplicates
 from .ppm import ppm_scores
 from .token_counts import token_counts
 
@@ -30,6 +31,10 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder))
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder)
     model = toxicity.learn(docs, table(spark, folder, "labels"),
@@ -72,6 +77,7 @@ def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
     "op2_toxicity": op2_toxicity,
     "op3_language_id": op3_language_id,
     "op5_bpe": op5_bpe,
@@ -86,6 +92,31 @@ FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijk
 WORDS = f"regexp_extract_all({FOLD}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
 
 ORACLES = {
+    "op1_minhash": f"""
+        with recursive words as (
+            select doc_id, list_filter(string_split_regex({FOLD}, '[\\x20\\x09-\\x0D]+'),
+                                       lambda w: w <> '') as w
+            from documents),
+        shingles as (
+            select distinct doc_id, array_to_string(w[s:s + least(len(w), 5) - 1], ' ') as x
+            from (select *, unnest(range(1, len(w) - least(len(w), 5) + 2)) as s
+                  from words where len(w) > 0)),
+        sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+        pairs as (
+            select a.doc_id as a, b.doc_id as b, count(*) as common
+            from shingles a join shingles b using (x) where a.doc_id <> b.doc_id
+            group by all),
+        links as (
+            select a, b from pairs join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+            where 100 * common >= 75 * (p.n + q.n - common)),
+        reach as (
+            select doc_id as a, doc_id as b from documents
+            union
+            select reach.a, links.b from reach join links on links.a = reach.b),
+        least as (select a as doc_id, min(b) as component_id from reach group by a)
+        select doc_id, coalesce(n, 0) as n_shingles, component_id,
+               doc_id = component_id as kept
+        from documents left join sizes using (doc_id) join least using (doc_id)""",
     "op7_exact_dedup": f"""
         with folded as (select doc_id, {FOLD} as t from documents),
         groups as (select t, max(doc_id) as keep_id, count(*) as group_size
