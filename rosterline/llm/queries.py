@@ -14,6 +14,7 @@ from .bpe import transcode
 from .common import id_remainder, ship
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
+from .line_dedup import line_report
 from .minhash import near_duplicates
 from .ppm import ppm_scores
 from .token_counts import token_counts
@@ -51,6 +52,10 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_report(table(spark, folder))
+
+
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder).select("doc_id", "text")
     outputs = {c: c for c in ("n_tokens", "ids_sha256", "decoded_sha256")}
@@ -80,6 +85,7 @@ QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_toxicity": op2_toxicity,
     "op3_language_id": op3_language_id,
+    "op4_line_dedup": op4_line_dedup,
     "op5_bpe": op5_bpe,
     "op6_token_counts": op6_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
