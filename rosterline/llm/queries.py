@@ -17,6 +17,7 @@ from .exact_dedup import exact_dedup
 from .line_dedup import line_report
 from .minhash import near_duplicates
 from .ppm import ppm_scores
+from .repeats import cut_repeats
 from .token_counts import token_counts
 
 
@@ -81,6 +82,13 @@ def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return ppm_scores(table(spark, folder), id_remainder(F.col("doc_id"), 7) == 2)
 
 
+def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.start)
+    return cut_repeats(table(spark, folder)).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_toxicity": op2_toxicity,
@@ -91,6 +99,7 @@ QUERIES = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_decontamination": op8_decontamination,
     "op9_lm_scoring": op9_lm_scoring,
+    "op10_suffix_array": op10_suffix_array,
 }
 
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
