@@ -258,7 +258,5 @@ def transcode(docs: DataFrame, tokenizer_path: str, outputs: dict[str, str],
                 [*batch.columns, *[pa.array(made[k], arrow.get(k, pa.string())) for k in kinds]],
                 names=[*batch.schema.names, *outputs])
 
-    added = StructType()
-    for name, kind in outputs.items():
-        added = added.add(name, OUTPUTS[kind])
+    added = StructType.fromDDL(", ".join(f"`{n}` {OUTPUTS[k]}" for n, k in outputs.items()))
     return docs.mapInArrow(run, StructType([*docs.schema.fields, *added.fields]))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import doc_hash, settle
+from .common import doc_hash, settle, unused
 from .wordhash import ALNUM, batches, grams, row_bounds, words_of
 
 WINDOW = 10
@@ -219,3 +219,15 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
         .select("doc_id", "n_words", n_hit.cast("long").alias("n_hit"),
                 F.size(items_).cast("long").alias("n_items"), items_.alias("items"),
                 (n_hit > 0).alias("contaminated")))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
+                      text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """The rows without any word inside a benchmark window; columns stay."""
+    k0, k1 = unused(docs, "k0_", "k1_")
+    keyed = docs.withColumns(dict(zip((k0, k1), doc_hash(F.col(id_col), F.col(text_col)))))
+    one = keyed.select(F.struct(F.col(k0).alias("k0"), F.col(k1).alias("k1")).alias("doc_id"),
+                       F.col(text_col).alias("text"))
+    hit = (contamination(one, items, window=window).filter("contaminated")
+           .select(F.col("doc_id.k0").alias(k0), F.col("doc_id.k1").alias(k1)).distinct())
+    return keyed.join(settle(hit), [k0, k1], "left_anti").select(*docs.columns)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import doc_hash, settle, unused
 from .components import components
 from .decontaminate import _passes, residue_filter
 from .wordhash import NOT_BLANK, batches, grams, mix, row_bounds, words_of
@@ -265,3 +265,20 @@ def _remaining(postings: DataFrame, roots: DataFrame) -> DataFrame:
                 & ((F.col("root") == F.col("main")) | (F.col("cid") < F.col("x"))))
         .select(F.least("cid", "x").alias("a"), F.greatest("cid", "x").alias("b"))
         .distinct())
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id",
+                         text_col: str = "text") -> DataFrame:
+    """The table with one document of each component, the one with the smallest id.
+
+    Columns stay. Rows that share an id are told apart by their text, the smaller hash first;
+    rows equal in id and text are one document given several times and stay or go together.
+    """
+    k0, k1 = unused(docs, "k0_", "k1_")
+    keyed = docs.withColumns(dict(zip((k0, k1), doc_hash(F.col(id_col), F.col(text_col)))))
+    one = keyed.select(F.struct(F.col(id_col).alias("id"), F.col(k0).alias("k0"),
+                                F.col(k1).alias("k1")).alias("doc_id"),
+                       F.col(text_col).alias("text"))
+    kept = (near_duplicates(one).filter("kept")
+            .select(F.col("doc_id.k0").alias(k0), F.col("doc_id.k1").alias(k1)).distinct())
+    return keyed.join(settle(kept), [k0, k1], "left_semi").select(*docs.columns)

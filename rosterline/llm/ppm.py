@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import settle
 
-ORDER = 6  # three bits of length, six bytes and a symbol fit a 64-bit number
+ORDER = 5  # at most 6: three bits of length, the bytes and a symbol fit a 64-bit number
 BLOCK_BYTES = 1 << 25
 SYMBOLS = 256
 # Neither occurs inside a word: the blank ends a word, the line break ends a document.
@@ -240,30 +240,40 @@ def ppm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id",
     ends = parts.filter((F.col("kind") == DOC) & ~F.col("held_out")).count()
     train_tokens, kinds = seen[0] + ends, seen[1] + int(ends > 0)
     costs = code_lengths(grams)
+    # Few columns, as each is there for all rows: what a and b mean depends on the kind.
+    none = F.lit(None)
     union = (
         parts.filter(F.col("kind") == DOC)
-        .select("block", "kind", "doc_id", "held_out", "n_words", "places", "counts")
+        .select("block", "kind", "doc_id", "held_out", F.col("n_words").alias("a"),
+                none.cast("double").alias("b"), F.col("places").alias("c"),
+                F.col("counts").alias("d"))
         .unionByName(
             parts.filter(F.col("kind") == WORD).select("block", "kind", "place", "word")
-            .join(words, "word"), allowMissingColumns=True)
+            .join(words, "word")
+            .select("block", "kind", F.col("place").cast("long").alias("a"),
+                    F.col("total").cast("double").alias("b"), F.col("word").alias("c")),
+            allowMissingColumns=True)
         .unionByName(
             parts.filter(F.col("kind") == GRAM).select("block", "kind", "gram")
-            .join(costs, "gram"), allowMissingColumns=True))
+            .join(costs, "gram")
+            .select("block", "kind", F.col("gram").alias("a"), F.col("logp").alias("b")),
+            allowMissingColumns=True))
 
     def run(table: pa.Table) -> pa.Table:
         kind = table.column("kind").to_numpy()
         texts = table.filter(pa.array(kind == DOC))
-        list_ = table.filter(pa.array(kind == WORD))
-        pairs = table.filter(pa.array(kind == GRAM))
-        order = np.argsort(pairs.column("gram").to_numpy())
-        keys = pairs.column("gram").to_numpy()[order]
-        cost = pairs.column("logp").to_numpy()[order]
+        list_ = table.filter(pa.array(kind == WORD)).select(["a", "b", "c"])
+        pairs = table.filter(pa.array(kind == GRAM)).select(["a", "b"])
+        del table
+        order = np.argsort(pairs.column("a").to_numpy())
+        keys = pairs.column("a").to_numpy()[order]
+        cost = pairs.column("b").to_numpy()[order]
         n_words = len(list_)
         total, logp = np.zeros(n_words, dtype=np.int64), np.zeros(n_words)
-        place = list_.column("place").to_numpy()
-        total[place] = list_.column("total").to_numpy()
+        place = list_.column("a").to_numpy()
+        total[place] = list_.column("b").to_numpy()
         for start in range(0, n_words, 50_000):
-            some = list_.column("word").slice(start, 50_000).to_pylist()
+            some = list_.column("c").slice(start, 50_000).to_pylist()
             own, owner = word_grams(some)
             logp[place[start:start + len(some)]] = np.bincount(
                 owner, weights=cost[np.searchsorted(keys, own)], minlength=len(some))
@@ -271,14 +281,14 @@ def ppm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id",
         base = np.log10((total + 1) / scale)
         end = cost[np.searchsorted(keys, END_GRAM)]
         found = {"n_known": [], "base_score": [], "score": []}
-        for p, c in zip(texts.column("places").to_pylist(), texts.column("counts").to_pylist()):
+        for p, c in zip(texts.column("c").to_pylist(), texts.column("d").to_pylist()):
             at, n = np.cumsum(_unpack(p)), _unpack(c)
             found["n_known"].append(int(n[total[at] > 0].sum()) + int(ends > 0))
             found["base_score"].append(float(n @ base[at] + np.log10((ends + 1) / scale)))
             found["score"].append(float(n @ logp[at] + end))
         return pa.table({
             "doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"),
-            "n_tokens": pa.array(texts.column("n_words").to_numpy() + 1),
+            "n_tokens": pa.array(texts.column("a").to_numpy() + 1),
             "n_known": pa.array(found["n_known"], pa.int64()),
             "train_tokens": pa.array(np.full(len(texts), train_tokens, dtype=np.int64)),
             "base_score": pa.array(found["base_score"], pa.float64()),
