@@ -101,7 +101,8 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                 words = raw.split()
                 places = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
                 places, counts = np.unique(places, return_counts=True)
-                held.append((batch.column(0)[i], out, len(words), places, counts))
+                held.append((batch.column(0)[i], out, len(words),
+                             _pack(np.diff(places, prepend=0)), _pack(counts)))
                 size += len(raw)
         if held:
             yield from flush(part << 32 | number, held, numbers)
@@ -121,14 +122,14 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             some = held[start:start + 1000]
             for _, out, _, places, counts in some:
                 if not out:
-                    trained[places] += counts
+                    trained[np.cumsum(_unpack(places))] += _unpack(counts)
             yield rows(
                 block, DOC, len(some),
                 doc_id=pa.array([d[0].as_py() for d in some], kinds["doc_id"]),
                 held_out=pa.array([d[1] for d in some], pa.bool_()),
                 n_words=pa.array([d[2] for d in some], pa.int64()),
-                places=pa.array([_pack(np.diff(d[3], prepend=0)) for d in some], pa.binary()),
-                counts=pa.array([_pack(d[4]) for d in some], pa.binary()))
+                places=pa.array([d[3] for d in some], pa.binary()),
+                counts=pa.array([d[4] for d in some], pa.binary()))
         words = list(numbers)
         found, times = [np.array([END_GRAM])], [np.array([sum(not d[1] for d in held)])]
         for start in range(0, len(words), 50_000):
