@@ -9,9 +9,11 @@ long lists are skipped: collisions there are counted by comparing the signatures
 that met. Pairs above the match threshold are confirmed on the full sets.
 
 Links are needed only as far as they tie components together. Members of a list are first
-compared with one pivot, then, where they are not tied yet, with another, and what is still apart
-from its list's largest component with all others. So a group of very many near copies costs a
-few comparisons per member, and no link between components is lost.
+compared with one pivot, the class with most shared coordinates. Only where a list then holds
+several components, what is outside its largest one is compared on: with those members that share
+one of the rarest shingles of both sets, if their ranks leave room for enough common ones. So a
+group of very many near copies costs a few comparisons per member, and no link between components
+is lost.
 """
 
 from __future__ import annotations
@@ -87,7 +89,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def prefixes(classes: DataFrame) -> DataFrame:
-    """cid, n, key: the rarest coordinate pairs of each class that can have a partner.
+    """cid, n, shared, key: the rarest coordinate pairs of each class that can have a partner.
 
     Pairs of a single class come first in the order of rarity and take up places in the prefix.
     The second pass counts among the classes that the first has left.
@@ -103,29 +105,28 @@ def prefixes(classes: DataFrame) -> DataFrame:
         keys = live.select("cid", F.explode("keys.key").alias("key"))
     chosen = F.slice("keys", 1, F.size("keys") - MATCHES + 1)
     return settle(
-        live.select("cid", F.explode(chosen).alias("k")).select("cid", "k.key")
-        .join(classes.select("cid", "n"), "cid"))
+        live.select("cid", F.size("keys").alias("shared"), F.explode(chosen).alias("k"))
+        .select("cid", "shared", "k.key").join(classes.select("cid", "n"), "cid"))
 
 
 def _similar_size(a: str, b: str):
     return ((100 * F.least(a, b)) >= (SIMILARITY * F.greatest(a, b)))
 
 
-def _meeting(postings: DataFrame, pivots: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Pairs of each list's members with its pivot, but those that are tied already."""
-    pairs = (
+def _enough(common, a: str, b: str):
+    """Whether that many common shingles make two sets of the given sizes similar."""
+    return common * (100 + SIMILARITY) >= SIMILARITY * (F.col(a) + F.col(b))
+
+
+def _meeting(postings: DataFrame) -> DataFrame:
+    """Pairs of each list's members with its pivot."""
+    pivots = settle(postings.groupBy("key").agg(
+        F.max(F.struct("shared", "cid")).alias("best"), F.count("*").alias("size"))
+        .filter("size > 1").select("key", F.col("best.cid").alias("pivot")))
+    return (
         postings.join(pivots, "key").filter("cid <> pivot")
         .select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b"))
         .distinct())
-    return pairs if roots is None else _apart(pairs, roots)
-
-
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    for side in ("a", "b"):
-        own = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-        pairs = pairs.join(own, side, "left").withColumn(
-            f"root_{side}", F.coalesce(f"root_{side}", side))
-    return pairs.filter("root_a <> root_b").select("a", "b")
 
 
 def _confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -138,11 +139,9 @@ def _confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
         pairs.join(sides["a"], "a").join(sides["b"], "b")
         .filter(_similar_size("n_a", "n_b") & (same >= MATCHES))
         .select("a", "b", "n_a", "n_b"))
-    wanted = settle(
-        met.select(F.col("a").alias("cid")).unionByName(met.select(F.col("b").alias("cid")))
-        .distinct().join(classes.select("cid", "s0", "s1"), "cid"))
-    sets = settle(_sets(docs, residue_filter(wanted, "s0", FILTER_BITS))
-                  .join(wanted, ["s0", "s1"]).select("cid", "shingles").dropDuplicates(["cid"]))
+    wanted = met.select(F.col("a").alias("cid")).unionByName(
+        met.select(F.col("b").alias("cid"))).distinct()
+    sets = _class_sets(docs, classes, wanted)
     both = (
         met.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("set_a")), "a")
         .join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("set_b")), "b")
@@ -152,7 +151,7 @@ def _confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
         for batch in batch_iter:
             keep = []
             for i in range(batch.num_rows):
-                a, b = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype=U64) for c in (2, 3))
+                a, b = (batch.column(c)[i].values.to_numpy() for c in (2, 3))
                 common = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(100 * common >= SIMILARITY * (len(a) + len(b) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -160,6 +159,13 @@ def _confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     return settle(both.mapInArrow(run, "a long, b long"))
 
 
+def _class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """cid and shingles, the full sets of the wanted classes."""
+    names = settle(classes.select("cid", "s0", "s1").join(wanted, "cid"))
+    return settle(_sets(docs, residue_filter(names, "s0", FILTER_BITS))
+                  .join(names, ["s0", "s1"]).select("cid", "shingles").dropDuplicates(["cid"]))
+
+
 def _sets(docs: DataFrame, bitmap: bytes) -> DataFrame:
     """Full sets of the classes that pass the bitmap, once per task."""
 
@@ -176,7 +182,7 @@ def _sets(docs: DataFrame, bitmap: bytes) -> DataFrame:
                                  FILTER_BITS)[0]
                 if passes and name not in given:
                     given.add(name)
-                    found.append((*name, shingles.tobytes()))
+                    found.append((*name, shingles.view(np.int64)))
                     held += 8 * len(shingles)
                 if held > 1 << 24:
                     yield rows(found)
@@ -187,9 +193,9 @@ def _sets(docs: DataFrame, bitmap: bytes) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [pa.array([f[0] for f in found], pa.int64()),
              pa.array([f[1] for f in found], pa.int64()),
-             pa.array([f[2] for f in found], pa.binary())], names=["s0", "s1", "shingles"])
+             pa.array([f[2] for f in found], pa.list_(pa.int64()))], names=["s0", "s1", "shingles"])
 
-    return docs.select("text").mapInArrow(run, "s0 long, s1 long, shingles binary")
+    return docs.select("text").mapInArrow(run, "s0 long, s1 long, shingles array<long>")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id",
@@ -214,17 +220,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id",
         .select("s0", "s1", "n", "rep", "sig").dropDuplicates(["s0", "s1"]))
     classes = settle(heads.withColumn("cid", F.monotonically_increasing_id()))
     postings = prefixes(classes)
-    lists = settle(postings.groupBy("key").agg(
-        F.min("cid").alias("first"), F.max("cid").alias("last"), F.count("*").alias("size")))
-    links = _confirm(given, classes, _meeting(
-        postings, lists.select("key", F.col("first").alias("pivot")), None))
-    longer = postings.join(lists.filter("size > 2").select("key"), "key", "left_semi")
-    longer = settle(longer)
-    roots = components(links)
-    links = links.unionByName(_confirm(given, classes, _meeting(
-        longer, lists.filter("size > 2").select("key", F.col("last").alias("pivot")), roots)))
+    links = _confirm(given, classes, _meeting(postings))
     roots = settle(components(links))
-    rest = settle(_confirm(given, classes, _remaining(longer, roots)))
+    rest = _confirm(given, classes, _remaining(given, classes, postings, roots))
     if not rest.isEmpty():
         roots = settle(components(links.unionByName(rest)))
     tied = (
@@ -242,28 +240,59 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id",
                 F.col("doc_id").eqNullSafe(own).alias("kept")))
 
 
-def _remaining(postings: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs within a list that lie in different components, after the pivots.
+def _mixed(postings: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of lists that hold several components: cid, n, root, and whether the class is
+    outside the largest component of one of its lists."""
+    tied = settle(
+        postings.join(roots.withColumnRenamed("node", "cid"), "cid", "left")
+        .select("key", "cid", "n", F.coalesce("root", "cid").alias("root")))
+    main = settle(
+        tied.groupBy("key", "root").agg(F.count("*").alias("size"))
+        .groupBy("key").agg(F.max(F.struct("size", "root")).alias("main"),
+                            F.count("*").alias("parts"))
+        .filter("parts > 1").select("key", F.col("main.root").alias("main")))
+    return settle(
+        tied.join(main, "key").groupBy("cid", "n", "root")
+        .agg(F.bool_or(F.col("root") != F.col("main")).alias("outside")))
+
+
+def _remaining(docs: DataFrame, classes: DataFrame, postings: DataFrame,
+               roots: DataFrame) -> DataFrame:
+    """Pairs in different components, of lists that hold several, which may still be similar.
 
-    Every member outside its list's largest component meets all members of the list of about its
-    size; members of that component do not meet one another.
+    Similar sets share one of their rarest quarter of shingles, in one order for all, and behind
+    the first common one both have room for the others.
     """
-    tied = postings.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-        "root", F.coalesce("root", "cid"))
-    tied = settle(tied)
-    sizes = tied.groupBy("key", "root").agg(F.count("*").alias("size"))
-    main = sizes.groupBy("key").agg(
-        F.max(F.struct("size", "root")).alias("main"), F.count("*").alias("parts")) \
-        .filter("parts > 1").select("key", F.col("main.root").alias("main"))
-    mixed = settle(tied.join(settle(main), "key"))
-    outside = mixed.filter("root <> main").select(
-        "key", F.col("cid").alias("x"), F.col("n").alias("n_x"), F.col("root").alias("root_x"))
+    members = _mixed(postings, roots)
+    return _prefix_pairs(_class_sets(docs, classes, members.select("cid")), members)
+
+
+def _prefix_pairs(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """a, b: members outside, with members of other components that they may be similar to."""
+    each = sets.select("cid", F.explode("shingles").alias("shingle"))
+    counts = settle(each.groupBy("shingle").agg(F.count("*").alias("met")).filter("met > 1"))
+    ranked = (
+        each.join(counts, "shingle").groupBy("cid")
+        .agg(F.sort_array(F.collect_list(F.struct("met", "shingle"))).alias("common"))
+        .join(members, "cid"))
+    # Shingles of a single set come first in the order of rarity.
+    alone = F.col("n") - F.size("common")
+    length = F.col("n") - F.expr(f"({SIMILARITY} * n + 99) div 100") + 1 - alone
+    prefix = settle(
+        ranked.filter(length > 0).select(
+            "cid", "n", "root", "outside", alone.alias("alone"),
+            F.posexplode(F.slice("common", F.lit(1), length.cast("int"))).alias("i", "c"))
+        .select("cid", "n", "root", "outside", (F.col("alone") + F.col("i")).alias("rank"),
+                "c.shingle"))
+    outside = prefix.filter("outside").select(
+        "shingle", *[F.col(c).alias(f"{c}_x") for c in ("cid", "n", "root", "rank")])
+    room = F.least(F.col("n") - F.col("rank"), F.col("n_x") - F.col("rank_x"))
     return (
-        mixed.select("key", "cid", "n", "root", "main")
-        .join(outside, "key")
+        prefix.join(outside, "shingle")
         .filter((F.col("root") != F.col("root_x")) & _similar_size("n", "n_x")
-                & ((F.col("root") == F.col("main")) | (F.col("cid") < F.col("x"))))
-        .select(F.least("cid", "x").alias("a"), F.greatest("cid", "x").alias("b"))
+                & _enough(room, "n", "n_x")
+                & (~F.col("outside") | (F.col("cid") < F.col("cid_x"))))
+        .select(F.least("cid", "cid_x").alias("a"), F.greatest("cid", "cid_x").alias("b"))
         .distinct())
 
 

@@ -120,19 +120,31 @@ def test_near_duplicates(spark):
     assert sorted(map(tuple, rows)) == sorted(near_expected(list(enumerate(texts))))
 
 
-def test_remaining_pairs_are_complete(spark):
-    """Where the pivots tie nothing, the last step alone compares every two members of a list."""
-    postings = spark.createDataFrame(
-        [(key, cid, 100) for key in (1, 2) for cid in range(12)] + [(3, 20, 100), (3, 21, 10)],
-        "key long, cid long, n long")
-    alone = spark.createDataFrame([(99, 99)], "node long, root long")
-    pairs = {tuple(r) for r in minhash._remaining(postings, alone).collect()}
-    assert pairs == {(a, b) for a in range(12) for b in range(a + 1, 12)}
-    tied = spark.createDataFrame([(i, 0 if i < 8 else 8) for i in range(11)],
-                                 "node long, root long")
-    pairs = {tuple(r) for r in minhash._remaining(postings, tied).collect()}
-    root = {i: 0 if i < 8 else 8 for i in range(11)} | {11: 11}
-    assert pairs == {(a, b) for a in range(12) for b in range(a + 1, 12) if root[a] != root[b]}
+def test_prefix_pairs_lose_no_link(spark):
+    """Where the pivots tie nothing, the last step finds every similar pair by itself."""
+    rng = random.Random(9)
+    sets = []
+    for _ in range(6):
+        base = rng.sample(range(400), rng.randint(8, 60))
+        for _ in range(12):
+            own = set(base)
+            for _ in range(rng.randint(0, len(base) // 4)):
+                own.discard(rng.choice(base))
+                own.add(rng.randrange(1000))
+            sets.append(sorted(own))
+    table = spark.createDataFrame(list(enumerate(sets)), "cid long, shingles array<long>")
+    members = table.select("cid", F.size("shingles").cast("long").alias("n"),
+                           F.col("cid").alias("root"), F.lit(True).alias("outside"))
+    found = {tuple(r) for r in minhash._prefix_pairs(table, members).collect()}
+    similar = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets))
+               if 100 * len(set(sets[a]) & set(sets[b])) >= 75 * len(set(sets[a] + sets[b]))}
+    assert len(similar) > 30 and similar <= found
+    assert len(found) < len(sets) * (len(sets) - 1) // 6
+    # Those of one component, and those that are both inside, are left out.
+    half = members.withColumns({"root": F.col("cid") % 2, "outside": F.col("cid") % 3 == 0})
+    found = {tuple(r) for r in minhash._prefix_pairs(table, half).collect()}
+    assert {p for p in similar if p[0] % 2 != p[1] % 2 and 0 in (p[0] % 3, p[1] % 3)} <= found
+    assert all(a % 2 != b % 2 and 0 in (a % 3, b % 3) for a, b in found)
 
 
 def test_near_edges(spark):
