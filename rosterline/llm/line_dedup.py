@@ -2,9 +2,10 @@
 
 Distinct lines are split into max_edits + 1 segments. Of two lines within max_edits edits one
 segment of the shorter occurs whole in the longer, and only at few places, which follow from both
-lengths. So segments are indexed by (length, segment number, text), the longer line probes the
-places that its length allows, and pairs that meet are verified by an edit distance whose band
-of the matrix is kept in the bits of two numbers.
+lengths. So segments are indexed by (length, segment number, text), and the longer line probes
+the places that its length allows. Pairs that meet and whose counts of frequent characters differ
+by no more than the edits allow are verified by an edit distance whose band of the matrix is kept
+in the bits of two numbers.
 """
 
 from __future__ import annotations
@@ -12,12 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_hash, fold_case, settle, unused
+from .common import doc_hash, settle, unused
 
 MAX_EDITS = 2
 MIN_CHARS = 32
-FILTER_WORDS = 1 << 16
+FILTER_WORDS = 1 << 18
 LAST = "decimal(38,0)"
+COUNTED = " eanti"  # characters whose counts are compared; ten bits hold each
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -28,7 +30,8 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     order = (F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(1 << 63)).cast(LAST))
              * F.lit(1 << 31).cast("decimal(11,0)")).cast(LAST)
     rows = docs.select("k0", "k1", order.alias("base"), F.posexplode(
-        F.split(fold_case(F.col("text")), "\n", -1)).alias("line_no", "line"))
+        F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), "\n", -1))
+        .alias("line_no", "line"))
     line = F.trim("line")
     return (
         rows.select("k0", "k1", (F.col("base") + F.col("line_no")).cast(LAST).alias("place"),
@@ -38,44 +41,60 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
                 F.xxhash64(F.lit(5), "line").alias("h1")))
 
 
-def _segment(length: Column, number: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 1) and size of a segment; the last ones take what is left over."""
-    small, rest = F.floor(length / parts), length % parts
-    longer = F.greatest(F.lit(0), F.lit(number) - (F.lit(parts) - rest))
-    start = F.lit(number) * small + longer + 1
-    size = small + (F.lit(number) >= F.lit(parts) - rest).cast("int")
-    return start.cast("int"), size.cast("int")
+def _keys(lines: DataFrame, places: list[tuple[int, int, int]], max_edits: int) -> DataFrame:
+    """id, key, counts: one row per line (id, line, counts) and place.
 
+    A place is (how much shorter the other line is, number of its segment, shift of this line's
+    substring from where the segment stands in the other). Of a length that does not divide
+    evenly the last segments take one character more.
+    """
+    parts = max_edits + 1
+    spec = F.array(*[F.struct(F.lit(s).alias("shorter"), F.lit(i).alias("number"),
+                              F.lit(d).alias("shift")) for s, i, d in places])
+    rows = lines.select("id", "counts", "line", F.length("line").alias("length"),
+                        F.explode(spec).alias("at"))
+    other = F.col("length") - F.col("at.shorter")
+    size, number = F.expr(f"(length - at.shorter) div {parts}").cast("int"), F.col("at.number")
+    short = parts - other % parts  # so many segments have the smaller size
+    start = number * size + F.greatest(F.lit(0), number - short) + F.col("at.shift") + 1
+    size = size + (number >= short).cast("int")
+    return rows.select(
+        "id", "counts",
+        F.xxhash64(other, number, F.substring(F.col("line"), start, size)).alias("key"))
 
-def _key(length: Column, number: int, text: Column) -> Column:
-    return F.xxhash64(length, F.lit(number), text)
 
+def _segment_places(max_edits: int) -> list[tuple[int, int, int]]:
+    return [(0, i, 0) for i in range(max_edits + 1)]
 
-def _index_keys(length: Column, max_edits: int) -> Column:
-    parts = max_edits + 1
-    keys = []
-    for i in range(parts):
-        start, size = _segment(length, i, parts)
-        keys.append(_key(length, i, F.substring("line", start, size)))
-    return F.array(*keys)
 
-
-def _probe_keys(length: Column, max_edits: int) -> Column:
-    """Keys of all substrings that can be a segment of a line at most as long.
+def _probe_places(max_edits: int) -> list[tuple[int, int, int]]:
+    """Where a segment of a line at most as long can stand in this one.
 
     With i segments before, at most i edits lie before a match and the rest behind it, so its
     place may differ by no more than that, counted from either end.
     """
-    parts, keys = max_edits + 1, []
-    for shorter in range(max_edits + 1):
-        other = length - shorter
-        for i in range(parts):
-            start, size = _segment(other, i, parts)
-            low = max(-i, shorter - (max_edits - i))
-            high = min(i, shorter + (max_edits - i))
-            for shift in range(low, high + 1):
-                keys.append(_key(other, i, F.substring("line", start + shift, size)))
-    return F.array_distinct(F.array(*keys))
+    return [(shorter, i, shift)
+            for shorter in range(max_edits + 1) for i in range(max_edits + 1)
+            for shift in range(max(-i, shorter - (max_edits - i)),
+                               min(i, shorter + (max_edits - i)) + 1)]
+
+
+def _counts() -> Column:
+    """How often the line has each of the counted characters, in one number."""
+    packed = F.lit(0).cast("long")
+    for i, c in enumerate(COUNTED):
+        n = F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(c), F.lit("")))
+        packed = packed + F.least(n, F.lit(1023)).cast("long") * (1 << 10 * i)
+    return packed
+
+
+def _close_counts(a: Column, b: Column, max_edits: int) -> Column:
+    """Whether the counts leave it possible: an edit changes two of them by one at most."""
+    total = F.lit(0).cast("long")
+    for i in range(len(COUNTED)):
+        total = total + F.abs(F.shiftright(a, 10 * i).bitwiseAND(1023)
+                              - F.shiftright(b, 10 * i).bitwiseAND(1023))
+    return total <= 2 * max_edits
 
 
 def edit_distance_within(a: Column, b: Column, max_edits: int) -> Column:
@@ -138,36 +157,46 @@ def edit_distance_within(a: Column, b: Column, max_edits: int) -> Column:
     return F.aggregate(columns, start, step, lambda s: s.far) <= k
 
 
-def _only(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Lines whose hash is among the wanted, and a few more: a filter of bounded size.
+def _marked(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Add ``listed``: true where the line's hash is among the wanted, and for a few others.
 
-    FILTER_WORDS numbers of 64 bits each are broadcast, whatever the number of wanted hashes.
+    FILTER_WORDS numbers of 64 bits are broadcast, whatever the number of wanted hashes.
     """
     word = F.pmod(F.col("h0"), F.lit(FILTER_WORDS))
     bit = F.pmod(F.shiftright("h0", 32), F.lit(64)).cast("int")
     one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
     flags = wanted.groupBy(word.alias("word")).agg(F.bit_or(one).alias("flags"))
     return (
-        lines.withColumn("word", word).join(F.broadcast(flags), "word")
-        .filter(F.col("flags").bitwiseAND(one) != 0).drop("word", "flags"))
+        lines.withColumn("word", word).join(F.broadcast(flags), "word", "left")
+        .withColumn("listed", F.coalesce(F.col("flags").bitwiseAND(one) != 0, F.lit(False)))
+        .drop("word", "flags"))
 
 
-def line_links(docs: DataFrame, max_edits: int = MAX_EDITS,
+def line_links(docs: DataFrame, firsts: DataFrame, max_edits: int = MAX_EDITS,
                min_chars: int = MIN_CHARS) -> DataFrame:
-    """Pairs of different lines within ``max_edits`` edits: h0, h1, and g0, g1, of both."""
+    """Pairs of different lines within ``max_edits`` edits: h0, h1, and g0, g1, of both.
+
+    ``firsts`` has each line's hashes and number of copies. Lines that surely have no copy are
+    taken as they stand; the others are made distinct.
+    """
     lines = _lines(docs, min_chars)
-    distinct = lines.groupBy("line").agg(F.count("*").alias("copies"))
-    length = F.length("line")
-    name = F.xxhash64(F.lit(3), "line")
-    index = distinct.select(name.alias("x"), F.explode(_index_keys(length, max_edits))
-                            .alias("key"))
-    probe = distinct.select(name.alias("y"), F.explode(_probe_keys(length, max_edits))
-                            .alias("key"))
-    met = settle(index.join(probe, "key").filter("x <> y").select("x", "y").distinct())
+    marked = _marked(lines.select("h0", "line"), firsts.filter("copies > 1"))
+    several = marked.filter("listed").groupBy("line").agg(F.min("h0").alias("h0"))
+    distinct = (
+        marked.filter("not listed").select("h0", "line").unionByName(several)
+        .select(F.col("h0").alias("id"), "line", _counts().alias("counts")))
+    index = _keys(distinct, _segment_places(max_edits), max_edits)
+    probe = _keys(distinct, _probe_places(max_edits), max_edits).select(
+        "key", F.col("id").alias("y"), F.col("counts").alias("counts_y"))
+    met = settle(
+        index.join(probe, "key")
+        .filter((F.col("id") != F.col("y"))
+                & _close_counts(F.col("counts"), F.col("counts_y"), max_edits))
+        .select(F.col("id").alias("x"), "y").distinct())
     wanted = met.select(F.col("x").alias("h0")).unionByName(met.select(F.col("y").alias("h0")))
     texts = settle(
-        _only(lines, wanted).groupBy("line").agg(F.count("*").alias("copies"))
-        .select(name.alias("h0"), F.xxhash64(F.lit(5), "line").alias("h1"), "line"))
+        _marked(lines, wanted).filter("listed").groupBy("line")
+        .agg(F.min("h0").alias("h0"), F.min("h1").alias("h1")))
     pairs = (
         met.join(texts.select(F.col("h0").alias("x"), F.col("h1"), F.col("line").alias("a")), "x")
         .join(texts.select(F.col("h0").alias("y"), F.col("h1").alias("g1"),
@@ -190,8 +219,9 @@ def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS,
     after.
     """
     lines = settle(_lines(docs, min_chars).select("k0", "k1", "place", "line_no", "h0", "h1"))
-    firsts = settle(lines.groupBy("h0", "h1").agg(F.min("place").alias("begin")))
-    links = line_links(docs, max_edits, min_chars)
+    firsts = settle(lines.groupBy("h0", "h1").agg(
+        F.min("place").alias("begin"), F.count("*").alias("copies")))
+    links = line_links(docs, firsts, max_edits, min_chars)
     both = links.unionByName(links.select(
         F.col("g0").alias("h0"), F.col("g1").alias("h1"), F.col("h0").alias("g0"),
         F.col("h1").alias("g1")))
@@ -202,7 +232,7 @@ def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS,
     linked = (
         both.join(firsts, ["h0", "h1"]).join(other, ["g0", "g1"])
         .groupBy("h0", "h1").agg(F.count("*").alias("n_links"), F.bool_or(earlier).alias("near")))
-    known = settle(firsts.join(linked, ["h0", "h1"], "left"))
+    known = settle(firsts.drop("copies").join(linked, ["h0", "h1"], "left"))
     return lines.join(known, ["h0", "h1"]).select(
         "k0", "k1", "line_no", (F.col("place") == F.col("begin")).alias("first"),
         F.coalesce("near", F.lit(False)).alias("near"),
@@ -219,7 +249,7 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """Per row: doc_id, n_lines, n_copies, n_near, n_links, dropped (line numbers from 0).
 
-    Lines are what line breaks separate, compared after lower-casing A-Z and trimming blanks.
+    Lines are what line breaks separate, compared in lower case and without blanks at the ends.
     Lines come in the order of (id, line number), null ids last. A line of at least ``min_chars``
     characters is dropped as a copy if an equal one comes before it, else as near if a different
     one within ``max_edits`` edits comes before. Shorter lines always stay. n_links counts, over

@@ -235,7 +235,7 @@ def line_corpus(seed: int = 1):
 
 def lines_expected(pairs, max_edits, min_chars):
     def plain(line):
-        return fold(line).strip(" ")
+        return line.lower().strip(" ")
 
     order = sorted({(doc_id, no, plain(line)) for doc_id, text in pairs
                     for no, line in enumerate((text or "").split("\n"))
