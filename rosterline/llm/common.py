@@ -8,10 +8,11 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import settle
+from ..sources.tables import default_shared_dir, settle
 
 __all__ = ["doc_hash", "fold_case", "id_remainder", "settle", "ship", "unused"]
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -47,11 +48,15 @@ def unused(df: DataFrame, *names: str) -> list[str]:
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+    """Let Python workers import this package from where the driver has it; set the shared folder
+    of a local session that has none; keep Arrow batches of long texts small.
 
     A cluster has the package installed, or it is given with --py-files; this serves sessions
     whose workers start in another folder.
     """
+    default_shared_dir(spark)
+    if spark.conf.get(BATCH_SETTING, None) in (None, "10000"):  # the default
+        spark.conf.set(BATCH_SETTING, "2000")
     environment = spark.sparkContext.environment
     root = str(Path(__file__).resolve().parents[2])
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
