@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -28,12 +29,14 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
+    shared = tempfile.TemporaryDirectory(prefix="bench-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", shared.name)
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
@@ -52,6 +55,7 @@ def main() -> None:
         "sf": os.path.basename(os.path.normpath(folder)).removeprefix("sf"),
     }))
     spark.stop()
+    shared.cleanup()
 
 
 if __name__ == "__main__":

@@ -204,6 +204,13 @@ class Inputs:
             "dte", F.year("dte").alias("yyyy"), F.month("dte").alias("mm"),
             F.weekofyear("dte").alias("ww"), F.trunc("dte", "week").alias("week_start"))
 
+    @cached_property
+    def workdays(self) -> DataFrame:
+        """A calendar without weekends, and without most of one month."""
+        free = F.dayofweek("dte").isin(1, 7) | F.col("dte").between(
+            F.lit(dt.date(1996, 3, 5)), F.lit(dt.date(1996, 3, 29)))
+        return self.calendar.filter(~free)
+
     @cached_property
     def cohorts(self) -> DataFrame:
         """Quarters of hiring, but for one."""

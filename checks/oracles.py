@@ -18,6 +18,8 @@ NAMED: dict[str, str] = {
     "current_manager": q.current_manager(),
     "roster": q.roster(),
     "daily_manager": q.daily_manager(),
+    "work_roster": q.roster("workdays"),
+    "work_manager": q.daily_manager("work_roster"),
     "closed": q.close("staff"),
     "run_1": q.insert("staff"),
     "run_2": q.close("run_1"),
@@ -64,6 +66,15 @@ BODIES: dict[str, str] = {
     "default_cascade": q.defaults("staff", SEGMENT_BOSS),
     "enrich": q.add_birth("staff"),
     "scd2_run": q.add_birth("run_9"),
+    "scd2_run_text": f"""select r.*, case when s.id is not null then 'note ' || s.id end as note
+ from ({q.add_birth("run_9")}) r left join staff s on s.id = r.id""",
+    "owner_conflicts": """select owner_id % 10 as owner_id, count(distinct person_name) as row_count
+ from staff group by 1 having count(distinct person_name) > 1""",
+    "default_cascade_repeated": q.defaults("staff", SEGMENT_BOSS),
+    "catalog_roundtrip": """select o_orderstatus, count(*) as orders, sum(o_custkey) as customers
+ from orders group by 1""",
+    "land_quoted": """select c_custkey, c_name || ', "' || c_mktsegment || '"' || chr(10) || 'next line'
+  as remark from customer""",
     "dim_view": "select * from staff_view",
     "classify_role": f"""select id, job_title, area, valid_to, {q.role_class()} as job_class
  from staff""",
@@ -80,6 +91,8 @@ BODIES: dict[str, str] = {
     "current_manager": "select * from current_manager",
     "daily_roster": "select * from roster",
     "daily_manager": "select * from daily_manager",
+    "daily_roster_workdays": "select * from work_roster",
+    "daily_manager_workdays": "select * from work_manager",
     "unify_activities": "select * from activities",
     "stamp_activities": q.STAMP,
     "activity_analysis": q.ANALYSIS,

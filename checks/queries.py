@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from rosterline.functions import (age, classify, fold_accents, fractional_months, month_diff,
                                   name_key, null_if, weeks_between)
-from rosterline.operators import (apply_defaults, backfill, clamp_valid_to, current_manager,
+from rosterline.operators import (apply_defaults, backfill, clamp_valid_to,
+                                  conflicting_owners, current_manager,
                                   daily_manager, daily_roster, dense_ids, dim_view,
                                   duplicate_keys, effective_manager, enrich, explode_days,
                                   first_role, join_overlapping, join_range, join_spread,
@@ -20,10 +22,12 @@ from rosterline.operators import (apply_defaults, backfill, clamp_valid_to, curr
                                   scd2_new_versions, scd2_soft_delete, spread_termination,
                                   subteam, subteam_active, tenure_metrics, with_group_values)
 from rosterline.plans import (ContactTables, RunOptions, StampTables, activity_analysis,
-                              adjusted_date, contact_analysis, scd2_run, stamp_activities,
+                              adjusted_date, contact_analysis, load_dim, scd2_run,
+                              stamp_activities,
                               unify_activities)
 from rosterline.schemas import SNAPSHOT
-from rosterline.sources import (clean_table, land_tables, read, read_first, scratch_path, settle,
+from rosterline.sources import (clean_table, default_shared_dir, land_tables, read, read_first,
+                                read_table, register, save_table, scratch_path, settle,
                                 staged_overwrite, write)
 
 from .inputs import AS_OF, RUN_DAY, Inputs
@@ -40,6 +44,7 @@ def query(name: str) -> Callable[[Build], Build]:
     def register(build: Build) -> Build:
         def run(spark: SparkSession, folder: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            default_shared_dir(spark)
             return build(Inputs(spark, folder))
 
         QUERIES[name] = run
@@ -122,6 +127,34 @@ def whole_run(t):
     return scd2_run(t.staff, t.snapshot, t.leavers, options, overrides(t))
 
 
+@query("scd2_run_text")
+def whole_run_as_landed(t):
+    """The run over a seed, a snapshot and leavers of nothing but text, as landed.
+
+    The seed has a column that the schema does not know, and the word NULL for what is missing.
+    """
+    def text(df: DataFrame, missing: str) -> DataFrame:
+        return df.select([F.coalesce(F.col(c).cast("string"), F.lit(missing)).alias(c)
+                          if kind != "string" else F.col(c) for c, kind in df.dtypes])
+
+    seed = text(t.staff.withColumn("note", F.concat(F.lit("note "), "id")), "NULL")
+    leavers = t.leavers.select("person_name", F.col("termination_raw").alias("termination_date"))
+    options = RunOptions(RUN_DAY, exempt=EXEMPT, segment_boss=SEGMENT_BOSS)
+    return scd2_run(load_dim(seed), text(t.snapshot, ""), leavers, options, overrides(t))
+
+
+@query("default_cascade_repeated")
+def defaults_of_repeated_overrides(t):
+    """Ids with two overrides: the greater one is taken, and no version is multiplied."""
+    twice = overrides(t).unionByName(overrides(t).withColumn("country_2", F.lit("N11")))
+    return apply_defaults(t.staff, twice, SEGMENT_BOSS)
+
+
+@query("owner_conflicts")
+def owners_of_several(t):
+    return conflicting_owners(t.staff.withColumn("owner_id", F.col("owner_id") % 10))
+
+
 # --- dimension view -----------------------------------------------------------------------
 
 @query("dim_view")
@@ -178,6 +211,16 @@ def manager_by_day(t):
     return daily_manager(view(t), t.calendar, AS_OF)
 
 
+@query("daily_roster_workdays")
+def roster_on_workdays(t):
+    return daily_roster(settle(view(t)), t.workdays, AS_OF)
+
+
+@query("daily_manager_workdays")
+def manager_on_workdays(t):
+    return daily_manager(view(t), t.workdays, AS_OF)
+
+
 # --- activities and contacts --------------------------------------------------------------
 
 @query("unify_activities")
@@ -275,6 +318,27 @@ def land(t):
             "person_name", F.col("termination_raw").alias("left_on")), "person_name", "left")
 
 
+@query("land_quoted")
+def land_quoted_cells(t):
+    """Cells with commas, quotes and line breaks."""
+    src, dst = scratch_path(t.spark, "tabs"), scratch_path(t.spark, "landed")
+    remark = F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"\nnext line'))
+    customers = t.table("customer").select("c_custkey", remark.alias("remark"))
+    customers.write.options(header=True, escape='"', quoteAll=True).csv(f"{src}/remarks")
+    land_tables(t.spark, src, dst, schemas={"remarks": customers.schema})
+    return read(t.spark, f"{dst}/remarks.parquet")
+
+
+@query("catalog_roundtrip")
+def through_the_catalog(t):
+    """A table saved by name, read by name, and named again for SQL."""
+    name = f"orders_{uuid.uuid4().hex}"
+    save_table(t.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus"), name)
+    register(read_table(t.spark, name), "named_orders")
+    return t.spark.sql("select o_orderstatus, count(*) as orders, sum(o_custkey) as customers "
+                       "from named_orders group by o_orderstatus")
+
+
 @query("clean_table")
 def clean(t):
     mixed = t.activities.select(

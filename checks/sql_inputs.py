@@ -109,6 +109,10 @@ select dte, cast(year(dte) as int) as yyyy, cast(month(dte) as int) as mm,
 from (select cast(unnest(generate_series(date '1995-01-01', date '2001-12-31',
       interval 1 day)) as date) as dte)"""
 
+SQL["workdays"] = """
+select * from calendar where dayofweek(dte) not in (0, 6)
+ and dte not between date '1996-03-05' and date '1996-03-29'"""
+
 SQL["cohorts"] = """
 select 'C' || cast(year(start_date) as varchar) || 'Q' || cast(quarter(start_date) as varchar)
   as name, start_date, cast(start_date + interval 3 month as date) - 1 as end_date

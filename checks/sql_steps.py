@@ -255,16 +255,16 @@ select p1.person_name, p1.job_title, p1.direct_report, {levels},
 from newest p1 {chain_joins('newest', False)}"""
 
 
-def roster() -> str:
+def roster(calendar: str = "calendar") -> str:
     y = AS_OF.year
     end = (f"case when p1.valid_to >= date '{y + 1}-01-01' then date '{y + 2}-01-01' "
            "else p1.valid_to end")
     return f"""select p1.*, c.*, b.direct_report as last_report
-from staff_view p1 left join calendar c on c.dte between p1.valid_from and {end}
+from staff_view p1 left join {calendar} c on c.dte between p1.valid_from and {end}
 left join staff_view b on b.person_name = p1.direct_report and b.reverse_rank_id = 1"""
 
 
-def daily_manager() -> str:
+def daily_manager(roster: str = "roster") -> str:
     levels = ", ".join(f"p{n}.person_name as level_{n}_name, p{n}.dte as level_{n}_dte, "
                        f"p{n}.job_class as level_{n}_class" for n in range(2, DEPTH + 1))
     default = "coalesce(b.manager, 'Inactive')"
@@ -273,7 +273,7 @@ def daily_manager() -> str:
  {manager_case('{n}', '0')} as manager_level,
  {manager_case('p{n}.person_name', default)} as manager,
  p1.hire_date, p1.class_start, p1.first_role_flag
-from roster p1 {chain_joins('roster', True)}
+from {roster} p1 {chain_joins(roster, True)}
 left join current_manager b
  on {name_key('p1.direct_report')} = {name_key('b.person_name')}"""
 

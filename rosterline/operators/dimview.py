@@ -38,11 +38,10 @@ def first_role(df: DataFrame, person: str = "person_name", role: str = "job_clas
     return df.withColumn("first_role_flag", flag)
 
 
-def ranked_versions(dim: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def ranked_versions(dim: DataFrame) -> DataFrame:
     """Versions numbered per person from the oldest and from the latest; ties go by id."""
     return (
-        rank_in_group(dim, ["person_name"], order="valid_from", tie="id", size="_versions",
-                      hot=hot)
+        rank_in_group(dim, ["person_name"], order="valid_from", tie="id", size="_versions")
         .withColumn("reverse_rank_id", F.col("_versions") - F.col("rank_id") + 1)
         .drop("_versions")
     )
@@ -58,7 +57,7 @@ def dim_view(dim: DataFrame, as_of: dt.date, rules: Sequence[Rule] = ROLE_RULES,
     named = dim.withColumns({c: name_key(c) for c in ("person_name", "direct_report")})
     # A group within a person who is not hot is not hot either.
     hot = hot_keys(named, ["person_name"], hot_rows)
-    ranked = with_group_values(ranked_versions(named, hot), ["person_name", "tenure_no"],
+    ranked = with_group_values(ranked_versions(named), ["person_name", "tenure_no"],
                                {"_active": F.min("active")}, hot=hot)
     first = F.col("rank_id") == 1
     start, day_after = F.col("valid_from"), F.date_add("valid_from", 1)

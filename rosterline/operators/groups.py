@@ -1,8 +1,9 @@
 """Group values, ranks, latest rows and duplicate keys.
 
-Groups of ordinary size use windows, several of which share one shuffle. If the count shows a hot
-group, its values come from an aggregate, which Spark combines before the shuffle, and a join
-that splits hot keys, so that no task gets a whole hot group.
+Values of groups of ordinary size come from windows, several of which share one shuffle. If the
+count shows a hot group, they come from an aggregate, which Spark combines before the shuffle, and
+a join that splits hot keys. Ranks come from a sort by range, the same way for every size. So no
+task gets a whole hot group.
 """
 
 from __future__ import annotations
@@ -13,10 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import settle
+from .ids import PLACE_BITS
 from .spread import HOT_ROWS, HotKeys, hot_keys, join_spread, renamed, same_keys
 
-ID_BLOCK = 1 << 22
-
 
 def with_group_values(df: DataFrame, keys: Sequence[str], values: dict[str, Column],
                       where: Column | None = None, hot: HotKeys | None = None,
@@ -38,47 +38,39 @@ def with_group_values(df: DataFrame, keys: Sequence[str], values: dict[str, Colu
 
 
 def rank_in_group(df: DataFrame, keys: Sequence[str], order: str, tie: str,
-                  rank: str = "rank_id", size: str | None = None, hot: HotKeys | None = None,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+                  rank: str = "rank_id", size: str | None = None) -> DataFrame:
     """Number a group's rows by (order, tie), and with ``size`` add the group's row count.
 
-    ``tie`` is a unique whole number.
+    Null keys form a group. Rows are sorted by range over many partitions, so that a group of any
+    size is spread over several, and stored: places and counts must come from the same cut. Rows
+    are then numbered within their partition only. A group that spans partitions is at an edge of
+    each, so the table of what comes before has two rows per partition at most and is broadcast.
     """
-    hot = hot_keys(df, keys, hot_rows) if hot is None else hot
-    if hot:
-        return _rank_by_steps(settle(df), keys, order, tie, rank, size)
+    by = [*keys, order, tie]
+    placed = settle(
+        df.repartitionByRange(*by).sortWithinPartitions(*by)
+        .withColumn("_place", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_part", F.shiftright("_place", PLACE_BITS))
+    pieces = placed.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_n"))
     group = Window.partitionBy(*keys)
-    ranked = df.withColumn(rank, F.row_number().over(group.orderBy(order, tie)))
-    if size:
-        ranked = ranked.withColumn(size, F.count(F.lit(1)).over(group).cast("int"))
-    return ranked
-
-
-def _rank_by_steps(df: DataFrame, keys: Sequence[str], order: str, tie: str, rank: str,
-                   size: str | None) -> DataFrame:
-    """Rank hot groups in steps of one ``order`` value and one block of ``tie`` values.
-
-    No step has more than ID_BLOCK rows, as ``tie`` is unique. Windows run over the steps' counts
-    and within steps only.
-    """
-    steps_by = [*keys, order, "_block"]
-    df = df.withColumn("_block", F.floor(F.col(tie) / ID_BLOCK))
-    before = (Window.partitionBy(*keys).orderBy(order, "_block")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    steps = df.groupBy(*steps_by).agg(F.count(F.lit(1)).alias("_n")).select(
-        *steps_by,
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        F.sum("_n").over(Window.partitionBy(*keys)).alias("_size"),
-    )
-    within = Window.partitionBy(*steps_by).orderBy(tie)
+    earlier = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    spanning = (
+        pieces.withColumns({
+            "_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
+            "_all": F.sum("_n").over(group), "_pieces": F.count(F.lit(1)).over(group)})
+        .filter("_pieces > 1").select("_part", *keys, "_before", "_all"))
+    here = ["_part", *keys]
+    piece = Window.partitionBy(*here)
     ranked = (
-        df.join(renamed(steps, steps_by, "_s_"), same_keys(steps_by, "_s_", True), "left")
-        .drop(*[f"_s_{c}" for c in steps_by])
-        .withColumn(rank, (F.col("_before") + F.row_number().over(within)).cast("int"))
-    )
+        placed.withColumns({
+            rank: F.row_number().over(piece.orderBy("_place")),
+            "_size": F.count(F.lit(1)).over(piece)})
+        .join(F.broadcast(renamed(spanning, here, "_s_")), same_keys(here, "_s_", True), "left"))
+    ranked = ranked.withColumn(
+        rank, (F.col(rank) + F.coalesce("_before", F.lit(0))).cast("int"))
     if size:
-        ranked = ranked.withColumn(size, F.col("_size").cast("int"))
-    return ranked.drop("_block", "_before", "_size")
+        ranked = ranked.withColumn(size, F.coalesce("_all", "_size").cast("int"))
+    return ranked.drop("_place", "_part", "_size", "_before", "_all", *[f"_s_{c}" for c in here])
 
 
 def latest_rows(df: DataFrame, keys: Sequence[str], order: str, tie: str | None = None,
@@ -97,6 +89,13 @@ def latest_rows(df: DataFrame, keys: Sequence[str], order: str, tie: str | None
     return best.select(*keys, "_best.*").select(*df.columns)
 
 
+def conflicting_owners(staff: DataFrame, owner: str = "owner_id",
+                       person: str = "person_name") -> DataFrame:
+    """Owners that more than one person has, with how many; lookups by owner would mix them."""
+    pairs = staff.filter(F.col(owner).isNotNull()).select(owner, person).distinct()
+    return duplicate_keys(pairs, [owner])
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))

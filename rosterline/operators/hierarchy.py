@@ -21,9 +21,10 @@ from ..functions.names import name_key
 from ..functions.rules import manager_words
 from ..sources.tables import settle
 from .dimview import INACTIVE, latest_version
-from .spread import (HOT_ROWS, PART, HotKeys, hot_keys, join_parts, join_spread, repeat_right,
-                     split_left)
-from .timeline import calendar_bounds, clip_days, explode_days, uncovered_days
+from .spread import (HOT_ROWS, PART, HotKeys, hot_keys, join_parts, join_spread, ordinary,
+                     repeat_right, split_left)
+from .timeline import (calendar_bounds, clip_days, distinct_days, explode_days, snap_to_days,
+                       uncovered_days)
 
 DEPTH = 7
 NO_MANAGER = "Other"
@@ -159,12 +160,12 @@ def open_days(view: DataFrame, calendar: DataFrame, as_of: dt.date) -> DataFrame
     """
     horizon, capped = dt.date(as_of.year + 1, 1, 1), dt.date(as_of.year + 2, 1, 1)
     end = F.when(F.col("valid_to") >= F.lit(horizon), F.lit(capped)).otherwise(F.col("valid_to"))
-    return clip_days(view.withColumn("_end", end), "valid_from", "_end",
-                     *calendar_bounds(calendar), into=DAYS).drop("_end")
+    clipped = clip_days(view.withColumn("_end", end), "valid_from", "_end",
+                        *calendar_bounds(calendar), into=DAYS).drop("_end")
+    return snap_to_days(clipped, calendar, *DAYS)
 
 
-def daily_roster(view: DataFrame, calendar: DataFrame, as_of: dt.date,
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+def daily_roster(view: DataFrame, calendar: DataFrame, as_of: dt.date) -> DataFrame:
     """One row per version and calendar day, with the calendar and the boss's own latest boss.
 
     Versions without a calendar day keep one row with a null day.
@@ -172,9 +173,16 @@ def daily_roster(view: DataFrame, calendar: DataFrame, as_of: dt.date,
     bosses = latest_version(view).select(
         F.col("person_name").alias("direct_report"), F.col("direct_report").alias("last_report"))
     versions = join_spread(open_days(view, calendar, as_of), bosses, ["direct_report"], "left",
-                           hot_rows=hot_rows)
-    return explode_days(versions).drop(*DAYS).join(calendar, "dte", "left").select(
-        *view.columns, *calendar.columns, "last_report")
+                           hot=ordinary("direct_report"))
+    listed = only_days(explode_days(versions).drop(*DAYS), calendar)
+    return listed.select(*view.columns, *calendar.columns, "last_report")
+
+
+def only_days(df: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Listed days with the calendar's columns, without days it lacks; null days stay."""
+    days = F.broadcast(distinct_days(calendar).withColumn("_there", F.lit(True)))
+    return df.join(days, "dte", "left").filter(
+        F.col("dte").isNull() | F.col("_there")).drop("_there")
 
 
 def manager_periods(view: DataFrame, calendar: DataFrame, as_of: dt.date,
@@ -211,12 +219,14 @@ def daily_manager(view: DataFrame, calendar: DataFrame, as_of: dt.date,
                   current: DataFrame | None = None, max_depth: int = DEPTH,
                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """The manager of every person on every calendar day, with the levels of the chain."""
-    return periods_to_days(manager_periods(view, calendar, as_of, current, max_depth, hot_rows))
+    return periods_to_days(
+        manager_periods(view, calendar, as_of, current, max_depth, hot_rows), calendar)
 
 
-def periods_to_days(periods: DataFrame) -> DataFrame:
-    """The rows of manager_periods once per day, with the days of the levels there are."""
+def periods_to_days(periods: DataFrame, calendar: DataFrame) -> DataFrame:
+    """The rows of manager_periods once per calendar day, with the days of the levels there are."""
     names = [c for c in periods.columns if c.startswith("level_") and c.endswith("_name")]
-    return explode_days(periods).withColumns({
+    listed = only_days(explode_days(periods), calendar.select("dte"))
+    return listed.withColumns({
         c.replace("_name", "_dte"): F.when(F.col(c).isNotNull(), F.col("dte")) for c in names
     }).drop(*DAYS)

@@ -31,8 +31,11 @@ def changed(pairs: Sequence[tuple[Column, Column]], null_safe: bool = False) ->
 
 def update_from(df: DataFrame, updates: DataFrame, on: Sequence[str],
                 cols: Sequence[str]) -> DataFrame:
-    """Take ``cols`` from the update row with the same key, where it has a value."""
-    updates = updates.select(*on, *[F.col(c).alias(f"_new_{c}") for c in cols])
+    """Take ``cols`` from the update with the same key, where it has a value.
+
+    If a key has several updates, the greatest value is taken, so that no row is multiplied.
+    """
+    updates = updates.groupBy(*on).agg(*[F.max(c).alias(f"_new_{c}") for c in cols])
     return (
         df.join(updates, list(on), "left")
         .withColumns({c: F.coalesce(f"_new_{c}", c) for c in cols})

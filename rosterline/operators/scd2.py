@@ -158,7 +158,8 @@ def scd2_new_versions(dim: DataFrame, snap: DataFrame, as_of: dt.date,
         known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
         for f in dim.schema.fields if f.name != "id"
     ])
-    return dim.unionByName(_with_ids(rows, dim, [PERSON])).distinct()
+    # Ids are unique, and a group gives one row, so neither side repeats a row.
+    return dim.unionByName(_with_ids(rows, dim, [PERSON]))
 
 
 def scd2_soft_delete(dim: DataFrame, snap: DataFrame, as_of: dt.date, exempt: str | None = None,

@@ -1,11 +1,13 @@
 """Equi joins that hold for any size and skew.
 
-The right side is counted first, up to SMALL_ROWS. If it is small, it is broadcast, and the left
-side stays where it is. Else rows are counted per key. A key with more than ``hot_rows`` rows on
-the left is cut into parts: its left rows get a part number from a hash of the row, its right
-rows are repeated once per part. Every left row still meets every right row of its key exactly
-once, so results do not change. The hash makes the part number the same when a task is run
-again. Where no key is hot the join is an ordinary one.
+Rows are counted per key. A key with more than ``hot_rows`` rows on the left is cut into parts: its
+left rows get a part number from a hash of the row, its right rows are repeated once per part.
+Every left row still meets every right row of its key exactly once, so results do not change. The
+hash makes the part number the same when a task is run again. Where no key is hot the join is an
+ordinary one, and whether to broadcast a side is left to the planner.
+
+Adaptive execution splits skewed joins too, but not where the next step needs the join's
+partitioning. A join that stands alone takes ``hot=ordinary(...)`` and is not counted.
 
 The list of hot keys goes through the driver and is broadcast. It cannot hold more than
 ``rows(left) / hot_rows`` entries: with the default, 10^12 left rows give at most 250,000 keys.
@@ -22,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 4_000_000
-SMALL_ROWS = 100_000
 NULL_PARTS = 1024  # rows with a null key match nothing; they are only kept from piling up
 PART = "_part"
 
@@ -32,12 +33,11 @@ class HotKeys:
     """How a join on some keys is spread.
 
     ``table`` holds keys with very many rows and the parts each is cut into; None if there are
-    none. ``small`` says that the right side was counted and can be broadcast.
+    none.
     """
 
     on: tuple[str, ...]
     table: DataFrame | None
-    small: bool = False
 
     def __bool__(self) -> bool:
         return self.table is not None
@@ -49,14 +49,9 @@ class HotKeys:
         return HotKeys(on, self.table.withColumnsRenamed(dict(zip(self.on, on))))
 
 
-def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    """Whether there are at most ``max_rows`` rows. Runs a job that counts no further."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """The table with a broadcast hint if it is small, else as it is."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
+def ordinary(*on: str) -> HotKeys:
+    """No key is cut; skew is left to adaptive execution."""
+    return HotKeys(on, None)
 
 
 def same_keys(on: Sequence[str], prefix: str, null_safe: bool = False) -> Column:
@@ -103,20 +98,6 @@ def hot_keys_each(df: DataFrame, ons: Sequence[Sequence[str]],
     return results
 
 
-def choose_spread(left: DataFrame, rights: Sequence[tuple[DataFrame, Sequence[str]]],
-                  hot_rows: int = HOT_ROWS) -> list[HotKeys]:
-    """How to join the left side to each (right side, keys): small sides need no count of keys.
-
-    The keys of all other sides are counted in one pass over the left.
-    """
-    limit = min(SMALL_ROWS, hot_rows)
-    small = [is_small(right, limit) for right, _ in rights]
-    counted = list(dict.fromkeys(tuple(on) for (_, on), fits in zip(rights, small) if not fits))
-    hot = dict(zip(counted, hot_keys_each(left, counted, hot_rows) if counted else []))
-    return [HotKeys(tuple(on), None, small=True) if fits else hot[tuple(on)]
-            for (_, on), fits in zip(rights, small)]
-
-
 def _with_parts(df: DataFrame, hot: HotKeys, null_safe: bool) -> DataFrame:
     table = renamed(hot.table, hot.on, "_hot_")
     return (
@@ -139,9 +120,7 @@ def split_left(df: DataFrame, hot: HotKeys, spread_by: Sequence[str] | None = No
 
 
 def repeat_right(df: DataFrame, hot: HotKeys, null_safe: bool = False) -> DataFrame:
-    """Repeat the rows of hot keys once per part, if there are any; hint a small side."""
-    if hot.small:
-        return F.broadcast(df)
+    """Repeat the rows of hot keys once per part, if there are any."""
     if not hot:
         return df
     last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
@@ -173,12 +152,12 @@ def join_spread(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     """Join on columns both sides name alike, plus an optional condition, splitting hot keys.
 
     Columns other than the keys must have different names on both sides. ``hot`` takes the result
-    of :func:`hot_keys` or :func:`choose_spread`, to save counting when a side is costly or used
-    again; its columns may be some of the join's.
+    of :func:`hot_keys` or :func:`ordinary`, to save counting when a side is costly or used again;
+    its columns may be some of the join's.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"join_spread keeps the left side whole; how={how!r} does not")
-    hot = choose_spread(left, [(right, on)], hot_rows)[0] if hot is None else hot
+    hot = hot_keys(left, on, hot_rows) if hot is None else hot
     left = split_left(left, hot, spread_by, null_safe)
     right = repeat_right(right, hot, null_safe)
     return join_parts(left, right, on, how, where, null_safe).drop(PART)

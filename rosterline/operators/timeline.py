@@ -9,10 +9,40 @@ from pyspark.sql import functions as F
 
 
 def calendar_bounds(calendar: DataFrame) -> tuple[Column, Column]:
-    """First and last day of a calendar without holes, as scalar subqueries."""
+    """First and last day of a calendar, as scalar subqueries."""
     return calendar.agg(F.min("dte")).scalar(), calendar.agg(F.max("dte")).scalar()
 
 
+def distinct_days(calendar: DataFrame) -> DataFrame:
+    """The calendar with one row a day at most: never more rows than a date has values."""
+    return calendar.filter(F.col("dte").isNotNull()).dropDuplicates(["dte"])
+
+
+def _holes(calendar: DataFrame) -> DataFrame:
+    """Days between the calendar's ends that it lacks, with its nearest days on both sides.
+
+    One task looks at all days, of which a calendar cannot have many.
+    """
+    days = calendar.select(F.col("dte").alias("before")).distinct()
+    gaps = days.withColumn("after", F.lead("before").over(Window.orderBy("before")))
+    return gaps.filter(F.datediff("after", "before") > 1).select(
+        F.explode(F.sequence(F.date_add("before", 1), F.date_sub("after", 1))).alias("hole"),
+        "before", "after")
+
+
+def snap_to_days(df: DataFrame, calendar: DataFrame, first: str = "first_day",
+                 last: str = "last_day") -> DataFrame:
+    """Move the ends of intervals inwards to days of the calendar; null if none is within."""
+    holes = F.broadcast(_holes(calendar))
+    ahead = holes.select(F.col("hole").alias(first), F.col("after").alias("_ahead"))
+    back = holes.select(F.col("hole").alias(last), F.col("before").alias("_back"))
+    moved = df.join(ahead, first, "left").join(back, last, "left")
+    start, end = F.coalesce("_ahead", first), F.coalesce("_back", last)
+    return moved.withColumns({
+        first: F.when(start <= end, start), last: F.when(start <= end, end),
+    }).select(*df.columns)
+
+
 def clip_days(df: DataFrame, start: str, end: str, low: Column, high: Column,
               into: tuple[str, str] = ("first_day", "last_day")) -> DataFrame:
     """Cut intervals to [low, high]; both ends are null where nothing is left."""

@@ -10,14 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import join_range
-from ..operators.spread import (HOT_ROWS, PART, choose_spread, join_parts, join_spread, lookup,
-                                repeat_right, split_left)
+from ..operators.spread import (HOT_ROWS, PART, HotKeys, hot_keys_each, join_parts, join_spread,
+                                ordinary, repeat_right, split_left)
 from ..operators.tenure import tenure_metrics
+from ..operators.timeline import distinct_days
 
 NO_COHORT = "Unidentified"
 FEED_PREFIX = "properties."
-OWNER = ["owner_id"]
-CALENDAR_DAYS = 4_000_000  # more than a date can tell apart, so any calendar with one row a day
+OWNER, OUTCOME = ["owner_id"], ["disposition_id"]
 
 
 @dataclass(frozen=True)
@@ -50,7 +50,7 @@ def unify_activities(feeds: Sequence[DataFrame], prefix: str = FEED_PREFIX,
     return strip_prefix(union, prefix).withColumn("activity_date", F.col(at).cast("date"))
 
 
-def staff_lookup(view: DataFrame, cohorts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def staff_lookup(view: DataFrame, cohorts: DataFrame) -> DataFrame:
     """Staff versions with their hire cohort, cut to what stamps show.
 
     The cohort depends on the hire date alone, so it is looked up here, not once per activity.
@@ -60,13 +60,16 @@ def staff_lookup(view: DataFrame, cohorts: DataFrame, hot_rows: int = HOT_ROWS)
                     "subteam", "subteam_active", "direct_report", "country", "country_2",
                     "segment"),
         cohorts.withColumnRenamed("name", "cohort"), "hire_date", "start_date", "end_date",
-        hot_rows=hot_rows)
+        hot=ordinary("_month"))
     return staff.drop("start_date", "end_date").withColumnRenamed("area", "team")
 
 
 def on_calendar(df: DataFrame, calendar: DataFrame, day: Column, prefix: str = "") -> DataFrame:
-    """Look a day up in the calendar; all its columns are null for a day it does not have."""
-    named = calendar.toDF(*[prefix + c for c in calendar.columns])
+    """Look a day up in the calendar; all its columns are null for a day it does not have.
+
+    A calendar has a row a day, made sure of here, so its size is bounded and it is broadcast.
+    """
+    named = F.broadcast(distinct_days(calendar)).toDF(*[prefix + c for c in calendar.columns])
     return df.join(named, day == F.col(f"{prefix}dte"), "left")
 
 
@@ -97,21 +100,21 @@ ACTIVITY_COLUMNS = ("activity_id", "company_id", "contact_ids", "activity_type",
                     "call_duration", "created_date")
 
 
-def _with_outcome(activities: DataFrame, dispositions: DataFrame, hot_rows: int) -> DataFrame:
+def _with_outcome(activities: DataFrame, dispositions: DataFrame, hot: HotKeys) -> DataFrame:
     labels = dispositions.select(F.col("id").alias("disposition_id"),
                                  F.col("label").alias("call_outcome"))
     return join_spread(
-        activities, labels, ["disposition_id"], "left", hot_rows=hot_rows,
+        activities, labels, OUTCOME, "left", hot=hot,
         spread_by=["activity_id"]).withColumn("created_date", F.col("created_at").cast("date"))
 
 
 def _sides(activities: DataFrame, tables: StampTables,
            hot_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Calendar, activities and staff, ready to be joined."""
-    staff = staff_lookup(tables.staff, tables.cohorts, hot_rows=hot_rows)
-    spread = choose_spread(activities, [(staff, OWNER)], hot_rows)[0]
-    facts = _with_outcome(activities, tables.dispositions, hot_rows)
-    return (lookup(tables.calendar, CALENDAR_DAYS), split_left(facts, spread, ["activity_id"]),
+    """Calendar, activities and staff, ready to be joined; keys are counted in one pass."""
+    staff = staff_lookup(tables.staff, tables.cohorts)
+    spread, outcome = hot_keys_each(activities, [OWNER, OUTCOME], hot_rows)
+    facts = _with_outcome(activities, tables.dispositions, outcome)
+    return (tables.calendar, split_left(facts, spread, ["activity_id"]),
             repeat_right(staff, spread))
 
 

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import weeks_between
 from ..functions.rules import first_match
-from ..operators.spread import (HOT_ROWS, PART, choose_spread, join_parts, join_spread, lookup,
+from ..operators.spread import (HOT_ROWS, PART, hot_keys_each, join_parts, join_spread, ordinary,
                                 repeat_right, split_left)
 from ..operators.tenure import tenure_metrics
-from .activity import CALENDAR_DAYS, NO_COHORT, OWNER, on_calendar, staff_lookup
+from .activity import NO_COHORT, OWNER, on_calendar, staff_lookup
 
 # Days by which a creation date moves, by week of tenure.
 SHIFTS = ((1, 6), (4, 6), (3, 13))
@@ -51,25 +51,24 @@ def contact_analysis(contacts: DataFrame, tables: ContactTables,
     """One row per contact and staff version valid on its creation day."""
     by_id = ["contact_id"]
     companies = tables.companies.select("company_id", "row_tag")
-    calendar = lookup(tables.calendar, CALENDAR_DAYS)
-    staff = staff_lookup(tables.staff, tables.cohorts, hot_rows)
+    calendar = tables.calendar
+    staff = staff_lookup(tables.staff, tables.cohorts)
     # Managers are keyed by owner too, so that the parts of hot owners serve for their join.
     managers = join_spread(
         tables.manager_periods.select("person_name", "first_day", "last_day", "manager"),
         tables.staff.select("owner_id", "person_name").distinct(), ["person_name"], "inner",
-        hot_rows=hot_rows)
-    to_company, to_staff, to_manager = choose_spread(
-        contacts, [(companies, ["company_id"]), (staff, OWNER), (managers, OWNER)], hot_rows)
+        hot=ordinary("person_name"))
+    to_company, to_owner = hot_keys_each(contacts, [["company_id"], OWNER], hot_rows)
     facts = join_spread(contacts, companies, ["company_id"], "left", hot=to_company,
                         spread_by=by_id)
     dated = on_calendar(facts, calendar, F.col("created_at").cast("date"), "original_")
     valid = F.col("original_dte").between(F.col("valid_from"), F.col("valid_to"))
-    owned = join_parts(split_left(dated, to_staff, by_id), repeat_right(staff, to_staff), OWNER,
+    owned = join_parts(split_left(dated, to_owner, by_id), repeat_right(staff, to_owner), OWNER,
                        "left", valid)
     adjusted = adjusted_date(owned, "original_dte", "hire_date", calendar)
     on_day = F.col("adj_dte").between(F.col("first_day"), F.col("last_day"))
     managed = join_parts(
-        split_left(adjusted, to_manager, by_id), repeat_right(managers, to_manager),
+        split_left(adjusted, to_owner, by_id), repeat_right(managers, to_owner),
         [*OWNER, "person_name"], "left", on_day).drop(PART)
     # Adjusted dates count Monday weeks, original ones Sunday weeks.
     metrics = tenure_metrics(managed, "adj_dte", "hire_date", first_day="mon")

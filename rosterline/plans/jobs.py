@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dimview import dim_view
 from ..operators.hierarchy import manager_periods, periods_to_days
-from ..sources.tables import read, read_first, staged_overwrite, write
+from ..sources.tables import read, read_first, scratch, staged_overwrite, write
 from .activity import (FEED_PREFIX, StampTables, TenureOptions, activity_analysis,
                        unify_activities)
 from .contacts import ContactTables, contact_analysis
@@ -29,21 +29,26 @@ def dimension_job(spark: SparkSession, history: str, seed: str, snapshot: str, l
 
     The history is its own input, so it is replaced by way of the staging table.
     """
-    dim = load_dim(read_first(spark, [history, seed]))
-    result = scd2_run(dim, read(spark, snapshot), read(spark, leavers), options, overrides)
-    staged_overwrite(result, history, staging)
+    with scratch(spark):
+        dim = load_dim(read_first(spark, [history, seed]))
+        result = scd2_run(dim, read(spark, snapshot), read(spark, leavers), options, overrides)
+        staged_overwrite(result, history, staging)
 
 
 def view_job(spark: SparkSession, dim: str, out: str, as_of: dt.date) -> None:
-    write(dim_view(load_dim(read(spark, dim)), as_of), out, sort_by=["person_name", "valid_from"])
+    with scratch(spark):
+        view = dim_view(load_dim(read(spark, dim)), as_of)
+        write(view, out, sort_by=["person_name", "valid_from"])
 
 
 def manager_job(spark: SparkSession, view: str, calendar: str, out: str, periods_out: str,
                 as_of: dt.date) -> None:
     """Daily managers by year, and the periods they come from, which the contact job reads."""
     staff, days = read(spark, view), read(spark, calendar)
-    write(manager_periods(staff, days, as_of), periods_out, sort_by=["person_name", "first_day"])
-    daily = periods_to_days(read(spark, periods_out))
+    with scratch(spark):
+        write(manager_periods(staff, days, as_of), periods_out,
+              sort_by=["person_name", "first_day"])
+    daily = periods_to_days(read(spark, periods_out), days)
     write(daily.withColumn("yyyy", F.year("dte")), out, YEAR, ["person_name", "dte"])
 
 

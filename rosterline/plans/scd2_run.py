@@ -5,9 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame
 
 from ..functions.names import name_key
 from ..operators.scd2 import (PERSON, apply_defaults, backfill, clamp_valid_to,
@@ -15,7 +13,8 @@ from ..operators.scd2 import (PERSON, apply_defaults, backfill, clamp_valid_to,
                               scd2_new_entities, scd2_new_versions, scd2_soft_delete,
                               spread_termination)
 from ..operators.spread import HOT_ROWS, hot_keys_each
-from ..schemas import STAFF_DIM
+from ..schemas import LEAVERS, SNAPSHOT, STAFF_DIM
+from ..sources.landing import typed
 from ..sources.tables import settle
 
 
@@ -33,32 +32,24 @@ class RunOptions:
 
 
 def load_dim(raw: DataFrame) -> DataFrame:
-    """Bring a stored or seed dimension to the schema.
+    """Bring a stored or seed dimension to the schema; columns beyond it stay.
 
-    Numbers and dates may come as text; what cannot be read as one, such as the word 'NULL' for
-    a missing termination, becomes null. Missing columns are null.
+    The word 'NULL' and empty cells are null; what else cannot be read is an error, as the result
+    replaces the history.
     """
-    found = {c.lower(): c for c in raw.columns}
-    kinds = dict(raw.dtypes)
-
-    def column(field) -> Column:
-        if field.name not in found:
-            return F.lit(None).cast(field.dataType).alias(field.name)
-        source = found[field.name]
-        col = F.col(source)
-        if kinds[source] == "string" and field.dataType != T.StringType():
-            col = F.trim(col)
-        return col.try_cast(field.dataType).alias(field.name)
-
-    return raw.select(*[column(f) for f in STAFF_DIM.fields])
+    return typed(raw, STAFF_DIM)
 
 
 def scd2_run(dim: DataFrame, snap: DataFrame, leavers: DataFrame, options: RunOptions,
              overrides: DataFrame | None = None) -> DataFrame:
-    """The dimension after the day's snapshot and leavers list have been taken in."""
+    """The dimension after the day's snapshot and leavers list have been taken in.
+
+    Both may come as text, as landed. Columns of the dimension beyond the schema stay; they are
+    null in new versions.
+    """
     as_of = options.as_of
-    snap = prepare_snapshot(snap)
-    leavers = leavers.withColumn(PERSON, name_key(PERSON))
+    snap = prepare_snapshot(typed(snap, SNAPSHOT))
+    leavers = typed(leavers, LEAVERS).withColumn(PERSON, name_key(PERSON))
     # Persons and bosses are counted once for all steps; a step adds a row per snapshot row at most.
     names = [PERSON, name_key("direct_report").alias("_boss")]
     hot, hot_bosses = hot_keys_each(dim.select(*names).unionByName(snap.select(*names)),

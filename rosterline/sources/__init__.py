@@ -1,8 +1,9 @@
-from .landing import clean_table, land_tables, read_tab, tab_names
-from .tables import (exists, read, read_first, register, save_table, scratch_path, settle,
-                     staged_overwrite, write)
+from .landing import clean_table, land_tables, read_tab, tab_names, typed
+from .tables import (default_shared_dir, exists, read, read_first, read_table, register,
+                     save_table, scratch, scratch_path, settle, staged_overwrite, write)
 
 __all__ = [
-    "clean_table", "exists", "land_tables", "read", "read_first", "read_tab", "register",
-    "save_table", "scratch_path", "settle", "staged_overwrite", "tab_names", "write",
+    "clean_table", "default_shared_dir", "exists", "land_tables", "read", "read_first",
+    "read_tab", "read_table", "register", "save_table", "scratch", "scratch_path", "settle",
+    "staged_overwrite", "tab_names", "typed", "write",
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,35 @@ def clean_table(df: DataFrame, int_columns: Sequence[str] = ()) -> DataFrame:
     return df.withColumns(cleaned)
 
 
+def typed(raw: DataFrame, schema: T.StructType, missing: str = "NULL") -> DataFrame:
+    """Bring a table to a schema; columns beyond it stay, after those of the schema.
+
+    Numbers, dates and times may come as text: an empty cell and the word ``missing`` are null,
+    anything else that cannot be read raises an error. Columns the table lacks are null.
+    """
+    found = {c.lower(): c for c in raw.columns}
+    kinds = dict(raw.dtypes)
+
+    def column(field: T.StructField) -> Column:
+        if field.name not in found:
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        source = found[field.name]
+        value = F.col(f"`{source}`")
+        if kinds[source] == field.dataType.simpleString():
+            return value.alias(field.name)
+        if kinds[source] == "string":
+            text = F.trim(value)
+            value = F.when((text != "") & (F.upper(text) != missing.upper()), text)
+        cast = value.try_cast(field.dataType)
+        wrong = F.concat(F.lit(f"{source} has a value that is no {field.dataType.simpleString()}: "),
+                         value.cast("string"))
+        return F.when(value.isNotNull() & cast.isNull(), F.raise_error(wrong).cast(
+            field.dataType)).otherwise(cast).alias(field.name)
+
+    rest = [F.col(f"`{c}`") for c in raw.columns if c.lower() not in schema.names]
+    return raw.select(*[column(f) for f in schema.fields], *rest)
+
+
 def tab_names(spark: SparkSession, src: str) -> list[str]:
     """Tabs below ``src``, one folder of CSV files each (``src/<tab>/*.csv``).
 
@@ -40,10 +69,14 @@ def tab_names(spark: SparkSession, src: str) -> list[str]:
 
 def read_tab(spark: SparkSession, src: str, tab: str,
              schema: T.StructType | None = None) -> DataFrame:
-    """One tab; all columns are text unless a schema is given."""
-    reader = spark.read.option("header", True)
+    """One tab; all columns are text unless a schema is given.
+
+    Cells may be quoted, with doubled quotes, commas and line breaks inside. With a schema a cell
+    that does not fit it is an error.
+    """
+    reader = spark.read.options(header=True, multiLine=True, quote='"', escape='"')
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(schema).option("mode", "FAILFAST")
     return reader.csv(f"{src.rstrip('/')}/{tab}")
 
 

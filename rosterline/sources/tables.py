@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Sequence
-from functools import cache
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +57,11 @@ def staged_overwrite(df: DataFrame, path: str, staging: str,
     write(read(df.sparkSession, staging), path, partition_by)
 
 
+def read_table(spark: SparkSession, name: str) -> DataFrame:
+    """A table or view of the catalog."""
+    return spark.table(name)
+
+
 def save_table(df: DataFrame, name: str) -> None:
     """Replace a catalog table with the result of a query."""
     df.write.mode("overwrite").format("parquet").saveAsTable(name)
@@ -69,26 +74,47 @@ def register(df: DataFrame, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, from spark.checkpoint.dir.
-
-    Where it is unset a local session gets a temporary folder; a cluster must name one.
-    """
+    """The folder all executors see, from spark.checkpoint.dir."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.conf.get("spark.master").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = _local_folder()
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return folder
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="rosterline-")
+def default_shared_dir(spark: SparkSession) -> None:
+    """Give a local session that has no spark.checkpoint.dir a folder in its warehouse."""
+    if (spark.conf.get("spark.checkpoint.dir", None) is None
+            and spark.conf.get("spark.master").startswith("local[")):
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        spark.conf.set("spark.checkpoint.dir", f"{warehouse}/_shared")
+
+
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the scratch tables that were stored meanwhile."""
+    paths: list[str] = []
+    token = _made.set(paths)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            place = hadoop(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    paths = _made.get()
+    if paths is not None:
+        paths.append(path)
+    return path
 
 
 def settle(df: DataFrame) -> DataFrame:

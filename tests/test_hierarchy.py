@@ -138,7 +138,7 @@ def test_periods_list_the_same_days(tangled):
 @pytest.mark.parametrize("hot_rows", [3, 10**6])
 def test_roster(tangled, hot_rows):
     view, days = tangled
-    got = daily_roster(view, days, AS_OF, hot_rows)
+    got = daily_roster(view, days, AS_OF)
     people = [r.asDict() for r in view.collect()]
     boss = {p["person_name"]: p["direct_report"] for p in people if p["reverse_rank_id"] == 1}
     expected = [(p["id"], d, boss.get(p["direct_report"])) for p in people
@@ -147,6 +147,24 @@ def test_roster(tangled, hot_rows):
     assert got.filter("dte is not null and yyyy is null").isEmpty()
 
 
+def test_calendar_with_holes(tangled):
+    """Only days of the calendar are listed; a version without any keeps one null day."""
+    view, days = tangled
+    some = days.filter("dayofweek(dte) not in (1, 7) and day(dte) not between 9 and 20")
+    there = {r["dte"] for r in some.collect()}
+    last = max(there)
+    people = [r.asDict() for r in view.collect()]
+    expected = [(p["id"], d) for p in people for d in
+                [d for d in _days(p, min(there), last) if d in there] or [None]]
+    got = daily_roster(view, some, AS_OF)
+    assert rows(got, "id", "dte") == sorted(expected, key=repr)
+    assert got.filter("dte is not null and yyyy is null").isEmpty()
+    whole = daily_manager(view, days, AS_OF).select("person_name", "dte", "manager", "level_2_name")
+    part = daily_manager(view, some, AS_OF).select("person_name", "dte", "manager", "level_2_name")
+    kept = whole.join(some.select("dte"), "dte", "left_semi").select(*whole.columns)
+    assert bag(part.filter("dte is not null")) == bag(kept)
+
+
 def _days(p, first, last):
     end = day("2022-01-01") if p["valid_to"] >= day("2021-01-01") else p["valid_to"]
     span = range((last - first).days + 1)

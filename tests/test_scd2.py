@@ -291,6 +291,14 @@ def test_load_and_job(spark, company, tmp_path):
                            "termination_date": F.lit("NULL"),
                            "updated_at": F.col("updated_at").cast("string")}).drop("training")
     loaded = load_dim(raw)
+    with pytest.raises(Exception, match="hire_date"):
+        load_dim(raw.withColumn("hire_date", F.lit("15/03/2021"))).collect()
+    extra = scd2_run(load_dim(raw.withColumn("note", F.concat(F.lit("n"), F.col("id")))),
+                     snap.select([F.col(c).cast("string") for c in snap.columns]),
+                     leavers.select([F.col(c).cast("string") for c in leavers.columns]),
+                     RunOptions(RUN))
+    assert bag(extra.drop("note")) == bag(scd2_run(dim, snap, leavers, RunOptions(RUN)))
+    assert extra.filter("note is not null").count() == dim.count()
     assert loaded.schema.simpleString() == STAFF_DIM.simpleString()
     assert bag(loaded) == bag(dim)
     paths = {k: str(tmp_path / k) for k in ("history", "seed", "snap", "leavers", "staging")}

@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterline.sources import (clean_table, exists, land_tables, read, read_first, register,
-                                save_table, settle, staged_overwrite, tab_names, write)
-from rosterline.sources.tables import shared_dir
-from tests.helpers import bag, rows
+                                save_table, scratch, settle, staged_overwrite, tab_names, typed,
+                                write)
+from rosterline.sources.tables import default_shared_dir, shared_dir
+from tests.helpers import bag, day, rows
 
 
 @pytest.fixture
@@ -86,9 +88,60 @@ class _Session:
 
 def test_shared_folder():
     assert shared_dir(_Session(spark_checkpoint_dir="/shared/x")) == "/shared/x"
-    assert "rosterline-" in shared_dir(_Session(spark_master="local[2]"))
+    for master in ("local[2]", "yarn"):
+        with pytest.raises(RuntimeError):
+            shared_dir(_Session(spark_master=master))
+
+
+def test_default_shared_folder():
+    session = _Session(spark_master="local[2]", spark_sql_warehouse_dir="/house/")
+    session.conf.set = session.conf.__setitem__
+    default_shared_dir(session)
+    assert shared_dir(session) == "/house/_shared"
+    cluster = _Session(spark_master="yarn", spark_sql_warehouse_dir="/house/")
+    default_shared_dir(cluster)
     with pytest.raises(RuntimeError):
-        shared_dir(_Session(spark_master="yarn"))
+        shared_dir(cluster)
+
+
+def test_scratch_goes_at_the_end(spark, table):
+    kept = settle(table)
+    with scratch(spark):
+        gone = settle(table)
+        assert gone.count() == 3
+    assert kept.count() == 3
+    assert not any(exists(spark, p) for p in gone.inputFiles())
+
+
+def test_typed(spark):
+    schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("d", T.DateType()),
+                           T.StructField("s", T.StringType()), T.StructField("x", T.LongType())])
+    raw = spark.createDataFrame([(" 5 ", "2020-01-02", " NULL", "own"), ("NULL", "", None, None),
+                                 ("null", None, "t", "")], "N string, d string, s string, extra string")
+    got = typed(raw, schema)
+    assert got.columns == ["n", "d", "s", "x", "extra"]
+    assert rows(got) == sorted([(5, day("2020-01-02"), " NULL", None, "own"),
+                                (None, None, None, None, None), (None, None, "t", None, "")],
+                               key=repr)
+    for bad in ("15/03/2021", "x"):
+        with pytest.raises(Exception, match="d has a value that is no date"):
+            typed(spark.createDataFrame([(bad,)], "d string"), schema).collect()
+
+
+def test_landing_of_quoted_cells(spark, tmp_path):
+    folder = tmp_path / "tabs" / "notes"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text('id,note\n1,"a, ""b"""\n2,"two\nlines"\n3,"1,5 ""x"" é"\n')
+    (tmp_path / "tabs" / "bad").mkdir()
+    (tmp_path / "tabs" / "bad" / "a.csv").write_text("id,note\nx,y\n")
+    src, dst = str(tmp_path / "tabs"), str(tmp_path / "landed")
+    schema = T.StructType([T.StructField("id", T.IntegerType()),
+                           T.StructField("note", T.StringType())])
+    land_tables(spark, src, dst, exclude=["bad"], schemas={"notes": schema})
+    assert rows(read(spark, f"{dst}/notes.parquet")) == [
+        (1, 'a, "b"'), (2, "two\nlines"), (3, '1,5 "x" é')]
+    with pytest.raises(Exception):
+        land_tables(spark, src, dst, exclude=["notes"], schemas={"bad": schema})
 
 
 def test_clean_table(spark):

@@ -88,16 +88,37 @@ def test_group_values(spark, facts, hot_rows):
     assert all((r["low"], r["n"]) == (min(groups[r["k"]]), len(groups[r["k"]])) for r in got)
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10**6])
-def test_rank_in_group(spark, hot_rows, monkeypatch):
-    from rosterline.operators import groups
-    monkeypatch.setattr(groups, "ID_BLOCK", 16)
+@pytest.mark.parametrize("parts", ["1", "4", "23"])
+def test_rank_in_group(spark, parts):
+    """Ranks do not depend on how many partitions a group spans."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        _check_ranks(spark)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_no_window_over_rows_is_by_the_key_alone(spark):
+    df = spark.createDataFrame([(1, "a", 1)], "id long, k string, d int")
+    plan = rank_in_group(df, ["k"], "d", "id", "rank", "size")._jdf.queryExecution() \
+        .analyzed().toString()
+    windows = [line for line in plan.splitlines() if line.strip(" :+-").startswith("Window")]
+    # Those by the key alone run over pieces: one row per key and partition.
+    assert windows and all("_part" in w or "_n#" in w or "count(1)" in w for w in windows)
+    over_rows = [w for w in windows if "row_number" in w]
+    assert over_rows and all("[_part#" in w for w in over_rows)
+
+
+def _check_ranks(spark):
     rng = random.Random(2)
     data = [(i, None if i % 5 == 0 else "a" if i % 2 else "b",
              None if i % 31 == 0 else rng.randrange(6)) for i in range(300)]
     df = spark.createDataFrame(data, "id long, k string, d int")
     got = {r["id"]: (r["rank"], r["size"]) for r in
-           rank_in_group(df, ["k"], "d", "id", "rank", "size", hot_rows=hot_rows).collect()}
+           rank_in_group(df, ["k"], "d", "id", "rank", "size").collect()}
     expected = {}
     for key in ("a", "b", None):
         group = sorted((r for r in data if r[1] == key),
