@@ -19,7 +19,7 @@ MAX_EDITS = 2
 MIN_CHARS = 32
 FILTER_WORDS = 1 << 18
 LAST = "decimal(38,0)"
-COUNTED = " eanti"  # characters whose counts are compared; ten bits hold each
+COUNTED = " e"  # characters whose counts are compared; ten bits hold each
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -41,26 +41,26 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
                 F.xxhash64(F.lit(5), "line").alias("h1")))
 
 
-def _keys(lines: DataFrame, places: list[tuple[int, int, int]], max_edits: int) -> DataFrame:
-    """id, key, counts: one row per line (id, line, counts) and place.
+def _keys(places: list[tuple[int, int, int]], max_edits: int) -> Column:
+    """One key per place of the column ``line``.
 
     A place is (how much shorter the other line is, number of its segment, shift of this line's
     substring from where the segment stands in the other). Of a length that does not divide
     evenly the last segments take one character more.
     """
     parts = max_edits + 1
+
+    def key(at: Column) -> Column:
+        other = F.col("length") - at.shorter
+        size = F.floor(other / parts).cast("int")
+        short = parts - other % parts  # so many segments have the smaller size
+        start = at.number * size + F.greatest(F.lit(0), at.number - short) + at.shift + 1
+        size = size + (at.number >= short).cast("int")
+        return F.xxhash64(other, at.number, F.substring(F.col("line"), start, size))
+
     spec = F.array(*[F.struct(F.lit(s).alias("shorter"), F.lit(i).alias("number"),
                               F.lit(d).alias("shift")) for s, i, d in places])
-    rows = lines.select("id", "counts", "line", F.length("line").alias("length"),
-                        F.explode(spec).alias("at"))
-    other = F.col("length") - F.col("at.shorter")
-    size, number = F.expr(f"(length - at.shorter) div {parts}").cast("int"), F.col("at.number")
-    short = parts - other % parts  # so many segments have the smaller size
-    start = number * size + F.greatest(F.lit(0), number - short) + F.col("at.shift") + 1
-    size = size + (number >= short).cast("int")
-    return rows.select(
-        "id", "counts",
-        F.xxhash64(other, number, F.substring(F.col("line"), start, size)).alias("key"))
+    return F.transform(spec, key)
 
 
 def _segment_places(max_edits: int) -> list[tuple[int, int, int]]:
@@ -106,19 +106,7 @@ def edit_distance_within(a: Column, b: Column, max_edits: int) -> Column:
     no more than that.
     """
     k = max_edits
-    mask = (1 << (2 * k + 1)) - 1
-    low, top = F.split(a, ""), 2 * k
-
-    def bits(char: Column, j: Column) -> Column:
-        found = F.lit(0).cast("long")
-        for t in range(2 * k + 1):
-            same = F.coalesce(F.get(low, j + (t - k)) == char, F.lit(False))
-            found = found + F.when(same, F.lit(1 << t)).otherwise(0).cast("long")
-        return found
-
-    size = F.length(a)
-    columns = F.transform(F.split(b, ""), lambda c, j: F.struct(bits(c, j).alias("x"),
-                                                                 j.alias("j")))
+    mask, top = (1 << (2 * k + 1)) - 1, 2 * k
 
     def let(value: Column, use) -> Column:
         return F.get(F.transform(F.array(value), use), 0)
@@ -130,31 +118,44 @@ def edit_distance_within(a: Column, b: Column, max_edits: int) -> Column:
     def inverted(value: Column) -> Column:
         return F.bitwise_not(value).bitwiseAND(mask)
 
-    def step(state: Column, column: Column) -> Column:
-        up, down, x = state.up, state.down, column.x
-        level = ((x.bitwiseAND(up) + up).bitwiseXOR(up)).bitwiseOR(x).bitwiseOR(down) \
-            .bitwiseAND(mask)
+    def follow(low: Column) -> Column:
+        def bits(char: Column, j: Column) -> Column:
+            found = F.lit(0).cast("long")
+            for t in range(2 * k + 1):
+                same = F.coalesce(F.get(low, j + (t - k)) == char, F.lit(False))
+                found = found + F.when(same, F.lit(1 << t)).otherwise(0).cast("long")
+            return found
+
+        def step(state: Column, column: Column) -> Column:
+            up, down, x = state.up, state.down, column.x
+            level = ((x.bitwiseAND(up) + up).bitwiseXOR(up)).bitwiseOR(x).bitwiseOR(down) \
+                .bitwiseAND(mask)
+
+            def with_level(d: Column) -> Column:
+                right_up = down.bitwiseOR(inverted(d.bitwiseOR(up)))
+                right_down = d.bitwiseAND(up)
 
-        def with_level(d: Column) -> Column:
-            right_up = down.bitwiseOR(inverted(d.bitwiseOR(up)))
-            right_down = d.bitwiseAND(up)
+                def with_row(h: Column) -> Column:
+                    next_ = F.shiftright(d, 1)
+                    row = F.size(low) - column.j - 1 + k  # the last row's bit in this column
+                    change = F.when(row >= top, 1 - bit(d, top)).otherwise(
+                        bit(h, row) - bit(right_down, row))
+                    return F.struct(
+                        right_down.bitwiseOR(inverted(next_.bitwiseOR(h))).alias("up"),
+                        next_.bitwiseAND(h).alias("down"), (state.far + change).alias("far"))
 
-            def with_row(h: Column) -> Column:
-                next_ = F.shiftright(d, 1)
-                row = size - column.j - 1 + k  # the last row's bit in this column
-                change = F.when(row >= top, 1 - bit(d, top)).otherwise(
-                    bit(h, row) - bit(right_down, row))
-                return F.struct(
-                    right_down.bitwiseOR(inverted(next_.bitwiseOR(h))).alias("up"),
-                    next_.bitwiseAND(h).alias("down"), (state.far + change).alias("far"))
+                return let(right_up, with_row)
 
-            return let(right_up, with_row)
+            return let(level, with_level)
 
-        return let(level, with_level)
+        columns = F.transform(F.split(b, ""), lambda c, j: F.struct(
+            bits(c, j).alias("x"), j.alias("j")))
+        start = F.struct(F.lit(mask & ~((1 << k) - 1)).cast("long").alias("up"),
+                         F.lit(0).cast("long").alias("down"), F.lit(k).alias("far"))
+        return F.aggregate(columns, start, step, lambda s: s.far) <= k
 
-    start = F.struct(F.lit(mask & ~((1 << k) - 1)).cast("long").alias("up"),
-                     F.lit(0).cast("long").alias("down"), F.lit(k).alias("far"))
-    return F.aggregate(columns, start, step, lambda s: s.far) <= k
+    # The characters are bound once: they would else be split anew at every step.
+    return let(F.split(a, ""), follow)
 
 
 def _marked(lines: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -182,17 +183,21 @@ def line_links(docs: DataFrame, firsts: DataFrame, max_edits: int = MAX_EDITS,
     lines = _lines(docs, min_chars)
     marked = _marked(lines.select("h0", "line"), firsts.filter("copies > 1"))
     several = marked.filter("listed").groupBy("line").agg(F.min("h0").alias("h0"))
-    distinct = (
-        marked.filter("not listed").select("h0", "line").unionByName(several)
-        .select(F.col("h0").alias("id"), "line", _counts().alias("counts")))
-    index = _keys(distinct, _segment_places(max_edits), max_edits)
-    probe = _keys(distinct, _probe_places(max_edits), max_edits).select(
-        "key", F.col("id").alias("y"), F.col("counts").alias("counts_y"))
+    distinct = marked.filter("not listed").select("h0", "line").unionByName(several)
+    coded = settle(
+        distinct.select("h0", "line", F.length("line").alias("length"))
+        .select("h0", _counts().alias("counts"),
+                _keys(_segment_places(max_edits), max_edits).alias("index"),
+                _keys(_probe_places(max_edits), max_edits).alias("probe")))
+    index = coded.select(F.col("h0").alias("x"), F.col("counts").alias("counts_x"),
+                         F.explode("index").alias("key"))
+    probe = coded.select(F.col("h0").alias("y"), F.col("counts").alias("counts_y"),
+                         F.explode("probe").alias("key"))
     met = settle(
         index.join(probe, "key")
-        .filter((F.col("id") != F.col("y"))
-                & _close_counts(F.col("counts"), F.col("counts_y"), max_edits))
-        .select(F.col("id").alias("x"), "y").distinct())
+        .filter((F.col("x") != F.col("y"))
+                & _close_counts(F.col("counts_x"), F.col("counts_y"), max_edits))
+        .select("x", "y").distinct())
     wanted = met.select(F.col("x").alias("h0")).unionByName(met.select(F.col("y").alias("h0")))
     texts = settle(
         _marked(lines, wanted).filter("listed").groupBy("line")
