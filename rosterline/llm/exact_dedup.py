@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import fold_case, settle
 
-BLOCK_BYTES = 512
+BLOCK_BYTES = 256
 
 
 def name_by_sort(df: DataFrame, keys: Sequence[str], tie: str, name: str = "name") -> DataFrame:
@@ -139,6 +139,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = settle(block_names(docs, id_col, text_col, block_bytes))
     groups = rows.groupBy("level", "name").agg(
         F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return rows.join(groups, ["level", "name"]).select(
+    # Stored before the join, so that both sides are shuffled for it and a large group is split.
+    return rows.join(settle(groups), ["level", "name"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id"))
         .alias("kept"), "text_sha256", "level", "name")
