@@ -64,7 +64,7 @@ class Inputs:
         left_on = _day(hired + v * 400 + 200)
         gone = last & (s % 9 == 0)
         return (
-            self.table("supplier").filter(s % 13 != 5)
+            self.table("supplier")
             .withColumn("v", F.explode(F.sequence(F.lit(0), (s % 4).cast("int"))))
             .select(
                 (s * 10 + v).alias("id"),
@@ -110,11 +110,15 @@ class Inputs:
 
     @cached_property
     def snapshot(self) -> DataFrame:
-        """A staff list of the day: untidy names, accents, new and missing people."""
+        """A staff list of the day: untidy names, accents.
+
+        Some people stand under another name: new people, while the old ones are missing.
+        """
         s = F.col("s_suppkey")
-        return self.table("supplier").filter(s % 11 != 3).select(
+        return self.table("supplier").select(
             s.alias("person_no"),
-            F.concat(F.lit("  "), F.replace("s_name", F.lit("#"), F.lit("  ")), F.lit(" "))
+            F.concat(F.when(s % 11 == 3, "Ex").otherwise("  "),
+                     F.replace("s_name", F.lit("#"), F.lit("  ")), F.lit(" "))
             .alias("person_name"),
             F.when(s % 7 == 0, _pick((s + s % 4) % 8, TITLES, "SDR Intern"))
             .when(s % 5 == 0, "Sales Manager").otherwise("Key Account Manager")
@@ -191,9 +195,9 @@ class Inputs:
 
     @cached_property
     def dispositions(self) -> DataFrame:
-        """Call results: the order states but for one, which then has no label."""
-        return (self.table("orders").filter(F.col("o_orderstatus") != "P")
-                .groupBy(F.col("o_orderstatus").alias("id"))
+        """Call results: the order states, one under a name that no activity has."""
+        named = F.when(F.col("o_orderstatus") == "P", "PART").otherwise(F.col("o_orderstatus"))
+        return (self.table("orders").groupBy(named.alias("id"))
                 .agg(F.concat(F.lit("Result "), F.min("o_orderstatus")).alias("label")))
 
     @cached_property
@@ -213,11 +217,11 @@ class Inputs:
 
     @cached_property
     def cohorts(self) -> DataFrame:
-        """Quarters of hiring, but for one."""
+        """Quarters of hiring, one of them moved to where nobody was hired."""
         quarter = F.trunc("hire_date", "quarter")
+        moved = F.when(quarter == F.lit(dt.date(1995, 4, 1)), F.lit(dt.date(2090, 4, 1)))
         return (
-            self.dim.select(quarter.alias("start_date")).distinct()
-            .filter(F.col("start_date") != F.lit(dt.date(1995, 4, 1)))
+            self.dim.select(F.coalesce(moved, quarter).alias("start_date")).distinct()
             .select(
                 F.concat(F.lit("C"), F.year("start_date").cast("string"), F.lit("Q"),
                          F.quarter("start_date").cast("string")).alias("name"),

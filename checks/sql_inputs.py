@@ -47,12 +47,13 @@ select s_suppkey*10+v as id, replace(s_name,'#',' ') as person_name,
 from (select *, cast(s_suppkey*37%600 as int) as hired, v >= s_suppkey%4 as last_one,
        v >= s_suppkey%4 and s_suppkey%9=0 as gone
       from supplier, (select cast(unnest(range(4)) as int) as v)
-      where v <= s_suppkey%4 and s_suppkey%13 <> 5)"""
+      where v <= s_suppkey%4)"""
 
 SQL["staff"] = f"select {STAFF_COLUMNS} from dim"
 
 SQL["snapshot"] = f"""
-select s_suppkey as person_no, '  ' || replace(s_name,'#','  ') || ' ' as person_name,
+select s_suppkey as person_no, case when s_suppkey%11=3 then 'Ex' else '  ' end
+  || replace(s_name,'#','  ') || ' ' as person_name,
  case when s_suppkey%7=0 then {TITLE.format(i='((s_suppkey+s_suppkey%4)%8)')}
   when s_suppkey%5=0 then 'Sales Manager' else 'Key Account Manager' end as job_title,
  case when s_suppkey%2=0 then 'No' else 'Si' end as has_reports,
@@ -66,7 +67,7 @@ select s_suppkey as person_no, '  ' || replace(s_name,'#','  ') || ' ' as person
  {ZERO} + cast(s_suppkey*37%600 as int) as hire_date,
  cast(null as date) as termination_date,
  date '1960-01-01' + cast(s_suppkey*211%12000 as int) as birth_date
-from supplier where s_suppkey%11 <> 3"""
+from supplier"""
 
 # The snapshot as the run uses it.
 SQL["snap"] = """
@@ -100,8 +101,8 @@ select o_orderkey as activity_id,
 from orders"""
 
 SQL["dispositions"] = """
-select distinct o_orderstatus as id, 'Result ' || o_orderstatus as label
-from orders where o_orderstatus <> 'P'"""
+select distinct case o_orderstatus when 'P' then 'PART' else o_orderstatus end as id,
+ 'Result ' || o_orderstatus as label from orders"""
 
 SQL["calendar"] = """
 select dte, cast(year(dte) as int) as yyyy, cast(month(dte) as int) as mm,
@@ -116,8 +117,9 @@ select * from calendar where dayofweek(dte) not in (0, 6)
 SQL["cohorts"] = """
 select 'C' || cast(year(start_date) as varchar) || 'Q' || cast(quarter(start_date) as varchar)
   as name, start_date, cast(start_date + interval 3 month as date) - 1 as end_date
-from (select distinct cast(date_trunc('quarter', hire_date) as date) as start_date from dim)
-where start_date <> date '1995-04-01'"""
+from (select distinct case when date_trunc('quarter', hire_date) = date '1995-04-01'
+  then date '2090-04-01' else cast(date_trunc('quarter', hire_date) as date) end as start_date
+ from dim)"""
 
 SQL["contacts"] = """
 select o_orderkey as contact_id, o_custkey as company_id,
