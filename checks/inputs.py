@@ -17,6 +17,15 @@ DAY_ZERO = dt.date(1995, 1, 1)
 LAST_DAY = dt.date(2001, 12, 31)
 TITLES = ("Senior Sales Head", "Sales Manager", "Junior Sales Developer", "Key Account Manager",
           "Customer Success Head", "Sales Representative", "VP Sales")
+# Titles that between them, over all areas, reach every rule that can be reached.
+ROLE_TITLES = (
+    "Chief Revenue Officer", "VP Sales", "Sales Country Manager", "Head of Expansions",
+    "Expansions specialist", "Senior Team Leader", "Industry Head", "Representative",
+    "Lead Representative", "Head of SDR", "Senior SDR Leader", "Junior Executive", "Intern",
+    "Executive", "VP Success", "Customer Success Senior Manager", "Student Success Manager",
+    "Customer Experience Manager", "Customer Sucess Manager", "Head of KAMs", "Expansion Head",
+    "Head of Care", "Sr Key Account", "Account Manager", "Analyst")
+ROLE_AREAS = ("Sales", "Customer", "growth", "SDR team")
 TABLES = {
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "

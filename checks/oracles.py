@@ -6,7 +6,7 @@ import re
 from functools import cache
 
 from . import sql_steps as q
-from .inputs import AS_OF, RUN_DAY
+from .inputs import AS_OF, ROLE_AREAS, ROLE_TITLES, RUN_DAY
 from .queries import EXEMPT, SEGMENT_BOSS
 from .sql_inputs import SQL
 
@@ -78,6 +78,9 @@ BODIES: dict[str, str] = {
     "dim_view": "select * from staff_view",
     "classify_role": f"""select id, job_title, area, valid_to, {q.role_class()} as job_class
  from staff""",
+    "classify_titles": f"""select *, {q.role_class()} as job_class from (
+ select id, ({list(ROLE_TITLES)})[id % {len(ROLE_TITLES)} + 1] as job_title,
+  ({list(ROLE_AREAS)})[id // 25 % {len(ROLE_AREAS)} + 1] as area, valid_to from staff)""",
     "subteam": f"""select id, case when {q.leader()} then person_name else direct_report end
   as subteam, case when {q.leader()} then case when active = 0 then 'Inactive'
   else person_name end else effective_boss end as subteam_active from staff""",

@@ -30,7 +30,7 @@ from rosterline.sources import (clean_table, default_shared_dir, land_tables, re
                                 read_table, register, save_table, scratch_path, settle,
                                 staged_overwrite, write)
 
-from .inputs import AS_OF, RUN_DAY, Inputs
+from .inputs import AS_OF, ROLE_AREAS, ROLE_TITLES, RUN_DAY, Inputs
 
 EXEMPT = "Supplier 000000003%"
 SEGMENT_BOSS = "Supplier 000000001"
@@ -168,6 +168,18 @@ def role_class(t):
                           classify().alias("job_class"))
 
 
+@query("classify_titles")
+def role_class_of_all_titles(t):
+    """Every version under one of many titles and areas; some end before the rule's change."""
+    def pick(values, index):
+        return F.element_at(F.array(*map(F.lit, values)), (index % len(values) + 1).cast("int"))
+
+    titled = t.staff.select(
+        "id", pick(ROLE_TITLES, F.col("id")).alias("job_title"),
+        pick(ROLE_AREAS, F.floor(F.col("id") / 25)).alias("area"), "valid_to")
+    return titled.withColumn("job_class", classify())
+
+
 @query("subteam")
 def teams(t):
     title, name = "job_title", F.col("person_name")

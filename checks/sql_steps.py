@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from rosterline.functions.rules import ROLE_RULES, Rule
 from rosterline.schemas import CARRIED, STAFF_DIM, TRACKED, VIEW_COLUMNS
 
 from .inputs import AS_OF, RUN_DAY
@@ -157,30 +156,44 @@ from {dim} d left join (select person_name, max(birth_date) as born from snap
 
 # --- dimension view -----------------------------------------------------------------------
 
-def rule_sql(rule: Rule, title: str, area: str, valid_to: str) -> str:
-    def has(col: str, pattern: str) -> str:
-        return f"{col} like '%{pattern}%'"
-
-    def one_of(col: str, patterns: Iterable[str]) -> str:
-        return "(" + " or ".join(has(col, p) for p in patterns) + ")"
-
-    parts = [has(title, p) for p in rule.title]
-    parts += [one_of(title, g) for g in (rule.title_any, rule.title_any2) if g]
-    parts += [f"{title} not like '%{p}%'" for p in rule.title_none]
-    if rule.title_is:
-        parts.append(f"{title} in ({', '.join(repr(t) for t in rule.title_is)})")
-    if rule.area:
-        parts.append(one_of(area, rule.area))
-    if rule.ends_from:
-        parts.append(f"{valid_to} >= date '{rule.ends_from}'")
-    return " and ".join(parts)
-
 
 def role_class(title: str = "job_title", area: str = "area", valid_to: str = "valid_to") -> str:
-    branches = " ".join(
-        f"when {rule_sql(r, f'lower({title})', f'lower({area})', valid_to)} then '{r.label}'"
-        for r in ROLE_RULES)
-    return f"case {branches} else 'Other' end"
+    """The role rules written out as SQL, apart from the library's rule table."""
+    t, a = f"lower({title})", f"lower({area})"
+    sales, customer = f"{a} like '%sales%'", f"{a} like '%customer%'"
+    leader = f"({t} like '%leader%' or {t} like '%head%')"
+    accounts = f"({t} like '%kam%' or {t} like '%account%' or {t} like '%key%')"
+    return f"""case
+ when {t} like '%chief revenue officer%' and {sales} then 'CSO'
+ when {t} like '%vp sales%' and {sales} then 'Sales VP'
+ when {t} like '%sales%manager%' and {sales} then 'Sales Manager'
+ when {t} like '%expansions%' and {t} like '%head%' then 'Expansions Head'
+ when {t} like '%expansions%' then 'Expansions Expert'
+ when {t} like '%senior%' and {leader} and {t} not like '%sdr%' and {sales} then 'Sr Industry Head'
+ when {leader} and {t} not like '%sdr%' and {sales} then 'Industry Head'
+ when {t} like '%representative%' and ({sales} or {a} like '%sdr%')
+  and {valid_to} >= date '2021-03-01' then 'Sales Developer Representative'
+ when {t} like '%representative%' and {t} like '%lead%' and ({sales} or {a} like '%sdr%')
+  then 'Sales Developer Representative Lead'
+ when {t} like '%representative%' and {a} like '%growth%' then 'Sales Developer Representative'
+ when {t} like '%sdr%' and {t} like '%head%' then 'SDR Head'
+ when {t} like '%senior%' and {sales} then 'Sr Business Developer'
+ when {t} like '%junior%' and {sales} then 'Jr Business Developer'
+ when {t} like '%intern%' and {sales} then 'Intern Comercial'
+ when {sales} then 'Business Developer'
+ when {t} like '%vp%' and {customer} then 'Customer Success VP'
+ when {t} = 'customer success senior manager' and {customer} then 'Customer Success Sr Manager'
+ when {t} = 'student success manager' and {customer} then 'Student Success Manager'
+ when {t} = 'customer experience manager' and {customer} then 'Customer Experience Manager'
+ when {t} in ('customer success manager', 'customer sucess manager') and {customer}
+  then 'Customer Success Manager'
+ when {t} like '%head%' and ({t} like '%kam%' or {t} like '%account%') and {customer}
+  then 'KAMs Head'
+ when {t} like '%head%' and {t} like '%expansion%' and {customer} then 'Expansions Head'
+ when {t} like '%head%' and {customer} then 'Customer Success Head'
+ when ({t} like '%sr%' or {t} like '%senior%') and {accounts} and {customer} then 'Sr KAM'
+ when {accounts} and {customer} then 'KAM'
+ else 'Other' end"""
 
 
 def leader(title: str = "job_title") -> str:

@@ -44,6 +44,11 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _name(column: str) -> str:
+    """A column name in SQL text, whatever characters it has."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 def _has(col: str, pattern: str) -> str:
     return f"{col} like {_quoted(f'%{pattern}%')}"
 
@@ -109,7 +114,7 @@ def classify(title: str = "job_title", area: str = "area", valid_to: str = "vali
 
     One SQL expression instead of a few hundred Column calls, each a round trip to the JVM.
     """
-    title, area = f"lower({title})", f"lower({area})"
+    title, area, valid_to = f"lower({_name(title)})", f"lower({_name(area)})", _name(valid_to)
     branches = " ".join(f"when {r.condition(title, area, valid_to)} then {_quoted(r.label)}"
                         for r in rules)
     return F.expr(f"case {branches} else {_quoted(default)} end")
@@ -117,7 +122,7 @@ def classify(title: str = "job_title", area: str = "area", valid_to: str = "vali
 
 def is_leader(title: str = "job_title") -> Column:
     """Leaders, heads, and managers other than key account managers."""
-    title = f"lower({title})"
+    title = f"lower({_name(title)})"
     return F.expr(f"{_any(title, ('leader', 'head'))} or "
                   f"({_has(title, 'manager')} and not {_has(title, 'key')})")
 
@@ -128,7 +133,7 @@ def manager_words(title: str = "job_title", area: str = "area") -> dict[str, Col
     The test at a level is ``(manager or vp_unless_manager_below or head) and not key``. The
     flags stay null for a null title, so that a missing level never passes.
     """
-    title, area = f"lower({title})", f"lower({area})"
+    title, area = f"lower({_name(title)})", f"lower({_name(area)})"
     return {
         "says_manager": F.expr(_has(title, "manager")),
         "says_vp": F.expr(_has(title, "vp sales")),
