@@ -3,9 +3,9 @@
 Distinct lines are split into max_edits + 1 segments. Of two lines within max_edits edits one
 segment of the shorter occurs whole in the longer, and only at few places, which follow from both
 lengths. So segments are indexed by (length, segment number, text), and the longer line probes
-the places that its length allows. Pairs that meet and whose counts of frequent characters differ
-by no more than the edits allow are verified by an edit distance whose band of the matrix is kept
-in the bits of two numbers.
+the places that its length allows. Keys of a single line are dropped by counting. Pairs that meet
+on the others, and whose counts of frequent characters differ by no more than the edits allow,
+are verified by an edit distance whose band of the matrix is kept in the bits of two numbers.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from .common import doc_hash, settle, unused
 
 MAX_EDITS = 2
 MIN_CHARS = 32
+WIDTH = 4  # bytes of a character in UTF-32
 FILTER_WORDS = 1 << 18
 LAST = "decimal(38,0)"
-COUNTED = " e"  # characters whose counts are compared; ten bits hold each
+COUNTED = " etaoinshrdlucmfwypvbgkjxqz.,"  # characters whose counts are compared
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -42,25 +43,22 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def _keys(places: list[tuple[int, int, int]], max_edits: int) -> Column:
-    """One key per place of the column ``line``.
+    """One key per place of a line, given by ``length`` and ``wide``, four bytes per character.
 
     A place is (how much shorter the other line is, number of its segment, shift of this line's
     substring from where the segment stands in the other). Of a length that does not divide
     evenly the last segments take one character more.
     """
-    parts = max_edits + 1
-
-    def key(at: Column) -> Column:
-        other = F.col("length") - at.shorter
-        size = F.floor(other / parts).cast("int")
+    parts, keys = max_edits + 1, []
+    for shorter, number, shift in places:
+        other = F.col("length") - shorter
+        size = F.expr(f"(length - {shorter}) div {parts}").cast("int")
         short = parts - other % parts  # so many segments have the smaller size
-        start = at.number * size + F.greatest(F.lit(0), at.number - short) + at.shift + 1
-        size = size + (at.number >= short).cast("int")
-        return F.xxhash64(other, at.number, F.substring(F.col("line"), start, size))
-
-    spec = F.array(*[F.struct(F.lit(s).alias("shorter"), F.lit(i).alias("number"),
-                              F.lit(d).alias("shift")) for s, i, d in places])
-    return F.transform(spec, key)
+        start = number * size + F.greatest(F.lit(0), number - short) + shift
+        size = size + (F.lit(number) >= short).cast("int")
+        keys.append(F.xxhash64(other, F.lit(number),
+                               F.substring("wide", start * WIDTH + 1, size * WIDTH)))
+    return F.array(*keys)
 
 
 def _segment_places(max_edits: int) -> list[tuple[int, int, int]]:
@@ -80,21 +78,16 @@ def _probe_places(max_edits: int) -> list[tuple[int, int, int]]:
 
 
 def _counts() -> Column:
-    """How often the line has each of the counted characters, in one number."""
-    packed = F.lit(0).cast("long")
-    for i, c in enumerate(COUNTED):
-        n = F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(c), F.lit("")))
-        packed = packed + F.least(n, F.lit(1023)).cast("long") * (1 << 10 * i)
-    return packed
+    """How often the line has each of the counted characters."""
+    return F.array(*[
+        F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(c), F.lit("")))
+        for c in COUNTED])
 
 
-def _close_counts(a: Column, b: Column, max_edits: int) -> Column:
+def _close_counts(a: str, b: str, max_edits: int) -> Column:
     """Whether the counts leave it possible: an edit changes two of them by one at most."""
-    total = F.lit(0).cast("long")
-    for i in range(len(COUNTED)):
-        total = total + F.abs(F.shiftright(a, 10 * i).bitwiseAND(1023)
-                              - F.shiftright(b, 10 * i).bitwiseAND(1023))
-    return total <= 2 * max_edits
+    apart = F.zip_with(a, b, lambda x, y: F.abs(x - y))
+    return F.aggregate(apart, F.lit(0), lambda total, n: total + n) <= 2 * max_edits
 
 
 def edit_distance_within(a: Column, b: Column, max_edits: int) -> Column:
@@ -158,50 +151,69 @@ def edit_distance_within(a: Column, b: Column, max_edits: int) -> Column:
     return let(F.split(a, ""), follow)
 
 
-def _marked(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Add ``listed``: true where the line's hash is among the wanted, and for a few others.
+def _listed(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Add ``listed``: true where the hash in the column is among the wanted, and for a few others.
 
     FILTER_WORDS numbers of 64 bits are broadcast, whatever the number of wanted hashes.
     """
-    word = F.pmod(F.col("h0"), F.lit(FILTER_WORDS))
-    bit = F.pmod(F.shiftright("h0", 32), F.lit(64)).cast("int")
+    word = F.pmod(F.col(column), F.lit(FILTER_WORDS))
+    bit = F.pmod(F.shiftright(column, 32), F.lit(64)).cast("int")
     one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
-    flags = wanted.groupBy(word.alias("word")).agg(F.bit_or(one).alias("flags"))
+    flags = settle(wanted.groupBy(word.alias("word")).agg(F.bit_or(one).alias("flags")))
     return (
-        lines.withColumn("word", word).join(F.broadcast(flags), "word", "left")
+        df.withColumn("word", word).join(F.broadcast(flags), "word", "left")
         .withColumn("listed", F.coalesce(F.col("flags").bitwiseAND(one) != 0, F.lit(False)))
         .drop("word", "flags"))
 
 
-def line_links(docs: DataFrame, firsts: DataFrame, max_edits: int = MAX_EDITS,
-               min_chars: int = MIN_CHARS) -> DataFrame:
+def _shared_keys(coded: DataFrame) -> DataFrame:
+    """kind (0 segment, 1 probe), h0 and key, for keys that several lines have.
+
+    The places of a line's own segments are among its probes, so these are all that is counted.
+    """
+    shared = settle(
+        coded.select("h0", F.explode("probe").alias("key")).groupBy("key")
+        .agg(F.min("h0").alias("least"), F.max("h0").alias("most"))
+        .filter("least <> most").select("key"))
+    every = coded.select("h0", F.explode("index").alias("key"), F.lit(0).alias("kind")) \
+        .unionByName(coded.select("h0", F.explode("probe").alias("key"), F.lit(1).alias("kind")))
+    return settle(_listed(every, "key", shared).filter("listed").select("kind", "h0", "key"))
+
+
+def line_links(docs: DataFrame, lines: DataFrame, firsts: DataFrame,
+               max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """Pairs of different lines within ``max_edits`` edits: h0, h1, and g0, g1, of both.
 
-    ``firsts`` has each line's hashes and number of copies. Lines that surely have no copy are
-    taken as they stand; the others are made distinct.
+    ``lines`` tells which document has which line, ``firsts`` each line's number of copies. Lines
+    that surely have no copy are taken as they stand; the others are made distinct.
     """
-    lines = _lines(docs, min_chars)
-    marked = _marked(lines.select("h0", "line"), firsts.filter("copies > 1"))
+    marked = _listed(_lines(docs, min_chars).select("h0", "line"), "h0",
+                     firsts.filter("copies > 1").select("h0"))
     several = marked.filter("listed").groupBy("line").agg(F.min("h0").alias("h0"))
     distinct = marked.filter("not listed").select("h0", "line").unionByName(several)
     coded = settle(
-        distinct.select("h0", "line", F.length("line").alias("length"))
-        .select("h0", _counts().alias("counts"),
-                _keys(_segment_places(max_edits), max_edits).alias("index"),
+        distinct.select("h0", F.length("line").alias("length"),
+                        F.encode("line", "UTF-32").alias("wide"))
+        .select("h0", _keys(_segment_places(max_edits), max_edits).alias("index"),
                 _keys(_probe_places(max_edits), max_edits).alias("probe")))
-    index = coded.select(F.col("h0").alias("x"), F.col("counts").alias("counts_x"),
-                         F.explode("index").alias("key"))
-    probe = coded.select(F.col("h0").alias("y"), F.col("counts").alias("counts_y"),
-                         F.explode("probe").alias("key"))
+    shared = _shared_keys(coded)
+    # Texts are fetched for these lines only, from the documents that have them.
+    wanted = settle(shared.select("h0").distinct())
+    homes = lines.join(wanted, "h0", "left_semi").select("k0")
+    some = _listed(docs, "k0", homes).filter("listed").drop("listed")
+    texts = settle(
+        _listed(_lines(some, min_chars), "h0", wanted).filter("listed").groupBy("line")
+        .agg(F.min("h0").alias("h0"), F.min("h1").alias("h1"))
+        .withColumn("counts", _counts()))
+    keyed = settle(shared.join(texts.select("h0", "counts"), "h0"))
+    index = keyed.filter("kind = 0").select(
+        "key", F.col("h0").alias("x"), F.col("counts").alias("counts_x"))
+    probe = keyed.filter("kind = 1").select(
+        "key", F.col("h0").alias("y"), F.col("counts").alias("counts_y"))
     met = settle(
         index.join(probe, "key")
-        .filter((F.col("x") != F.col("y"))
-                & _close_counts(F.col("counts_x"), F.col("counts_y"), max_edits))
+        .filter((F.col("x") != F.col("y")) & _close_counts("counts_x", "counts_y", max_edits))
         .select("x", "y").distinct())
-    wanted = met.select(F.col("x").alias("h0")).unionByName(met.select(F.col("y").alias("h0")))
-    texts = settle(
-        _marked(lines, wanted).filter("listed").groupBy("line")
-        .agg(F.min("h0").alias("h0"), F.min("h1").alias("h1")))
     pairs = (
         met.join(texts.select(F.col("h0").alias("x"), F.col("h1"), F.col("line").alias("a")), "x")
         .join(texts.select(F.col("h0").alias("y"), F.col("h1").alias("g1"),
@@ -226,7 +238,7 @@ def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS,
     lines = settle(_lines(docs, min_chars).select("k0", "k1", "place", "line_no", "h0", "h1"))
     firsts = settle(lines.groupBy("h0", "h1").agg(
         F.min("place").alias("begin"), F.count("*").alias("copies")))
-    links = line_links(docs, firsts, max_edits, min_chars)
+    links = line_links(docs, lines, firsts, max_edits, min_chars)
     both = links.unionByName(links.select(
         F.col("g0").alias("h0"), F.col("g1").alias("h1"), F.col("h0").alias("g0"),
         F.col("h1").alias("g1")))
