@@ -15,12 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bitmap import passes, residue_filter
 from .common import doc_hash, settle, unused
 from .wordhash import ALNUM, batches, grams, row_bounds, words_of
 
 WINDOW = 10
 SHINGLE = 3
-FILTER_BITS = 1 << 22
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text",
@@ -53,28 +53,13 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
         run, f"item_id {id_type}, win string, n int, grams array<long>")
 
 
-def residue_filter(keys: DataFrame, key: str = "gram", bits: int = FILTER_BITS) -> bytes:
-    """A bitmap of the keys' residues. At most ``bits`` numbers reach the driver, whatever the
-    number of keys; a key that is there always passes."""
-    seen = keys.select(F.pmod(F.col(key), F.lit(bits)).cast("int").alias("r")).distinct()
-    flags = np.zeros(bits, dtype=bool)
-    flags[seen.toArrow().column("r").to_numpy()] = True
-    return np.packbits(flags, bitorder="little").tobytes()
-
-
-def _passes(bitmap: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
-    residue = (hashes.view(np.int64) % bits).astype(np.int64)
-    return (bitmap[residue >> 3] >> (residue & 7).astype(np.uint8) & 1).astype(bool)
-
-
 def _sizes(windows: DataFrame, shingle: int) -> list[int]:
     """The shingle lengths in use: at most ``shingle`` numbers."""
     return sorted(r[0] for r in windows.select(
         F.least("n", F.lit(shingle)).alias("g")).distinct().collect())
 
 
-def rarity(docs: DataFrame, text_col: str, bitmap: bytes, sizes: list[int],
-           bits: int = FILTER_BITS) -> DataFrame:
+def rarity(docs: DataFrame, text_col: str, bitmap: bytes, sizes: list[int]) -> DataFrame:
     """How often each shingle that passes the bitmap occurs in all documents: g, gram, count."""
 
     def run(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,7 +73,7 @@ def rarity(docs: DataFrame, text_col: str, bitmap: bytes, sizes: list[int],
                     own = grams(hashes, g)
                     if not len(own):
                         continue
-                    own = own[(row[g - 1:] == row[:len(own)]) & _passes(flags, own, bits)]
+                    own = own[(row[g - 1:] == row[:len(own)]) & passes(flags, own)]
                     values, counts = np.unique(own, return_counts=True)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(values), g, dtype=np.int32)),
@@ -116,8 +101,8 @@ def prefixes(windows: DataFrame, counts: DataFrame, shingle: int = SHINGLE) -> D
     )
 
 
-def candidates(docs: DataFrame, text_col: str, bitmap: bytes, sizes: list[int], window: int,
-               bits: int = FILTER_BITS) -> DataFrame:
+def candidates(docs: DataFrame, text_col: str, bitmap: bytes, sizes: list[int],
+               window: int) -> DataFrame:
     """One row per document with n_words, and one per place whose shingle passes the bitmap.
 
     The latter carry the words that a window over the place can reach.
@@ -141,7 +126,7 @@ def candidates(docs: DataFrame, text_col: str, bitmap: bytes, sizes: list[int],
                     if not len(own):
                         continue
                     met = np.flatnonzero(
-                        (row[g - 1:] == row[:len(own)]) & _passes(flags, own, bits))
+                        (row[g - 1:] == row[:len(own)]) & passes(flags, own))
                     for i, at, gram in zip(met.tolist(), row[met].tolist(),
                                            own[met].view(np.int64).tolist()):
                         a = max(int(bounds[at]), i - window + g)
@@ -191,9 +176,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
         "doc_id", "text", *[h.alias(f"k{i}") for i, h in enumerate(doc_hash(
             F.col("doc_id"), F.col("text")))])
     every = rows.select(F.explode("grams").alias("gram"))
-    counts = rarity(keyed, "text", residue_filter(every), sizes)
+    counts = rarity(keyed, "text", residue_filter(every, "gram"), sizes)
     chosen = settle(prefixes(windows, counts, shingle))
-    found = settle(candidates(keyed, "text", residue_filter(chosen), sizes, window))
+    found = settle(candidates(keyed, "text", residue_filter(chosen, "gram"), sizes, window))
     start = F.col("left") - F.col("offset")
     hits = settle(
         found.filter("pos is not null").drop("n_words", "doc_id").join(chosen, ["g", "gram"])

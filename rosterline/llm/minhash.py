@@ -25,9 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bitmap import passes, residue_filter
 from .common import doc_hash, settle, unused
 from .components import components
-from .decontaminate import _passes, residue_filter
 from .wordhash import NOT_BLANK, batches, grams, mix, row_bounds, words_of
 
 U64 = np.uint64
@@ -35,7 +35,6 @@ WORDS = 5
 SIMILARITY = 75  # per cent
 COORDINATES = 64
 MATCHES = 32
-FILTER_BITS = 1 << 24
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=U64)) | U64(1)
 _SALTS = mix(np.arange(1001, COORDINATES + 1001, dtype=U64))
 
@@ -162,7 +161,7 @@ def _confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
 def _class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
     """cid and shingles, the full sets of the wanted classes."""
     names = settle(classes.select("cid", "s0", "s1").join(wanted, "cid"))
-    return settle(_sets(docs, residue_filter(names, "s0", FILTER_BITS))
+    return settle(_sets(docs, residue_filter(names, "s0"))
                   .join(names, ["s0", "s1"]).select("cid", "shingles").dropDuplicates(["cid"]))
 
 
@@ -178,9 +177,7 @@ def _sets(docs: DataFrame, bitmap: bytes) -> DataFrame:
                 if not len(shingles):
                     continue
                 name = _identity(shingles)
-                passes = _passes(flags, np.array(name[:1], dtype=np.int64).view(U64),
-                                 FILTER_BITS)[0]
-                if passes and name not in given:
+                if passes(flags, np.array(name[:1]))[0] and name not in given:
                     given.add(name)
                     found.append((*name, shingles.view(np.int64)))
                     held += 8 * len(shingles)

@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bitmap import passes, residue_filter
 from .common import doc_hash, settle
-from .decontaminate import _passes, residue_filter
 from .wordhash import mix, running_hash, span_hash
 
 U64 = np.uint64
@@ -33,7 +33,6 @@ QGRAM = 64
 GROUPS = (192, 16, 1)  # starts per group in each round; the first is the anchors' window
 CHUNK = 1 << 20
 PLACE_BITS = U64((1 << 24) - 1)
-FILTER_BITS = 1 << 24
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -159,10 +158,10 @@ def _groups(docs: DataFrame, filters: Sequence[bytes], min_bytes: int, groups: S
     def open_groups(chunk: Chunk, flags: list[np.ndarray], doc: int):
         own = (chunk.anchor, chunk.low, chunk.high)
         bucket = chunk.bucket(own, groups[0])
-        keep = _passes(flags[0], bucket, FILTER_BITS)
+        keep = passes(flags[0], bucket)
         for i in range(level):
             own, bucket = tuple(x[keep] for x in own), bucket[keep]
-            keep = _passes(flags[i + 1], chunk.member(own, bucket, doc), FILTER_BITS)
+            keep = passes(flags[i + 1], chunk.member(own, bucket, doc))
             own = chunk.split(groups[i + 1], tuple(x[keep] for x in own))
             bucket = chunk.bucket(own, groups[i + 1])
             keep = np.ones(len(bucket), dtype=bool)
@@ -190,8 +189,7 @@ def repeated_spans(docs: DataFrame, min_bytes: int = MIN_BYTES,
     ``min_bytes`` bytes occur elsewhere too. Together they cover every such string."""
     if groups[0] + qgram - 1 > min_bytes:
         raise ValueError("a window of q-grams must fit into min_bytes")
-    filters = [residue_filter(_bucket_counts(docs, min_bytes, groups, qgram), "bucket",
-                              FILTER_BITS)]
+    filters = [residue_filter(_bucket_counts(docs, min_bytes, groups, qgram), "bucket")]
     spans = None
     for level in range(len(groups)):
         found = settle(_groups(docs, filters, min_bytes, groups, qgram))
@@ -207,7 +205,7 @@ def repeated_spans(docs: DataFrame, min_bytes: int = MIN_BYTES,
                 F.count_if(F.col("n") == 1).alias("alone"), F.count("*").alias("kinds")) \
                 .filter("alone > 0 and kinds > 1").select("bucket")
             filters.append(residue_filter(
-                classes.join(mixed, "bucket", "left_semi"), "member", FILTER_BITS))
+                classes.join(mixed, "bucket", "left_semi"), "member"))
     return spans
 
 
@@ -240,7 +238,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = given.select("*", *[h.alias(f"k{i}") for i, h in enumerate(
         doc_hash(F.col("doc_id"), F.col("text")))])
     merged = settle(_merged(repeated_spans(keyed, min_bytes, groups, qgram)))
-    flags = residue_filter(merged, "k0", FILTER_BITS)
+    flags = residue_filter(merged, "k0")
     id_type = dict(given.dtypes)["doc_id"]
 
     def mark(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +246,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batch_iter:
             keys = batch.column(2).to_numpy().view(U64)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(_passes(bits, keys, FILTER_BITS))],
+                [*batch.columns, pa.array(passes(bits, keys))],
                 names=[*batch.schema.names, "marked"])
 
     def cut(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
