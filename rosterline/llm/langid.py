@@ -7,10 +7,9 @@ none is known. The language with the greatest sum wins.
 
 from __future__ import annotations
 
-import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +52,16 @@ class LanguageModel:
     word_scores: np.ndarray
     grams: list[str]
     gram_scores: np.ndarray
-    key: str = field(default_factory=lambda: uuid.uuid4().hex)
+
+    def packed(self) -> tuple:
+        """The model in a few large objects: words and n-grams have no blanks."""
+        return (self.languages, " ".join(self.words), self.word_scores, " ".join(self.grams),
+                self.gram_scores)
+
+    @staticmethod
+    def unpacked(packed: tuple) -> LanguageModel:
+        languages, words_, word_scores, grams, gram_scores = packed
+        return LanguageModel(languages, words_.split(), word_scores, grams.split(), gram_scores)
 
 
 def _log_frequencies(counts: dict[str, Counter], languages: list[str]):
@@ -168,17 +176,6 @@ class Scorer:
         return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
-_scorers: dict[str, Scorer] = {}
-
-
-def scorer(model: LanguageModel) -> Scorer:
-    """One scorer per Python worker and model."""
-    if model.key not in _scorers:
-        _scorers.clear()
-        _scorers[model.key] = Scorer(model)
-    return _scorers[model.key]
-
-
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text",
              pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
     """Add the predicted language of each whole text and its score from 0 to 1.
@@ -191,10 +188,11 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text",
     if clash:
         raise ValueError(f"columns exist already: {sorted(clash)}")
     place = docs.columns.index(text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.packed())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = scorer(shared.value)
+        # Made for the task and gone with it, so that idle workers keep no tables.
+        own = Scorer(LanguageModel.unpacked(shared.value))
         for batch in batches:
             found = [own.predict(t) for t in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays(
