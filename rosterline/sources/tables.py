@@ -73,9 +73,13 @@ def register(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+SHARED = "spark.checkpoint.dir"
+LOCAL_SHARED = "rosterline.shared.dir"  # the first cannot be set in a running session
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, from spark.checkpoint.dir."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get(SHARED, None) or spark.conf.get(LOCAL_SHARED, None)
     if folder is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return folder
@@ -83,10 +87,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 def default_shared_dir(spark: SparkSession) -> None:
     """Give a local session that has no spark.checkpoint.dir a folder in its warehouse."""
-    if (spark.conf.get("spark.checkpoint.dir", None) is None
+    if (spark.conf.get(SHARED, None) is None
             and spark.conf.get("spark.master").startswith("local[")):
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        spark.conf.set("spark.checkpoint.dir", f"{warehouse}/_shared")
+        spark.conf.set(LOCAL_SHARED, f"{warehouse}/_shared")
 
 
 _made: ContextVar[list[str] | None] = ContextVar("made", default=None)
