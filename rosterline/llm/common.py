@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import default_shared_dir, settle
 
-__all__ = ["doc_hash", "fold_case", "id_remainder", "settle", "ship", "unused"]
+__all__ = ["doc_hash", "fold_case", "id_remainder", "settle", "ship", "tidy", "unused"]
 
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -62,3 +66,21 @@ def ship(spark: SparkSession) -> None:
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A function over batches that gives its memory back when its task ends.
+
+    Python workers are kept for later tasks, beside whatever runs in the executor by then.
+    """
+    def to_the_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim is not None:
+                trim(0)
+
+    return to_the_end

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bitmap import passes, residue_filter
-from .common import doc_hash, settle, unused
+from .common import doc_hash, settle, tidy, unused
 from .wordhash import ALNUM, batches, grams, row_bounds, words_of
 
 WINDOW = 10
@@ -50,7 +50,7 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
                 names=["item_id", "win", "n", "grams"])
 
     return items.select(id_col, text_col).mapInArrow(
-        run, f"item_id {id_type}, win string, n int, grams array<long>")
+        tidy(run), f"item_id {id_type}, win string, n int, grams array<long>")
 
 
 def _sizes(windows: DataFrame, shingle: int) -> list[int]:
@@ -80,7 +80,7 @@ def rarity(docs: DataFrame, text_col: str, bitmap: bytes, sizes: list[int]) -> D
                          pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))],
                         names=["g", "gram", "count"])
 
-    return (docs.select(text_col).mapInArrow(run, "g int, gram long, count long")
+    return (docs.select(text_col).mapInArrow(tidy(run), "g int, gram long, count long")
             .groupBy("g", "gram").agg(F.sum("count").alias("count")))
 
 
@@ -151,7 +151,7 @@ def candidates(docs: DataFrame, text_col: str, bitmap: bytes, sizes: list[int],
     types = dict(docs.dtypes)
     schema = ", ".join([*[f"{c} {types[c]}" for c in columns], "n_words long", "pos long",
                         "g int", "gram long", "left int", "near string"])
-    return docs.select(*columns, text_col).mapInArrow(run, schema)
+    return docs.select(*columns, text_col).mapInArrow(tidy(run), schema)
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import unused
+from .common import tidy, unused
 from .token_counts import safe_pieces
 
 UNKNOWN = "und"
@@ -113,7 +113,7 @@ def learn(docs: DataFrame, where: Column | None = None, text_col: str = "text",
 
     counted = (
         labelled.filter(draw < share).select("lang", "text")
-        .mapInArrow(count, "lang string, word string, n long")
+        .mapInArrow(tidy(count), "lang string, word string, n long")
         .groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow())
     languages = sorted(sizes)
     by_word = {lang: Counter() for lang in languages}
@@ -201,7 +201,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text",
                 names=[*batch.schema.names, pred_col, score_col])
 
     added = StructType().add(pred_col, "string").add(score_col, "double")
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, *added.fields]))
+    return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields, *added.fields]))
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:

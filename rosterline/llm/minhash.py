@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitmap import passes, residue_filter
-from .common import doc_hash, settle, unused
+from .common import doc_hash, settle, tidy, unused
 from .components import components
 from .wordhash import NOT_BLANK, batches, grams, mix, row_bounds, words_of
 
@@ -84,7 +84,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n", "s0", "s1", "sig"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {id_type}, n long, s0 long, s1 long, sig array<long>")
+        tidy(run), f"doc_id {id_type}, n long, s0 long, s1 long, sig array<long>")
 
 
 def prefixes(classes: DataFrame) -> DataFrame:
@@ -155,7 +155,7 @@ def _confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
                 keep.append(100 * common >= SIMILARITY * (len(a) + len(b) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return settle(both.mapInArrow(run, "a long, b long"))
+    return settle(both.mapInArrow(tidy(run), "a long, b long"))
 
 
 def _class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -192,7 +192,7 @@ def _sets(docs: DataFrame, bitmap: bytes) -> DataFrame:
              pa.array([f[1] for f in found], pa.int64()),
              pa.array([f[2] for f in found], pa.list_(pa.int64()))], names=["s0", "s1", "shingles"])
 
-    return docs.select("text").mapInArrow(run, "s0 long, s1 long, shingles array<long>")
+    return docs.select("text").mapInArrow(tidy(run), "s0 long, s1 long, shingles array<long>")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id",

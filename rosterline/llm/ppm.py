@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import settle, tidy
 
 ORDER = 5  # at most 6: three bits of length, the bytes and a symbol fit a 64-bit number
 BLOCK_BYTES = 1 << 25
@@ -150,7 +150,7 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             yield rows(block, GRAM, len(grams[some]), gram=pa.array(grams[some]),
                        n=pa.array(total[some]))
 
-    return docs.select("doc_id", "text", "held_out").mapInArrow(run, ROWS.format(id=id_type))
+    return docs.select("doc_id", "text", "held_out").mapInArrow(tidy(run), ROWS.format(id=id_type))
 
 
 def contexts(grams: DataFrame) -> DataFrame:

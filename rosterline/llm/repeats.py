@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bitmap import passes, residue_filter
-from .common import doc_hash, settle
+from .common import doc_hash, settle, tidy
 from .wordhash import mix, running_hash, span_hash
 
 U64 = np.uint64
@@ -126,7 +126,7 @@ def _bucket_counts(docs: DataFrame, min_bytes: int, groups: Sequence[int],
             [pa.array(names.view(np.int64)), pa.array(counts.astype(np.int64))],
             names=["bucket", "n"])
 
-    return (docs.select("text").mapInArrow(run, "bucket long, n long")
+    return (docs.select("text").mapInArrow(tidy(run), "bucket long, n long")
             .groupBy("bucket").agg(F.sum("n").alias("n")).filter("n > 1"))
 
 
@@ -180,7 +180,7 @@ def _groups(docs: DataFrame, filters: Sequence[bytes], min_bytes: int, groups: S
             names=["bucket", "name", "member", "k0", "k1", "start", "end"])
 
     return docs.select("text", "k0", "k1").mapInArrow(
-        run, "bucket long, name long, member long, k0 long, k1 long, start long, end long")
+        tidy(run), "bucket long, name long, member long, k0 long, k1 long, start long, end long")
 
 
 def repeated_spans(docs: DataFrame, min_bytes: int = MIN_BYTES,
@@ -266,9 +266,9 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = "array<struct<start:bigint,end:bigint>>"
     # Documents that surely lose nothing are not moved.
     marked = keyed.mapInArrow(
-        mark, f"doc_id {id_type}, text string, k0 long, k1 long, marked boolean")
+        tidy(mark), f"doc_id {id_type}, text string, k0 long, k1 long, marked boolean")
     none = F.array().cast(kind)
     rows = marked.filter("marked").join(merged, ["k0", "k1"], "left").select(
         "doc_id", "text", F.coalesce("spans", none).alias("spans")).unionByName(
         marked.filter("not marked").select("doc_id", "text", none.alias("spans")))
-    return rows.mapInArrow(cut, f"doc_id {id_type}, n_bytes long, spans {kind}, kept binary")
+    return rows.mapInArrow(tidy(cut), f"doc_id {id_type}, n_bytes long, spans {kind}, kept binary")

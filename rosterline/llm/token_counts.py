@@ -14,6 +14,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import tidy
+
 BATCH_BYTES = 1 << 18
 PIECE_CHARS = 1 << 15
 # Cuts: before a blank, or before a word piece's space mark, between two letters or digits.
@@ -112,4 +114,4 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return docs.select(id_col, text_col).mapInArrow(
-        run, f"doc_id {id_type}, n_bytes long, n_tokens long, over_limit boolean")
+        tidy(run), f"doc_id {id_type}, n_bytes long, n_tokens long, over_limit boolean")

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
 from .wordhash import ALNUM, batches, mix, row_bounds, running_hash, span_hash
 
 U64 = np.uint64
@@ -114,7 +115,7 @@ def _collect(sample: DataFrame):
                 names=["label", "surface", "features"])
 
     found = sample.mapInArrow(
-        run, "label int, surface array<int>, features array<long>").toArrow()
+        tidy(run), "label int, surface array<int>, features array<long>").toArrow()
     # Rows arrive in any order; the fit should not depend on it.
     sums = [int(np.asarray(x.values).sum()) for x in found["features"]]
     found = found.take(pa.array(np.lexsort((sums, found["label"].to_numpy()))))
@@ -280,4 +281,4 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id",
                 names=["doc_id", "score", "predicted"])
 
     return docs.select(id_col, text_col).mapInArrow(
-        run, f"doc_id {id_type}, score double, predicted int")
+        tidy(run), f"doc_id {id_type}, score double, predicted int")

@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 
-BUFFER_BYTES = 1 << 20
+BUFFER_BYTES = 1 << 18
 U64 = np.uint64
 WHITE = b" \t\n\x0b\x0c\r"
 #: Bytes that are part of a word: all but blanks; and ASCII letters, digits and all non-ASCII.
