@@ -150,7 +150,8 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             yield rows(block, GRAM, len(grams[some]), gram=pa.array(grams[some]),
                        n=pa.array(total[some]))
 
-    return docs.select("doc_id", "text", "held_out").mapInArrow(tidy(run), ROWS.format(id=id_type))
+    return docs.select("doc_id", "text", "held_out").mapInArrow(
+        tidy(run), ROWS.format(id=id_type))
 
 
 def contexts(grams: DataFrame) -> DataFrame:
