@@ -71,10 +71,11 @@ BODIES: dict[str, str] = {
     "owner_conflicts": """select owner_id % 10 as owner_id, count(distinct person_name) as row_count
  from staff group by 1 having count(distinct person_name) > 1""",
     "default_cascade_repeated": q.defaults("staff", SEGMENT_BOSS),
-    "catalog_roundtrip": """select o_orderstatus, count(*) as orders, cast(sum(o_custkey) as bigint) as customers
+    "catalog_roundtrip": """select o_orderstatus, count(*) as orders,
+  cast(sum(o_custkey) as bigint) as customers
  from orders group by 1""",
-    "land_quoted": """select c_custkey, c_name || ', "' || c_mktsegment || '"' || chr(10) || 'next line'
-  as remark from customer""",
+    "land_quoted": """select c_custkey,
+  c_name || ', "' || c_mktsegment || '"' || chr(10) || 'next line' as remark from customer""",
     "dim_view": "select * from staff_view",
     "classify_role": f"""select id, job_title, area, valid_to, {q.role_class()} as job_class
  from staff""",

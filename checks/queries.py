@@ -347,7 +347,8 @@ def through_the_catalog(t):
     name = f"orders_{uuid.uuid4().hex}"
     save_table(t.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus"), name)
     register(read_table(t.spark, name), "named_orders")
-    return t.spark.sql("select o_orderstatus, count(*) as orders, cast(sum(o_custkey) as long) as customers "
+    return t.spark.sql("select o_orderstatus, count(*) as orders, "
+                       "cast(sum(o_custkey) as long) as customers "
                        "from named_orders group by o_orderstatus")
 
 

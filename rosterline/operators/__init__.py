@@ -16,13 +16,14 @@ from .timeline import (calendar_bounds, clip_days, distinct_days, explode_days,
 
 __all__ = [
     "HOT_ROWS", "apply_defaults", "backfill", "calendar_bounds", "cap", "changed",
-    "clamp_valid_to", "clip_days", "conflicting_owners", "current_manager", "daily_manager", "daily_roster",
-    "dense_ids", "dim_view", "distinct_days", "duplicate_keys", "effective_manager",
-    "ends_within", "enrich", "explode_days", "first_role", "hot_keys", "hot_keys_each",
-    "join_overlapping", "join_range", "join_spread", "join_valid_at", "latest_rows",
-    "latest_version", "manager_periods", "matched", "max_value", "not_in", "open_days",
-    "ordinary", "periods_to_days", "prepare_snapshot", "rank_in_group", "ranked_versions", "scd2_close_changed",
-    "scd2_new_entities", "scd2_new_versions", "scd2_soft_delete", "snap_to_days",
-    "spread_by_group", "spread_termination", "subteam", "subteam_active", "tenure_metrics", "uncovered_days",
-    "update_from", "walk_up", "with_group_values",
+    "clamp_valid_to", "clip_days", "conflicting_owners", "current_manager", "daily_manager",
+    "daily_roster", "dense_ids", "dim_view", "distinct_days", "duplicate_keys",
+    "effective_manager", "ends_within", "enrich", "explode_days", "first_role", "hot_keys",
+    "hot_keys_each", "join_overlapping", "join_range", "join_spread", "join_valid_at",
+    "latest_rows", "latest_version", "manager_periods", "matched", "max_value", "not_in",
+    "open_days", "ordinary", "periods_to_days", "prepare_snapshot", "rank_in_group",
+    "ranked_versions", "scd2_close_changed", "scd2_new_entities", "scd2_new_versions",
+    "scd2_soft_delete", "snap_to_days", "spread_by_group", "spread_termination", "subteam",
+    "subteam_active", "tenure_metrics", "uncovered_days", "update_from", "walk_up",
+    "with_group_values",
 ]

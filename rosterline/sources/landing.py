@@ -47,8 +47,8 @@ def typed(raw: DataFrame, schema: T.StructType, missing: str = "NULL") -> DataFr
             text = F.trim(value)
             value = F.when((text != "") & (F.upper(text) != missing.upper()), text)
         cast = value.try_cast(field.dataType)
-        wrong = F.concat(F.lit(f"{source} has a value that is no {field.dataType.simpleString()}: "),
-                         value.cast("string"))
+        kind = field.dataType.simpleString()
+        wrong = F.concat(F.lit(f"{source} has a value that is no {kind}: "), value.cast("string"))
         return F.when(value.isNotNull() & cast.isNull(), F.raise_error(wrong).cast(
             field.dataType)).otherwise(cast).alias(field.name)
 

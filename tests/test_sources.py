@@ -117,7 +117,8 @@ def test_typed(spark):
     schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("d", T.DateType()),
                            T.StructField("s", T.StringType()), T.StructField("x", T.LongType())])
     raw = spark.createDataFrame([(" 5 ", "2020-01-02", " NULL", "own"), ("NULL", "", None, None),
-                                 ("null", None, "t", "")], "N string, d string, s string, extra string")
+                                 ("null", None, "t", "")],
+                                "N string, d string, s string, extra string")
     got = typed(raw, schema)
     assert got.columns == ["n", "d", "s", "x", "extra"]
     assert rows(got) == sorted([(5, day("2020-01-02"), " NULL", None, "own"),
