@@ -205,7 +205,12 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text",
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """The rows whose text has a language; what is ``und`` goes. Columns stay as they are."""
+    """The rows whose text has a language; what is ``und`` goes. Columns stay as they are.
+
+    A model that knows no language rejects nothing but texts without a letter.
+    """
+    if not model.languages:
+        return docs.filter(F.coalesce(F.col(text_col), F.lit("")).rlike(r"\p{L}"))
     pred, score = unused(docs, "lang_pred", "lang_score")
     found = identify(docs, model, text_col, pred, score)
     return found.filter(F.col(pred) != UNKNOWN).drop(pred, score)

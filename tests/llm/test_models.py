@@ -1,4 +1,4 @@
-"""Language ID, toxicity and language-model scoring: accuracy, and brute force where there is one."""
+"""Language ID, toxicity and language-model scoring: held-out accuracy and brute force."""
 
 from __future__ import annotations
 
@@ -94,6 +94,7 @@ def test_language_edges(spark, spoken):
     empty = langid.learn(spoken.limit(0))
     assert {r["lang_pred"] for r in langid.identify(df, empty).collect()} == {"und"}
     assert langid.identify(df.limit(0), model).count() == 0
+    assert langid.keep_identified(clashing, empty).count() == kept.count()
 
 
 def insults(seed: int = 1, n: int = 1500):
