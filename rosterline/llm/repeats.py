@@ -201,9 +201,10 @@ def repeated_spans(docs: DataFrame, min_bytes: int = MIN_BYTES,
         spans = done if spans is None else spans.unionByName(done)
         if level + 1 < len(groups):
             classes = settle(classes)
-            mixed = classes.groupBy("bucket").agg(
-                F.count_if(F.col("n") == 1).alias("alone"), F.count("*").alias("kinds")) \
-                .filter("alone > 0 and kinds > 1").select("bucket")
+            # Stored, so that both sides of the join are shuffled for it and can be split.
+            mixed = settle(classes.groupBy("bucket").agg(
+                F.count_if(F.col("n") == 1).alias("alone"), F.count("*").alias("kinds"))
+                .filter("alone > 0 and kinds > 1").select("bucket"))
             filters.append(residue_filter(
                 classes.join(mixed, "bucket", "left_semi"), "member"))
     return spans
