@@ -25,7 +25,7 @@ from .common import tidy
 
 # Fixed value: the split pattern of byte-level tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHED = 200_000
+CACHED = 150_000
 SHORT = 48
 STEP = 512
 DECODE_STEP = 1 << 16

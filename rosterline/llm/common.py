@@ -60,7 +60,7 @@ def ship(spark: SparkSession) -> None:
     """
     default_shared_dir(spark)
     if spark.conf.get(BATCH_SETTING, None) in (None, "10000"):  # the default
-        spark.conf.set(BATCH_SETTING, "2000")
+        spark.conf.set(BATCH_SETTING, "1000")
     environment = spark.sparkContext.environment
     root = str(Path(__file__).resolve().parents[2])
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
