@@ -25,7 +25,7 @@ from .common import tidy
 
 # Fixed value: the split pattern of byte-level tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHED = 150_000
+CACHED = 200_000
 SHORT = 48
 STEP = 512
 DECODE_STEP = 1 << 16
@@ -259,7 +259,6 @@ def transcode(docs: DataFrame, tokenizer_path: str, outputs: dict[str, str],
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *[pa.array(made[k], arrow.get(k, pa.string())) for k in kinds]],
                 names=[*batch.schema.names, *outputs])
-        coder.pieces.clear()
 
     added = StructType.fromDDL(", ".join(f"`{n}` {OUTPUTS[k]}" for n, k in outputs.items()))
     return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields, *added.fields]))
