@@ -79,7 +79,8 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    return ppm_scores(table(spark, folder), id_remainder(F.col("doc_id"), 7) == 2)
+    held_out = id_remainder(F.col("doc_id"), 7) == 2
+    return ppm_scores(table(spark, folder), held_out, across=True)
 
 
 def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:

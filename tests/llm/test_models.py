@@ -258,3 +258,51 @@ def test_ppm_is_a_distribution(spark):
     every = grams.join(asked, "gram", "full").select("gram", F.coalesce("n", F.lit(0)).alias("n"))
     total = ppm.code_lengths(every).join(asked, "gram").agg(F.sum(F.pow(F.lit(10), "logp")))
     assert total.first()[0] == pytest.approx(1, abs=1e-9)
+
+
+def test_ppm_reads_across_words(spark):
+    """Words in the trained order score higher than the same words shuffled."""
+    order = "one two three four five six seven eight nine ten".split()
+    shuffled = random.Random(5).sample(order, len(order))
+    rows = [(i, " ".join(order)) for i in range(20)]
+    rows += [(100, " ".join(order)), (101, " ".join(shuffled))]
+    found = {r["doc_id"]: r for r in ppm.ppm_scores(
+        documents(spark, rows), F.col("doc_id") >= 100, across=True).collect()}
+    assert found[101]["base_score"] == pytest.approx(found[100]["base_score"])
+    assert found[101]["score"] < found[100]["score"] - 1
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 200])
+def test_ppm_across_words(spark, block_bytes):
+    rng = random.Random(8)
+    lexicon = stock(rng, 40, "abcé") + ["Total", "x1"]
+    rows = [(i, " ".join(words(rng, rng.randint(0, 25), lexicon))) for i in range(60)]
+    rows += [(100, "quite novel words ÄÖ"), (101, "a\n b\tc"), (102, None), *rows[:2]]
+    held = {100, 101, 3, 4}
+    streams = {(i, t): b" " + b"".join(w + b" " for w in (t or "").encode().lower().split())
+               + b"\n" for i, t in rows}
+    trie = defaultdict(Counter)
+    for row in rows:
+        raw = streams[row]
+        for i in range(1, len(raw) if row[0] not in held else 0):
+            for k in range(min(i, ppm.ORDER) + 1):
+                trie[raw[i - k:i]][raw[i]] += 1
+
+    def cost(raw, i):
+        total, out = 0.0, set()
+        for k in range(min(i, ppm.ORDER), -1, -1):
+            seen = {s: n for s, n in trie.get(raw[i - k:i], {}).items() if s not in out}
+            if raw[i] in seen:
+                return total + math.log10((seen[raw[i]] - 0.5) / sum(seen.values()))
+            if seen:
+                total += math.log10(0.5 * len(seen) / sum(seen.values()))
+                out |= set(seen)
+        return total - math.log10(256 - len(out))
+
+    found = ppm.ppm_scores(documents(spark, rows), F.col("doc_id").isin(list(held)),
+                           block_bytes=block_bytes, across=True).collect()
+    expected = sorted((r[0], sum(cost(streams[r], i) for i in range(1, len(streams[r]))))
+                      for r in rows)
+    for (doc_id, score), row in zip(expected, sorted(found, key=lambda r: (r[0], r["score"]))):
+        assert row["doc_id"] == doc_id and row["score"] == pytest.approx(score, abs=1e-6)
+    assert len(found) == len(rows)
