@@ -31,9 +31,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 def dedup_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents without the lines that an earlier line equals or nearly equals.
 
-    A document of which nothing but blanks is left goes. n_chars follows the text.
+    Equal lines go whatever their length, blank ones stay; nearly equal ones (2 edits) go from 32
+    characters on. A document of which nothing but blanks is left goes. n_chars follows the text.
     """
-    kept = drop_lines(docs).filter(F.coalesce(F.col("text"), F.lit("")).rlike(r"\S"))
+    kept = drop_lines(docs, copy_chars=1).filter(F.coalesce(F.col("text"), F.lit("")).rlike(r"\S"))
     if "n_chars" not in docs.columns:
         return kept
     kind = dict(docs.dtypes)["n_chars"]

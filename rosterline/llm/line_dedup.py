@@ -23,11 +23,15 @@ LAST = "decimal(38,0)"
 COUNTED = " etaoinshrdlucmfwypvbgkjxqz.,"  # characters whose counts are compared
 
 
-def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
+def _lines(docs: DataFrame, min_chars: int, copy_chars: int | None = None) -> DataFrame:
     """k0, k1 (the document), place (its order among all lines), line_no, line, h0, h1.
 
-    Lines of fewer than ``min_chars`` characters are left out.
+    Lines of fewer than ``min_chars`` characters are left out, but for those of at least
+    ``copy_chars`` that are not blank.
     """
+    wide = F.length("line") >= min_chars
+    if copy_chars is not None:
+        wide |= (F.length("line") >= copy_chars) & F.col("line").rlike(r"\S")
     order = (F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(1 << 63)).cast(LAST))
              * F.lit(1 << 31).cast("decimal(11,0)")).cast(LAST)
     rows = docs.select("k0", "k1", order.alias("base"), F.posexplode(
@@ -37,7 +41,7 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     return (
         rows.select("k0", "k1", (F.col("base") + F.col("line_no")).cast(LAST).alias("place"),
                     "line_no", line.alias("line"))
-        .filter(F.length("line") >= min_chars)
+        .filter(wide)
         .select("*", F.xxhash64(F.lit(3), "line").alias("h0"),
                 F.xxhash64(F.lit(5), "line").alias("h1")))
 
@@ -227,15 +231,15 @@ def line_links(docs: DataFrame, lines: DataFrame, firsts: DataFrame,
         .select(F.col("x").alias("h0"), "h1", F.col("y").alias("g0"), "g1").distinct())
 
 
-def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS,
-                 min_chars: int = MIN_CHARS) -> DataFrame:
-    """Per line of at least ``min_chars`` characters: k0, k1, line_no, first, near, n_links.
+def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
+                 copy_chars: int | None = None) -> DataFrame:
+    """Per line that ``_lines`` lists: k0, k1, line_no, first, near, n_links.
 
     ``first`` says whether it is the first of all equal lines, ``near`` whether a different line
     within ``max_edits`` edits comes before all its equals; n_links counts such lines, before or
-    after.
+    after. Only lines of at least ``min_chars`` characters are compared by edits.
     """
-    lines = settle(_lines(docs, min_chars).select("k0", "k1", "place", "line_no", "h0", "h1"))
+    lines = settle(_lines(docs, min_chars, copy_chars).select("k0", "k1", "place", "line_no", "h0", "h1"))
     firsts = settle(lines.groupBy("h0", "h1").agg(
         F.min("place").alias("begin"), F.count("*").alias("copies")))
     links = line_links(docs, lines, firsts, max_edits, min_chars)
@@ -263,21 +267,23 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+                max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
+                copy_chars: int | None = None) -> DataFrame:
     """Per row: doc_id, n_lines, n_copies, n_near, n_links, dropped (line numbers from 0).
 
     Lines are what line breaks separate, compared in lower case and without blanks at the ends.
     Lines come in the order of (id, line number), null ids last. A line of at least ``min_chars``
     characters is dropped as a copy if an equal one comes before it, else as near if a different
-    one within ``max_edits`` edits comes before. Shorter lines always stay. n_links counts, over
-    a row's lines, the different lines within ``max_edits`` edits. Rows equal in id and text are
+    one within ``max_edits`` edits comes before. Shorter lines stay, but for copies of non-blank
+    ones of at least ``copy_chars`` characters, if given. n_links counts, over a row's lines, the
+    different lines within ``max_edits`` edits. Rows equal in id and text are
     one document and lose the same lines; of rows that share an id only, equal lines at the same
     number both stay. Null and empty texts have one empty line. Ids are whole numbers. Other
     columns are not read; an empty table gives no rows.
     """
     keyed = _keyed(docs, id_col, text_col)
     # Rows equal in id and text give each line several times, with the same answer.
-    per_line = line_classes(keyed, max_edits, min_chars).distinct()
+    per_line = line_classes(keyed, max_edits, min_chars, copy_chars).distinct()
     gone = ~F.col("first") | F.col("near")
     found = per_line.groupBy("k0", "k1").agg(
         F.count_if(~F.col("first")).alias("n_copies"),
@@ -294,7 +300,8 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+               max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
+               copy_chars: int | None = None) -> DataFrame:
     """The table with the lines dropped that line_report names; all rows and columns stay.
 
     A text of which nothing is dropped stays as it is, null included.
@@ -302,7 +309,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     k0, k1, drop, text = unused(docs, "k0_", "k1_", "dropped_", "kept_")
     keys = doc_hash(F.col(id_col), F.col(text_col))
     gone = (
-        line_classes(_keyed(docs, id_col, text_col), max_edits, min_chars)
+        line_classes(_keyed(docs, id_col, text_col), max_edits, min_chars, copy_chars)
         .filter(~F.col("first") | F.col("near"))
         .groupBy(F.col("k0").alias(k0), F.col("k1").alias(k1))
         .agg(F.collect_set("line_no").alias(drop)))

@@ -54,7 +54,7 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return line_report(table(spark, folder))
+    return line_report(table(spark, folder), copy_chars=1)
 
 
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 import re
 from collections import defaultdict
 
+import corpus_pipeline
 import pytest
 from corpus import documents, edge_rows, stock, words
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from rosterline.llm.components import components
 from rosterline.llm.exact_dedup import exact_dedup
 from rosterline.llm.line_dedup import drop_lines, edit_distance_within, line_report
 from rosterline.llm.minhash import drop_near_duplicates, near_duplicates
+from rosterline.llm.queries import op4_line_dedup
 from rosterline.llm.repeats import cut_repeats
 
 
@@ -300,6 +302,20 @@ def test_line_edges(spark):
     assert line_report(df.limit(0)).count() == 0 and drop_lines(df.limit(0)).count() == 0
 
 
+def test_short_copies(spark, tmp_path):
+    """Exact copies of short lines go; blank lines and short lines that only nearly equal stay."""
+    texts = ["Read more\n\nhome page", " read more \n\n\t\nx", "read mora\n\t\nX"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    rows = op4_line_dedup(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: (r["n_copies"], r["n_near"], r["dropped"]) for r in rows} == {
+        0: (0, 0, []), 1: (1, 0, [0]), 2: (1, 0, [2])}
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = corpus_pipeline.dedup_lines(spark, docs, str(tmp_path)).collect()
+    assert {r["doc_id"]: r["text"] for r in kept} == {
+        0: texts[0], 1: "\n\t\nx", 2: "read mora\n\t"}
+
+
 def test_line_report_is_native(spark):
     plan = line_report(documents(spark, line_corpus()))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", plan)
