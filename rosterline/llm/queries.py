@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from . import langid, toxicity
 from .bpe import transcode
 from .common import id_remainder, ship
+from .conversations import damage, repair_report
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .line_dedup import line_report
@@ -90,6 +91,11 @@ def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations")
+    return repair_report(damage(given), given)
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_toxicity": op2_toxicity,
@@ -101,6 +107,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_suffix_array": op10_suffix_array,
+    "op11_conversations": op11_conversations,
 }
 
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
