@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid, toxicity
+from .alignment import align_tokenizers
 from .bpe import transcode
 from .common import id_remainder, ship
 from .conversations import damage, repair_report
@@ -20,6 +21,7 @@ from .minhash import near_duplicates
 from .ppm import ppm_scores
 from .repeats import cut_repeats
 from .token_counts import token_counts
+from .topk import scaled, top_products
 
 
 def table(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
@@ -34,6 +36,13 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def piece_path() -> str:
+    """The sentence piece vocabulary, installed likewise."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder))
 
@@ -96,6 +105,15 @@ def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
     return repair_report(damage(given), given)
 
 
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align_tokenizers(table(spark, folder), tokenizer_path(), piece_path())[0]
+
+
+def op13_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").withColumn("vec", scaled(F.col("embedding")))
+    return top_products(vectors, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_toxicity": op2_toxicity,
@@ -108,6 +126,8 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_suffix_array": op10_suffix_array,
     "op11_conversations": op11_conversations,
+    "op12_alignment": op12_alignment,
+    "op13_exact_topk": op13_exact_topk,
 }
 
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -171,4 +191,21 @@ ORACLES = {
                coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
                coalesce(n_hit, 0) > 0 as contaminated
         from docs d left join places using (doc_id) left join listed using (doc_id)""",
+    "op13_exact_topk": """
+        with given as (
+            select vec_id, row_number() over () as place,
+                   list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+            from embeddings
+            where embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        scores as (
+            select q.vec_id as query_id, q.place, c.vec_id,
+                   cast(coalesce(list_inner_product(q.v, c.v), 0) as bigint) as score
+            from given q join given c on q.place <> c.place and len(q.v) = len(c.v)
+            where q.vec_id % 50 = 0)
+        select query_id, cast(rank as integer) as rank, vec_id, score
+        from (select *, row_number() over (
+                  partition by place order by score desc, vec_id nulls last) as rank
+              from scores)
+        where rank <= 5""",
 }

@@ -77,9 +77,11 @@ CONTRACT = {
     "op9_lm_scoring": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens",
                        "base_score", "score"},
     "op10_suffix_array": {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"},
+    "op12_alignment": {"doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                       "groups_sha256"},
 }
 
-OTHERS = {"op11_conversations"}  # not over documents; tested with their operators
+OTHERS = {"op11_conversations", "op13_exact_topk"}  # not over documents; tested with their operators
 
 
 def test_queries_return_a_row_per_document(spark, tmp_path):
