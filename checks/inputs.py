@@ -117,6 +117,18 @@ class Inputs:
         """The dimension without the raw termination text."""
         return self.dim.drop("termination_raw")
 
+    @cached_property
+    def tenured(self) -> DataFrame:
+        """The dimension with persons who left after two versions and came back later."""
+        s, v = F.floor(F.col("id") / 10), F.col("id") % 10
+        ended = (s % 4 >= 2) & (v < 2)
+        return self.staff.withColumns({
+            "tenure_no": F.when(v >= 2, 2).otherwise(1),
+            "active": F.when(ended, 0).otherwise(F.col("active")),
+            "termination_date": F.when(ended, _day(s * 37 % 600 + 800))
+            .otherwise(F.col("termination_date")),
+        })
+
     @cached_property
     def snapshot(self) -> DataFrame:
         """A staff list of the day: untidy names, accents.
@@ -202,6 +214,17 @@ class Inputs:
                 for c in part.columns if c not in lacks[kind]]))
         return feeds
 
+    @cached_property
+    def shifts(self) -> DataFrame:
+        """Orders as short shifts of few owners, each with very many that overlap."""
+        first = F.col("o_orderdate").cast("date")
+        owners = self.table("supplier").agg(F.greatest(
+            F.floor(F.count(F.lit(1)) / 20), F.lit(2))).scalar()
+        return self.table("orders").select(
+            F.col("o_orderkey").alias("shift_id"), (F.col("o_custkey") % owners).alias("owner_id"),
+            first.alias("valid_from"),
+            F.date_add(first, (F.col("o_orderkey") % 97 % 40).cast("int")).alias("valid_to"))
+
     @cached_property
     def dispositions(self) -> DataFrame:
         """Call results: the order states, one under a name that no activity has."""

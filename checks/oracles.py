@@ -21,6 +21,8 @@ NAMED: dict[str, str] = {
     "work_roster": q.roster("workdays"),
     "work_manager": q.daily_manager("work_roster"),
     "closed": q.close("staff"),
+    "some_snap": "select * from snap where person_no % 10 = 3",
+    "some_closed": q.close("staff").replace("from snap b", "from some_snap b"),
     "run_1": q.insert("staff"),
     "run_2": q.close("run_1"),
     "run_3": q.version("run_2"),
@@ -30,6 +32,15 @@ NAMED: dict[str, str] = {
     "run_7": q.clamp("run_6"),
     "run_8": q.effective("run_7"),
     "run_9": q.defaults("run_8", SEGMENT_BOSS),
+    "back_1": q.insert("tenured"),
+    "back_2": q.close("back_1"),
+    "back_3": q.version_or_rehire("back_2"),
+    "back_4": q.delete("back_3", EXEMPT),
+    "back_5": q.fill_termination("back_4"),
+    "back_6": q.spread("back_5"),
+    "back_7": q.clamp("back_6"),
+    "back_8": q.effective("back_7"),
+    "back_9": q.defaults("back_8", SEGMENT_BOSS),
 }
 
 
@@ -54,6 +65,7 @@ BODIES: dict[str, str] = {
     "scd2_insert": "select * from run_1",
     "scd2_close": "select * from closed",
     "scd2_version": q.version("closed"),
+    "scd2_changed_buckets": q.version("some_closed").replace("join snap b", "join some_snap b"),
     "scd2_delete": q.delete("staff", EXEMPT),
     "scd2_backfill": f"""select d.* replace (case when d.active = 0 and (d.termination_raw is null
   or d.termination_raw = 'NULL') then coalesce(l.left_on, d.termination_raw)
@@ -66,6 +78,9 @@ BODIES: dict[str, str] = {
     "default_cascade": q.defaults("staff", SEGMENT_BOSS),
     "enrich": q.add_birth("staff"),
     "scd2_run": q.add_birth("run_9"),
+    "scd2_run_rehire": q.add_birth("back_9"),
+    "scd2_spread_tenures": q.spread("tenured"),
+    "effective_manager_tenures": q.effective("tenured"),
     "scd2_run_text": f"""select r.*, case when s.id is not null then 'note ' || s.id end as note
  from ({q.add_birth("run_9")}) r left join staff s on s.id = r.id""",
     "owner_conflicts": """select owner_id % 10 as owner_id, count(distinct person_name) as row_count
@@ -121,11 +136,50 @@ BODIES: dict[str, str] = {
  from staff p left join calendar c on c.dte between p.valid_from and case
   when p.valid_to >= date '{AS_OF.year + 1}-01-01' then date '{AS_OF.year + 2}-01-01'
   else p.valid_to end group by all having count(*) > 1""",
+    "duplicate_workdays": """select s.owner_id, c.dte, count(*) as row_count
+ from shifts s left join workdays c on c.dte between s.valid_from and s.valid_to
+ group by all having count(*) > 1""",
+    "overlap_periods": """
+ select owner_id, from_day, to_day, depth from (
+  select owner_id, day as from_day, cast(lead(day) over w - 1 as date) as to_day,
+   cast(sum(change) over (w rows between unbounded preceding and current row) as bigint) as depth
+  from (select owner_id, day, sum(change) as change from (
+    select owner_id, valid_from as day, 1 as change from shifts
+    union all select owner_id, valid_to + 1, -1 from shifts) group by all)
+  where change <> 0 window w as (partition by owner_id order by day))
+ where depth >= 10""",
+    "join_point_in_shifts": """select f.contact_id, f.owner_id % 2 as owner_id,
+ cast(f.created_at as date) as created_date, s.shift_id, s.valid_from, s.valid_to
+ from contacts f left join shifts s on s.owner_id = f.owner_id % 2
+  and cast(f.created_at as date) between s.valid_from and s.valid_to
+ where f.contact_id % 9 = 0""",
+    **{name: f"""select a.owner_id, a.shift_id, a.valid_from, a.valid_to,
+ b.shift_id as other_shift_id, b.valid_from as other_valid_from, b.valid_to as other_valid_to
+ from (select * from shifts where shift_id % 5 = 0) a
+ left join (select * from shifts where shift_id % 5 = 0) b on a.owner_id = b.owner_id and ({rule})"""
+       for name, rule in (
+           ("join_shifts_overlap", """a.valid_from between b.valid_from and b.valid_to
+  or a.valid_to between b.valid_from and b.valid_to"""),
+           ("join_shifts_full_overlap",
+            "a.valid_from <= b.valid_to and b.valid_from <= a.valid_to"))},
+    "effective_manager_by_pieces": q.effective("staff"),
+    "daily_manager_refreshed": "select * from daily_manager",
+    "activity_analysis_refreshed": q.ANALYSIS,
     "scan_parquet": """select o_orderkey, o_custkey, o_orderpriority from orders
  where o_totalprice > 250000""",
     "scan_fallback": "select c_custkey, c_name, c_nationkey from customer",
     "write_roundtrip": """select activity_id, owner_id, activity_date + 1 as activity_date,
  cast(year(activity_date) as int) as yyyy from activities""",
+    "land_with_rejects": """select case when c_custkey % 13 <> 5 then c_custkey end as company_id,
+ case when c_custkey % 7 <> 0 and c_custkey % 11 <> 4 then c_custkey * 2 end as row_tag,
+ c_mktsegment as segment, concat_ws(', ',
+  case when c_custkey % 13 = 5 then 'company_id=no ' || c_custkey end,
+  case when c_custkey % 7 <> 0 and c_custkey % 11 = 4 then 'row_tag=?' end) as wrong
+ from customer""",
+    "stored_max": """select 'orders' as name, max(o_orderkey) as greatest from orders
+ union all select 'customers', max(c_custkey) from customer""",
+    "history_versions": """select id, person_name, case when country = 'N7' then 0 else active end
+  as active, valid_to, active as active_before from staff""",
     "land_tables": """select s.*, l.termination_raw as left_on
  from snapshot s left join leavers l on l.person_name = s.person_name""",
     "clean_table": """select activity_id, lower(activity_type) as activity_type,

@@ -14,23 +14,25 @@ from rosterline.functions import (age, classify, fold_accents, fractional_months
 from rosterline.operators import (apply_defaults, backfill, clamp_valid_to,
                                   conflicting_owners, current_manager,
                                   daily_manager, daily_roster, dense_ids, dim_view,
-                                  duplicate_keys, effective_manager, enrich, explode_days,
+                                  duplicate_days, effective_manager, enrich,
                                   first_role, join_overlapping, join_range, join_spread,
                                   join_valid_at, latest_rows, latest_version, manager_periods,
-                                  matched, max_value, not_in, open_days, prepare_snapshot,
+                                  matched, max_value, not_in, open_days, overlap_periods, prepare_snapshot,
                                   ranked_versions, scd2_close_changed, scd2_new_entities,
                                   scd2_new_versions, scd2_soft_delete, spread_termination,
                                   subteam, subteam_active, tenure_metrics, with_group_values)
 from rosterline.plans import (ContactTables, RunOptions, StampTables, activity_analysis,
-                              adjusted_date, contact_analysis, load_dim, scd2_run,
-                              stamp_activities,
-                              unify_activities)
-from rosterline.schemas import SNAPSHOT
-from rosterline.sources import (clean_table, default_shared_dir, land_tables, read, read_first,
-                                read_table, register, save_table, scratch_path, settle,
-                                staged_overwrite, write)
-
-from .inputs import AS_OF, ROLE_AREAS, ROLE_TITLES, RUN_DAY, Inputs
+                              activity_job, adjusted_date, apply_snapshot, contact_analysis,
+                              load_dim, manager_job, scd2_run, stamp_activities,
+                              store_in_buckets, unify_activities, view_job)
+from rosterline.schemas import COMPANY, SNAPSHOT, TRACKED
+from rosterline.sources import (clean_table, default_shared_dir, land_tables, land_typed,
+                                new_version, read, read_first, read_landed, read_rejects,
+                                read_table, read_version, register, save_table, scratch_path,
+                                settle, staged_overwrite, stored_max, version_path, write,
+                                write_version)
+
+from .inputs import AS_OF, FEEDS, ROLE_AREAS, ROLE_TITLES, RUN_DAY, Inputs
 
 EXEMPT = "Supplier 000000003%"
 SEGMENT_BOSS = "Supplier 000000001"
@@ -127,6 +129,44 @@ def whole_run(t):
     return scd2_run(t.staff, t.snapshot, t.leavers, options, overrides(t))
 
 
+@query("scd2_run_rehire")
+def whole_run_with_rehires(t):
+    """The run over persons with several tenures, some of whom come back."""
+    options = RunOptions(RUN_DAY, exempt=EXEMPT, segment_boss=SEGMENT_BOSS, rehire=True)
+    return scd2_run(t.tenured, t.snapshot, t.leavers, options, overrides(t))
+
+
+@query("scd2_spread_tenures")
+def spread_tenures(t):
+    return spread_termination(t.tenured)
+
+
+@query("effective_manager_tenures")
+def effective_tenures(t):
+    return effective_manager(t.tenured)
+
+
+def _as_snapshot(dim: DataFrame) -> DataFrame:
+    """What a snapshot says that agrees with all open versions of active persons."""
+    return dim.filter((F.col("dead") == 0) & (F.col("active") == 1)).select(
+        "person_name", *TRACKED, "hire_date")
+
+
+@query("scd2_changed_buckets")
+def changed_buckets(t):
+    """A stored dimension after a snapshot that says of one person in ten something new: only
+    their buckets are read and written."""
+    folder = scratch_path(t.spark, "dimension")
+    path, digests = f"{folder}/buckets", f"{folder}/digests"
+    store_in_buckets(t.staff, path)
+    same, new = _as_snapshot(t.staff), F.col("person_no") % 10 == 3
+    later = snap(t).filter(new).select(*same.columns)
+    rest = same.join(snap(t).filter(new).select("person_name"), "person_name", "left_anti")
+    apply_snapshot(t.spark, path, digests, same, RUN_DAY)
+    apply_snapshot(t.spark, path, digests, rest.unionByName(later), RUN_DAY)
+    return read(t.spark, path).drop("bucket")
+
+
 @query("scd2_run_text")
 def whole_run_as_landed(t):
     """The run over a seed, a snapshot and leavers of nothing but text, as landed.
@@ -284,8 +324,64 @@ def contacts(t):
 def duplicates(t):
     """Person days met twice: versions of the raw dimension share their boundary days."""
     versions = t.staff.select("person_name", "valid_from", "valid_to")
-    return duplicate_keys(explode_days(open_days(versions, t.calendar, AS_OF)),
-                          ["person_name", "dte"])
+    return duplicate_days(open_days(versions, t.calendar, AS_OF), ["person_name"], "first_day",
+                          "last_day", t.calendar)
+
+
+@query("duplicate_workdays")
+def duplicate_workdays(t):
+    """Days of many shifts of one owner, of a calendar with holes."""
+    return duplicate_days(t.shifts, ["owner_id"], "valid_from", "valid_to", t.workdays)
+
+
+@query("overlap_periods")
+def overlaps(t):
+    """Periods in which ten or more shifts of an owner run at once."""
+    return overlap_periods(t.shifts, ["owner_id"], "valid_from", "valid_to", 10)
+
+
+def _earlier(staff: DataFrame) -> DataFrame:
+    """The staff as if some persons' last versions had other bosses and titles then."""
+    moved = (F.col("owner_id") % 10 == 3) & (F.col("valid_from") >= F.lit("1998-03-01").cast("date"))
+    return staff.withColumns({
+        "direct_report": F.when(moved, "Supplier 000000001").otherwise(F.col("direct_report")),
+        "job_title": F.when(moved, "Key Account Manager").otherwise(F.col("job_title"))})
+
+
+def _jobs_folder(t: Inputs, *names: str) -> dict[str, str]:
+    folder = scratch_path(t.spark, "jobs")
+    return {n: f"{folder}/{n}" for n in names}
+
+
+@query("daily_manager_refreshed")
+def managers_refreshed(t):
+    """Daily managers made from an earlier dimension, then only the changed years again."""
+    path = _jobs_folder(t, "dim", "view", "calendar", "managers", "periods")
+    write(t.calendar, path["calendar"])
+    for dim in (_earlier(t.staff), t.staff):
+        write_version(dim, path["dim"])
+        view_job(t.spark, path["dim"], path["view"], AS_OF)
+        manager_job(t.spark, path["view"], path["calendar"], path["managers"], path["periods"],
+                    AS_OF)
+    return read(t.spark, path["managers"]).drop("yyyy")
+
+
+@query("activity_analysis_refreshed")
+def activities_refreshed(t):
+    """Stamped activities made with an earlier view, then only the years it changed in."""
+    path = _jobs_folder(t, "dim", "view", "calendar", "cohorts", "dispositions", "activities",
+                        *FEEDS)
+    for name, df in (("calendar", t.calendar), ("cohorts", t.cohorts),
+                     ("dispositions", t.dispositions), *zip(FEEDS, t.feeds)):
+        write(df, path[name])
+    used = None
+    for dim in (_earlier(t.staff), t.staff):
+        write_version(dim, path["dim"])
+        view_job(t.spark, path["dim"], path["view"], AS_OF)
+        used, _ = activity_job(
+            t.spark, [path[f] for f in FEEDS], path["view"], path["calendar"], path["cohorts"],
+            path["dispositions"], path["activities"], since=used)
+    return read(t.spark, path["activities"])
 
 
 # --- tables -------------------------------------------------------------------------------
@@ -315,6 +411,50 @@ def roundtrip(t):
     return read(t.spark, path)
 
 
+@query("history_versions")
+def history(t):
+    """A history written twice, each time from itself, and then by a run that stopped before its
+    commit: the last committed version, with what the one before it said."""
+    path = scratch_path(t.spark, "history")
+    write_version(t.staff, path)
+    gone = F.col("country") == "N7"
+    write_version(read(t.spark, path).withColumn(
+        "active", F.when(gone, 0).otherwise(F.col("active"))), path)
+    stopped = new_version(t.spark, path)
+    read(t.spark, path).filter(gone).write.parquet(version_path(path, stopped))
+    before = read_version(t.spark, path, 1).select("id", F.col("active").alias("active_before"))
+    return read_first(t.spark, [path, f"{t.folder}/supplier.parquet"]).select(
+        "id", "person_name", "active", "valid_to").join(before, "id")
+
+
+@query("land_with_rejects")
+def land_rejects(t):
+    """Customers landed from text of which some cannot be read: all rows, with what was wrong."""
+    c = F.col("c_custkey")
+    raw = t.table("customer").select(
+        F.when(c % 13 == 5, F.concat(F.lit("no "), c)).otherwise(c.cast("string"))
+        .alias("company_id"),
+        F.when(c % 7 == 0, "NULL").when(c % 11 == 4, "?").otherwise((c * 2).cast("string"))
+        .alias("row_tag"), F.col("c_mktsegment").alias("segment"))
+    path = scratch_path(t.spark, "landed")
+    land_typed(raw, COMPANY, path, most=0.5, required=("company_id",))
+    bad = F.array_join(F.transform("_bad", lambda r: F.concat(
+        r["column"], F.lit("="), r["value"])), ", ")
+    return read_landed(t.spark, path).withColumn("wrong", F.lit("")).unionByName(
+        read_rejects(t.spark, path).withColumn("wrong", bad).drop("_bad"))
+
+
+@query("stored_max")
+def greatest_stored(t):
+    """Greatest ids of stored tables, from the footers of their files."""
+    path = scratch_path(t.spark, "orders")
+    write(t.table("orders").select("o_orderkey", "o_orderstatus", "o_custkey"), path,
+          ["o_orderstatus"])
+    found = [("orders", stored_max(t.spark, path, "o_orderkey")),
+             ("customers", stored_max(t.spark, f"{t.folder}/customer.parquet", "c_custkey"))]
+    return t.spark.createDataFrame(found, "name string, greatest long")
+
+
 @query("land_tables")
 def land(t):
     """Tabs exported as CSV, landed without the excluded one and without the seed."""
@@ -470,6 +610,40 @@ def overlap(t):
     return join_overlapping(a, b, ["boss"], ("valid_from", "valid_to"), ("boss_from", "boss_to"))
 
 
+@query("join_point_in_shifts")
+def point_in_shifts(t):
+    """Owners of very many versions: shifts that run on the day of every ninth contact."""
+    facts = t.contacts.filter(F.col("contact_id") % 9 == 0).select(
+        "contact_id", (F.col("owner_id") % 2).alias("owner_id"),
+        F.col("created_at").cast("date").alias("created_date"))
+    return join_valid_at(facts, t.shifts, ["owner_id"], "created_date")
+
+
+def _some_shifts(t: Inputs, prefix: str) -> DataFrame:
+    return t.shifts.filter(F.col("shift_id") % 5 == 0).select("owner_id", *[
+        F.col(c).alias(prefix + c) for c in ("shift_id", "valid_from", "valid_to")])
+
+
+@query("join_shifts_overlap")
+def shifts_overlap(t):
+    """Very many intervals of an owner with each other: ends within, one-sided."""
+    return join_overlapping(_some_shifts(t, ""), _some_shifts(t, "other_"), ["owner_id"],
+                            ("valid_from", "valid_to"), ("other_valid_from", "other_valid_to"))
+
+
+@query("join_shifts_full_overlap")
+def shifts_full_overlap(t):
+    return join_overlapping(_some_shifts(t, ""), _some_shifts(t, "other_"), ["owner_id"],
+                            ("valid_from", "valid_to"), ("other_valid_from", "other_valid_to"),
+                            full_overlap=True)
+
+
+@query("effective_manager_by_pieces")
+def effective_by_pieces(t):
+    """Every boss of more than one period looked up as bosses of very many are."""
+    return effective_manager(t.staff, dense=1)
+
+
 @query("join_range")
 def by_range(t):
     facts = unify_activities(t.feeds).select("activity_id", "activity_date")

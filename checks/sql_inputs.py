@@ -51,6 +51,13 @@ from (select *, cast(s_suppkey*37%600 as int) as hired, v >= s_suppkey%4 as last
 
 SQL["staff"] = f"select {STAFF_COLUMNS} from dim"
 
+SQL["tenured"] = f"""
+select * exclude (ended) replace (case when id%10>=2 then 2 else 1 end as tenure_no,
+ case when ended then 0 else active end as active,
+ case when ended then {ZERO} + cast(id//10*37%600 + 800 as int) else termination_date end
+  as termination_date)
+from (select *, id//10%4>=2 and id%10<2 as ended from staff)"""
+
 SQL["snapshot"] = f"""
 select s_suppkey as person_no, case when s_suppkey%11=3 then 'Ex' else '  ' end
   || replace(s_name,'#','  ') || ' ' as person_name,
@@ -100,6 +107,13 @@ select o_orderkey as activity_id,
  cast(o_orderdate as date) as activity_date
 from orders"""
 
+SQL["shifts"] = """
+select o_orderkey as shift_id,
+ o_custkey % (select greatest(count(*)//20, 2) from supplier) as owner_id,
+ cast(o_orderdate as date) as valid_from,
+ cast(o_orderdate as date) + cast(o_orderkey % 97 % 40 as int) as valid_to
+from orders"""
+
 SQL["dispositions"] = """
 select distinct case o_orderstatus when 'P' then 'PART' else o_orderstatus end as id,
  'Result ' || o_orderstatus as label from orders"""

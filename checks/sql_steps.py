@@ -81,6 +81,30 @@ join (select *, row_number() over (partition by person_name
  on l.person_name = g.person_name and l.place = 1"""
 
 
+def version_or_rehire(dim: str) -> str:
+    """As :func:`version`; persons none of whose versions is active get the next tenure."""
+    back = "g.max_active = 0"
+    fixed = {"id": f"(select max(id) from {dim}) + row_number() over (order by g.person_name)",
+             "person_name": "g.person_name", **{t: f"g.{t}" for t in TRACKED},
+             "hire_date": f"case when {back} then g.new_hire else g.first_hire end",
+             "active": "1", "dead": "0", "valid_from": RUN, "valid_to": OPEN,
+             "updated_at": RUN_TIME,
+             "tenure_no": f"cast(g.last_tenure + case when {back} then 1 else 0 end as int)",
+             "owner_id": "g.owner_id", "crm_name": "g.crm_name", "crm_user_id": "g.crm_user_id",
+             **{c: f"l.{c}" for c in CARRIED}}
+    return f"""select {', '.join(STAFF)} from {dim} union all select {columns(fixed)}
+from (select b.person_name, {', '.join('b.' + t for t in TRACKED)}, min(a.dead) as min_dead,
+  max(a.active) as max_active, bool_or(coalesce({differs('a', 'b')}, false)) as any_changed,
+  min(a.hire_date) as first_hire, max(b.hire_date) as new_hire, max(a.tenure_no) as last_tenure,
+  max(a.owner_id) as owner_id, max(a.crm_name) as crm_name, max(a.crm_user_id) as crm_user_id
+ from {dim} a join snap b on a.person_name = b.person_name
+ group by b.person_name, {', '.join('b.' + t for t in TRACKED)}) g
+join (select *, row_number() over (partition by person_name
+       order by updated_at desc nulls last, id desc) as place from {dim}) l
+ on l.person_name = g.person_name and l.place = 1
+where (g.min_dead = 1 and g.any_changed) or {back}"""
+
+
 def delete(dim: str, exempt: str) -> str:
     hit = (f"d.active = 1 and d.dead = 0 and not d.listed and d.person_name not like '{exempt}'")
     return f"""select {columns({

@@ -13,7 +13,7 @@ from ..functions.names import name_key
 from ..functions.rules import ROLE_RULES, Rule, classify, is_leader
 from ..schemas import VIEW_COLUMNS
 from .groups import rank_in_group, with_group_values
-from .spread import HOT_ROWS, HotKeys, hot_keys
+from .spread import HotKeys, hot_keys
 
 INACTIVE = "Inactive"
 
@@ -38,17 +38,18 @@ def first_role(df: DataFrame, person: str = "person_name", role: str = "job_clas
     return df.withColumn("first_role_flag", flag)
 
 
-def ranked_versions(dim: DataFrame) -> DataFrame:
+def ranked_versions(dim: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Versions numbered per person from the oldest and from the latest; ties go by id."""
     return (
-        rank_in_group(dim, ["person_name"], order="valid_from", tie="id", size="_versions")
+        rank_in_group(dim, ["person_name"], order="valid_from", tie="id", size="_versions",
+                      hot=hot)
         .withColumn("reverse_rank_id", F.col("_versions") - F.col("rank_id") + 1)
         .drop("_versions")
     )
 
 
 def dim_view(dim: DataFrame, as_of: dt.date, rules: Sequence[Rule] = ROLE_RULES,
-             hot_rows: int = HOT_ROWS) -> DataFrame:
+             hot_rows: int | None = None) -> DataFrame:
     """The dimension with ranks, adjusted starts, subteams, role class, age and first role.
 
     Versions touch in the dimension; in the view each later one starts a day after the one
@@ -57,7 +58,9 @@ def dim_view(dim: DataFrame, as_of: dt.date, rules: Sequence[Rule] = ROLE_RULES,
     named = dim.withColumns({c: name_key(c) for c in ("person_name", "direct_report")})
     # A group within a person who is not hot is not hot either.
     hot = hot_keys(named, ["person_name"], hot_rows)
-    ranked = with_group_values(ranked_versions(named), ["person_name", "tenure_no"],
+    if not hot:  # one shuffle for all windows, which are by person and something else
+        named = named.repartition("person_name")
+    ranked = with_group_values(ranked_versions(named, hot), ["person_name", "tenure_no"],
                                {"_active": F.min("active")}, hot=hot)
     first = F.col("rank_id") == 1
     start, day_after = F.col("valid_from"), F.date_add("valid_from", 1)

@@ -1,9 +1,9 @@
 """Group values, ranks, latest rows and duplicate keys.
 
-Values of groups of ordinary size come from windows, several of which share one shuffle. If the
-count shows a hot group, they come from an aggregate, which Spark combines before the shuffle, and
-a join that splits hot keys. Ranks come from a sort by range, the same way for every size. So no
-task gets a whole hot group.
+Values of groups of ordinary size come from windows, several of which share one shuffle. If hot
+groups are asked for and there are some, values come from an aggregate, which Spark combines before
+the shuffle, and a join that splits hot keys; ranks come from a sort by range. So no task gets a
+whole hot group.
 """
 
 from __future__ import annotations
@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import settle
 from .ids import PLACE_BITS
-from .spread import HOT_ROWS, HotKeys, hot_keys, join_spread, renamed, same_keys
+from .spread import HotKeys, hot_keys, join_spread, renamed, same_keys
 
 
 def with_group_values(df: DataFrame, keys: Sequence[str], values: dict[str, Column],
                       where: Column | None = None, hot: HotKeys | None = None,
-                      hot_rows: int = HOT_ROWS) -> DataFrame:
+                      hot_rows: int | None = None) -> DataFrame:
     """Add aggregates over each group, or over its rows that pass ``where``, to all its rows.
 
     Null keys form a group. ``values`` are plain aggregate expressions. ``hot`` may be on some of
@@ -38,14 +38,20 @@ def with_group_values(df: DataFrame, keys: Sequence[str], values: dict[str, Colu
 
 
 def rank_in_group(df: DataFrame, keys: Sequence[str], order: str, tie: str,
-                  rank: str = "rank_id", size: str | None = None) -> DataFrame:
+                  rank: str = "rank_id", size: str | None = None,
+                  hot: HotKeys | None = None) -> DataFrame:
     """Number a group's rows by (order, tie), and with ``size`` add the group's row count.
 
-    Null keys form a group. Rows are sorted by range over many partitions, so that a group of any
+    Null keys form a group. If ``hot`` says that no group is hot, windows by the key do it, which
+    need no more than the one shuffle that other windows by that key use. Else rows are sorted by range over many partitions, so that a group of any
     size is spread over several, and stored: places and counts must come from the same cut. Rows
     are then numbered within their partition only. A group that spans partitions is at an edge of
     each, so the table of what comes before has two rows per partition at most and is broadcast.
     """
+    if hot is not None and not hot:
+        group = Window.partitionBy(*keys)
+        ranked = df.withColumn(rank, F.row_number().over(group.orderBy(order, tie)))
+        return ranked.withColumn(size, F.count(F.lit(1)).over(group).cast("int")) if size else ranked
     by = [*keys, order, tie]
     placed = settle(
         df.repartitionByRange(*by).sortWithinPartitions(*by)

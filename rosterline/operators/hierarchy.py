@@ -8,6 +8,8 @@ Two choices keep the walk cheap:
   last run over people who are somebody's boss.
 * The daily walk joins validity periods and cuts them to their common days. Days are listed
   once, at the end, not before six joins.
+* What all steps of the daily walk read is stored in buckets of the boss's name, so that a step
+  shuffles only the chains that the step before has made.
 """
 
 from __future__ import annotations
@@ -19,11 +21,11 @@ from pyspark.sql import functions as F
 
 from ..functions.names import name_key
 from ..functions.rules import manager_words
-from ..sources.tables import settle
+from ..sources.tables import settle, settle_by
 from .dimview import INACTIVE, latest_version
-from .spread import (HOT_ROWS, PART, HotKeys, hot_keys, join_parts, join_spread, ordinary,
+from .spread import (PART, HotKeys, hot_keys, join_parts, join_spread, ordinary,
                      repeat_right, split_left)
-from .timeline import (calendar_bounds, clip_days, distinct_days, explode_days, snap_to_days,
+from .timeline import (calendar_bounds, distinct_days, explode_days, to_calendar,
                        uncovered_days)
 
 DEPTH = 7
@@ -73,7 +75,7 @@ def _add_level(nodes: DataFrame, above: DataFrame, hot: HotKeys, dated: bool) ->
     return joined.withColumn(CHAIN, chain).drop("_above", "_level")
 
 
-def _hot_names(nodes: DataFrame, hot_rows: int) -> HotKeys:
+def _hot_names(nodes: DataFrame, hot_rows: int | None) -> HotKeys:
     """Names that occur very often, as a person's own or as the boss's, in one list."""
     names = nodes.select(F.explode(F.array("_boss", "_name")).alias("_boss"))
     return hot_keys(names, ["_boss"], hot_rows)
@@ -96,12 +98,9 @@ def walk_up(nodes: DataFrame, depth: int, hot: HotKeys,
     bosses = join_spread(narrow, names, ["_name"], "left_semi", hot=hot.named("_name"))
     absent = None
     if dated:
-        # Days without a version are rows without a chain, so that a left join keeps them. All
-        # levels read both kinds of rows, so they are stored, told apart by the level.
-        missing = uncovered_days(bosses, ["_name"], *DAYS, *days)
-        stored = settle(bosses.unionByName(missing, allowMissingColumns=True))
-        bosses = stored.filter(F.col("_level").isNotNull())
-        absent = stored.filter(F.col("_level").isNull()).select("_name", *DAYS)
+        bosses = settle_by(bosses, "_boss")
+        # Days without a version are rows without a chain, so that a left join keeps them.
+        absent = settle(uncovered_days(bosses, ["_name"], *DAYS, *days))
     kept = ["_name", CHAIN, *(DAYS if dated else ())]
     above = bosses.withColumn(CHAIN, F.array("_level")).select(*kept)
     bosses_in_parts = split_left(bosses, hot)
@@ -130,7 +129,8 @@ def _with_manager_level(df: DataFrame, depth: int) -> DataFrame:
             .withColumn("_manager", F.get(CHAIN, F.col("manager_level") - 1)))
 
 
-def current_manager(view: DataFrame, max_depth: int = DEPTH, hot_rows: int = HOT_ROWS) -> DataFrame:
+def current_manager(view: DataFrame, max_depth: int = DEPTH,
+                    hot_rows: int | None = None) -> DataFrame:
     """Each person's manager by the latest versions.
 
     ``manager_level`` is the level found, 0 for none; ``manager`` is 'Inactive' if that person
@@ -160,9 +160,7 @@ def open_days(view: DataFrame, calendar: DataFrame, as_of: dt.date) -> DataFrame
     """
     horizon, capped = dt.date(as_of.year + 1, 1, 1), dt.date(as_of.year + 2, 1, 1)
     end = F.when(F.col("valid_to") >= F.lit(horizon), F.lit(capped)).otherwise(F.col("valid_to"))
-    clipped = clip_days(view.withColumn("_end", end), "valid_from", "_end",
-                        *calendar_bounds(calendar), into=DAYS).drop("_end")
-    return snap_to_days(clipped, calendar, *DAYS)
+    return to_calendar(view, F.col("valid_from"), end, calendar, DAYS)
 
 
 def daily_roster(view: DataFrame, calendar: DataFrame, as_of: dt.date) -> DataFrame:
@@ -187,20 +185,20 @@ def only_days(df: DataFrame, calendar: DataFrame) -> DataFrame:
 
 def manager_periods(view: DataFrame, calendar: DataFrame, as_of: dt.date,
                     current: DataFrame | None = None, max_depth: int = DEPTH,
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
+                    hot_rows: int | None = None) -> DataFrame:
     """The daily manager as periods of days on which the whole chain stays the same.
 
     The first level that passes the manager test on the day is the manager. If there is none,
     it is the current manager of the boss, else 'Inactive'.
     """
-    nodes = settle(_nodes(open_days(view, calendar, as_of), "reverse_rank_id", *OWN_COLUMNS,
-                          *DAYS))
+    nodes = settle_by(_nodes(open_days(view, calendar, as_of), "reverse_rank_id", *OWN_COLUMNS,
+                             *DAYS), "_boss")
     hot = _hot_names(nodes, hot_rows)
     if current is None:
         current = _current_manager(latest_version(nodes), max_depth, hot)
-    bosses = current.select(
+    bosses = settle(current.select(
         name_key("person_name").alias("_boss"), F.col("job_title").alias("direct_report_title"),
-        F.col("manager").alias("_boss_manager"))
+        F.col("manager").alias("_boss_manager")))
     walked = walk_up(nodes, max_depth, hot, calendar_bounds(calendar))
     walked = join_parts(walked, repeat_right(bosses, hot), ["_boss"]).drop(PART)
     walked = _with_manager_level(walked, max_depth)
@@ -217,7 +215,7 @@ def manager_periods(view: DataFrame, calendar: DataFrame, as_of: dt.date,
 
 def daily_manager(view: DataFrame, calendar: DataFrame, as_of: dt.date,
                   current: DataFrame | None = None, max_depth: int = DEPTH,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+                  hot_rows: int | None = None) -> DataFrame:
     """The manager of every person on every calendar day, with the levels of the chain."""
     return periods_to_days(
         manager_periods(view, calendar, as_of, current, max_depth, hot_rows), calendar)

@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 from ..functions.names import fold_accents, name_key, null_if
 from ..schemas import CARRIED, CRM_IDS, OPEN_END, TRACKED
+from .cover import dense_keys, inside
 from .dimview import INACTIVE
 from .groups import with_group_values
 from .ids import dense_ids, max_value
-from .joins import changed, ends_within, not_in, update_from
+from .joins import DENSE, changed, ends_within, not_in, touching, update_from
 from .spread import HotKeys, join_spread
 
 PERSON = "person_name"
@@ -40,7 +41,7 @@ def prepare_snapshot(snap: DataFrame) -> DataFrame:
     })
 
 
-def _compared(attribute: str, col: str) -> Column:
+def compared(attribute: str, col: str) -> Column:
     return COMPARED.get(attribute, F.col)(col)
 
 
@@ -48,10 +49,12 @@ def _stamp_time(as_of: dt.date) -> Column:
     return F.lit(as_of).cast("timestamp")
 
 
-def _with_ids(rows: DataFrame, dim: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Give new rows the ids after the dimension's greatest and its column order."""
+def _with_ids(rows: DataFrame, dim: DataFrame, order: Sequence[str],
+              last_id: Column | None = None) -> DataFrame:
+    """Give new rows the ids after the dimension's greatest, or ``last_id``, and its columns."""
     order = [*order, *[c for c in rows.columns if c not in order]]
-    return dense_ids(rows, order, max_value(dim)).select(*dim.columns)
+    last_id = max_value(dim) if last_id is None else last_id
+    return dense_ids(rows, order, last_id).select(*dim.columns)
 
 
 def scd2_new_entities(dim: DataFrame, snap: DataFrame, as_of: dt.date,
@@ -81,14 +84,14 @@ def _snapshot_ranges(snap: DataFrame, tracked: Sequence[str]) -> DataFrame:
     """
     values = []
     for a in tracked:
-        value = _compared(a, a)
+        value = compared(a, a)
         values += [F.min(value).alias(f"_min_{a}"), F.max(value).alias(f"_max_{a}"),
                    F.bool_or(value.isNull()).alias(f"_void_{a}")]
     return snap.groupBy(PERSON).agg(*values)
 
 
 def _differs(tracked: Sequence[str], null_safe: bool) -> Column:
-    pairs = [(_compared(a, a), F.col(f"_{edge}_{a}")) for a in tracked for edge in ("min", "max")]
+    pairs = [(compared(a, a), F.col(f"_{edge}_{a}")) for a in tracked for edge in ("min", "max")]
     differs = changed(pairs)
     if null_safe:
         for a in tracked:
@@ -115,17 +118,18 @@ def scd2_close_changed(dim: DataFrame, snap: DataFrame, as_of: dt.date,
 def scd2_new_versions(dim: DataFrame, snap: DataFrame, as_of: dt.date,
                       tracked: Sequence[str] = TRACKED, carry: Sequence[str] = CARRIED,
                       null_safe: bool = False, rehire: bool = False,
-                      hot: HotKeys | None = None) -> DataFrame:
+                      hot: HotKeys | None = None, last_id: Column | None = None) -> DataFrame:
     """Open a version for persons whose versions are all closed and one of them differs.
 
     Attributes come from the snapshot, those in ``carry`` from the person's latest row. The
     hire date is the earliest, the tenure number and CRM ids are the greatest. With ``rehire``
-    persons none of whose versions is active get one too, with the next tenure number.
+    persons none of whose versions is active get one too, with the next tenure number. If ``dim``
+    is a part of the dimension, ``last_id`` is the greatest id of the whole.
     """
     fresh = snap.select(PERSON, F.col("hire_date").alias("_new_hire_date"),
                         *[F.col(a).alias(f"_new_{a}") for a in tracked])
     joined = join_spread(dim, fresh, [PERSON], "inner", hot=hot)
-    pairs = [(_compared(a, a), _compared(a, f"_new_{a}")) for a in tracked]
+    pairs = [(compared(a, a), compared(a, f"_new_{a}")) for a in tracked]
     joined = joined.withColumn("_changed", changed(pairs, null_safe))
     taken = F.col("_changed") | F.lit(rehire)
     new = [f"_new_{a}" for a in tracked]
@@ -159,7 +163,7 @@ def scd2_new_versions(dim: DataFrame, snap: DataFrame, as_of: dt.date,
         for f in dim.schema.fields if f.name != "id"
     ])
     # Ids are unique, and a group gives one row, so neither side repeats a row.
-    return dim.unionByName(_with_ids(rows, dim, [PERSON]))
+    return dim.unionByName(_with_ids(rows, dim, [PERSON], last_id))
 
 
 def scd2_soft_delete(dim: DataFrame, snap: DataFrame, as_of: dt.date, exempt: str | None = None,
@@ -247,21 +251,40 @@ def _boss_periods(dim: DataFrame) -> DataFrame:
     return open_versions.unionByName(current).unionByName(former)
 
 
+def _answering(versions: DataFrame, periods: DataFrame, full_overlap: bool,
+               hot: HotKeys | None, dense: int) -> DataFrame:
+    """Versions (id, _boss, valid_from, valid_to) with the boss's periods that count for them.
+
+    A boss with many periods and many reports is looked up by pieces of the calendar.
+    """
+    on, days, boss_days = ["_boss"], ("valid_from", "valid_to"), ("_from", "_to")
+    kind = F.col("_kind")
+    touches = ends_within(*map(F.col, days), *map(F.col, boss_days), full_overlap)
+    counts = F.when(kind == 2, F.col("_from").between(*map(F.col, days))).otherwise(touches)
+    many = dense_keys(periods, on, dense)
+    if many is not None:
+        many = dense_keys(versions.join(many, on, "left_semi"), on, dense)
+    if many is None:
+        return join_spread(versions, periods, on, "inner", counts, hot=hot)
+    few = join_spread(versions.join(many, on, "left_anti"), periods, on, "inner", counts, hot=hot)
+    mine, theirs = (x.join(many, on, "left_semi") for x in (versions, periods))
+    pairs = touching(mine, theirs.filter(kind != 2), on, days, boss_days, full_overlap)
+    starts = inside(theirs.filter(kind == 2), mine, on, "_from", *days)
+    return few.unionByName(pairs).unionByName(starts)
+
+
 def effective_manager(dim: DataFrame, full_overlap: bool = False,
-                      hot_bosses: HotKeys | None = None) -> DataFrame:
+                      hot_bosses: HotKeys | None = None, dense: int = DENSE) -> DataFrame:
     """Fill ``effective_boss``: who answered for a person during a version.
 
     The named boss if an open version of theirs touches this one; else the boss if their current
     version starts within it; else the boss if a former tenure of theirs touches it; else
     'Inactive'.
     """
-    start, end, kind = F.col("valid_from"), F.col("valid_to"), F.col("_kind")
-    touches = ends_within(start, end, F.col("_from"), F.col("_to"), full_overlap)
-    counts = F.when(kind == 2, F.col("_from").between(start, end)).otherwise(touches)
     versions = dim.select("id", name_key("direct_report").alias("_boss"),
                           "valid_from", "valid_to")
     best = (
-        join_spread(versions, _boss_periods(dim), ["_boss"], "inner", counts, hot=hot_bosses)
+        _answering(versions, _boss_periods(dim), full_overlap, hot_bosses, dense)
         .groupBy("id").agg(F.min(F.struct("_kind", "_name")).alias("_best"))
     )
     boss = (F.when(F.col("_best._kind") == 2, F.col("_best._name"))

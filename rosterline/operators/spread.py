@@ -1,13 +1,12 @@
 """Equi joins that hold for any size and skew.
 
-Rows are counted per key. A key with more than ``hot_rows`` rows on the left is cut into parts: its
-left rows get a part number from a hash of the row, its right rows are repeated once per part.
-Every left row still meets every right row of its key exactly once, so results do not change. The
-hash makes the part number the same when a task is run again. Where no key is hot the join is an
-ordinary one, and whether to broadcast a side is left to the planner.
-
-Adaptive execution splits skewed joins too, but not where the next step needs the join's
-partitioning. A join that stands alone takes ``hot=ordinary(...)`` and is not counted.
+By default a join is an ordinary one: whether to broadcast a side is left to the planner, and
+skew to adaptive execution. That does not split a skewed key where the next step needs the join's
+partitioning; for such joins ``hot_rows`` may be given. Rows are then counted per key, and a key
+with more than ``hot_rows`` rows on the left is cut into parts: its left rows get a part number
+from a hash of the row, its right rows are repeated once per part. Every left row still meets
+every right row of its key exactly once, so results do not change. The hash makes the part number
+the same when a task is run again.
 
 The list of hot keys goes through the driver and is broadcast. It cannot hold more than
 ``rows(left) / hot_rows`` entries: with the default, 10^12 left rows give at most 250,000 keys.
@@ -64,14 +63,16 @@ def renamed(df: DataFrame, on: Sequence[str], prefix: str) -> DataFrame:
     return df.withColumnsRenamed({k: prefix + k for k in on})
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> HotKeys:
-    """Count rows per key and keep the keys with more than ``hot_rows``. Runs a job."""
+def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int | None = None) -> HotKeys:
+    """Count rows per key and keep the keys with more than ``hot_rows``, if that is given."""
     return hot_keys_each(df, [on], hot_rows)[0]
 
 
 def hot_keys_each(df: DataFrame, ons: Sequence[Sequence[str]],
-                  hot_rows: int = HOT_ROWS) -> list[HotKeys]:
-    """Hot keys by several sets of columns, counted in one pass."""
+                  hot_rows: int | None = None) -> list[HotKeys]:
+    """Hot keys by several sets of columns, counted in one pass; none without ``hot_rows``."""
+    if hot_rows is None:
+        return [ordinary(*on) for on in ons]
     columns = list(dict.fromkeys(c for on in ons for c in on))
     if len(ons) == 1:
         grouped, which = df.groupBy(*columns), F.lit(0)
@@ -147,13 +148,13 @@ def join_parts(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
 
 def join_spread(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
                 where: Column | None = None, *, hot: HotKeys | None = None,
-                hot_rows: int = HOT_ROWS, spread_by: Sequence[str] | None = None,
+                hot_rows: int | None = None, spread_by: Sequence[str] | None = None,
                 null_safe: bool = False) -> DataFrame:
-    """Join on columns both sides name alike, plus an optional condition, splitting hot keys.
+    """Join on columns both sides name alike, plus an optional condition.
 
-    Columns other than the keys must have different names on both sides. ``hot`` takes the result
-    of :func:`hot_keys` or :func:`ordinary`, to save counting when a side is costly or used again;
-    its columns may be some of the join's.
+    Columns other than the keys must have different names on both sides. With ``hot_rows`` hot
+    keys are counted and split; ``hot`` takes the result of :func:`hot_keys`, to save counting
+    when a side is costly or used again; its columns may be some of the join's.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"join_spread keeps the left side whole; how={how!r} does not")

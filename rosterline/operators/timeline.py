@@ -18,37 +18,43 @@ def distinct_days(calendar: DataFrame) -> DataFrame:
     return calendar.filter(F.col("dte").isNotNull()).dropDuplicates(["dte"])
 
 
-def _holes(calendar: DataFrame) -> DataFrame:
-    """Days between the calendar's ends that it lacks, with its nearest days on both sides.
+def calendar_index(calendar: DataFrame) -> Column:
+    """The days of a calendar in order, and for each day from the first to the last how many lie
+    before it, as a scalar subquery: a struct of ``days`` and ``before``.
 
     One task looks at all days, of which a calendar cannot have many.
     """
-    days = calendar.select(F.col("dte").alias("before")).distinct()
-    gaps = days.withColumn("after", F.lead("before").over(Window.orderBy("before")))
-    return gaps.filter(F.datediff("after", "before") > 1).select(
-        F.explode(F.sequence(F.date_add("before", 1), F.date_sub("after", 1))).alias("hole"),
-        "before", "after")
-
-
-def snap_to_days(df: DataFrame, calendar: DataFrame, first: str = "first_day",
-                 last: str = "last_day") -> DataFrame:
-    """Move the ends of intervals inwards to days of the calendar; null if none is within."""
-    holes = F.broadcast(_holes(calendar))
-    ahead = holes.select(F.col("hole").alias(first), F.col("after").alias("_ahead"))
-    back = holes.select(F.col("hole").alias(last), F.col("before").alias("_back"))
-    moved = df.join(ahead, first, "left").join(back, last, "left")
-    start, end = F.coalesce("_ahead", first), F.coalesce("_back", last)
-    return moved.withColumns({
-        first: F.when(start <= end, start), last: F.when(start <= end, end),
-    }).select(*df.columns)
-
-
-def clip_days(df: DataFrame, start: str, end: str, low: Column, high: Column,
-              into: tuple[str, str] = ("first_day", "last_day")) -> DataFrame:
-    """Cut intervals to [low, high]; both ends are null where nothing is left."""
-    first, last = F.greatest(F.col(start), low), F.least(F.col(end), high)
-    real = F.col(start).isNotNull() & F.col(end).isNotNull() & (first <= last)
-    return df.withColumns({into[0]: F.when(real, first), into[1]: F.when(real, last)})
+    in_order = Window.orderBy("dte")
+    days = distinct_days(calendar).select(
+        "dte", (F.row_number().over(in_order) - 1).alias("n"),
+        F.coalesce(F.lead("dte").over(in_order), F.date_add("dte", 1)).alias("next"))
+    # A day itself has n before it, the days missing after it have one more.
+    each = days.select("dte", F.explode(F.concat(F.array("n"), F.array_repeat(
+        F.col("n") + 1, F.datediff("next", "dte") - 1))).alias("before"))
+    lists = F.sort_array(F.collect_list(F.struct("dte", "before")))
+    return each.agg(F.struct(
+        F.array_sort(F.collect_set("dte")).alias("days"),
+        F.transform(lists, lambda x: x.before).alias("before"))).scalar()
+
+
+def to_calendar(df: DataFrame, start: Column, end: Column, calendar: DataFrame,
+                into: tuple[str, str] = ("first_day", "last_day")) -> DataFrame:
+    """Add the first and the last day of the calendar within each interval; null if none is.
+
+    Two lookups by place in what :func:`calendar_index` lists: no join.
+    """
+    looked = df.withColumns({"_index": calendar_index(calendar), "_from": start, "_to": end})
+    days, before = F.col("_index.days"), F.col("_index.before")
+
+    def days_before(day: Column) -> Column:
+        place = F.greatest(F.datediff(day, F.get(days, F.lit(0))), F.lit(0))
+        return F.coalesce(F.get(before, place), F.size(days))
+
+    first, after = days_before(F.col("_from")), days_before(F.date_add("_to", 1))
+    real = F.col("_from").isNotNull() & F.col("_to").isNotNull() & (first < after)
+    return looked.withColumns({
+        into[0]: F.when(real, F.get(days, first)), into[1]: F.when(real, F.get(days, after - 1)),
+    }).select(*df.columns, *into)
 
 
 def explode_days(df: DataFrame, first: str = "first_day", last: str = "last_day",
@@ -61,6 +67,52 @@ def explode_days(df: DataFrame, first: str = "first_day", last: str = "last_day"
     return df.select("*", F.explode_outer(days).alias(day))
 
 
+def depth_changes(df: DataFrame, keys: Sequence[str], first: str, last: str) -> DataFrame:
+    """Per key the days on which the number of intervals that hold the day changes, with
+    ``change``, by how much; intervals without days count nothing.
+
+    Two rows per interval, summed before the shuffle: per key a row a day at most.
+    """
+    given = df.filter(F.col(first) <= F.col(last))
+    ends = F.explode(F.array(
+        F.struct(F.col(first).alias("day"), F.lit(1).alias("change")),
+        F.struct(F.date_add(last, 1).alias("day"), F.lit(-1).alias("change"))))
+    return (given.select(*keys, ends.alias("_end")).groupBy(*keys, F.col("_end.day").alias("day"))
+            .agg(F.sum("_end.change").alias("change")).filter("change <> 0"))
+
+
+def overlap_periods(df: DataFrame, keys: Sequence[str], first: str, last: str,
+                    at_least: int = 2) -> DataFrame:
+    """Per key the periods that ``at_least`` intervals hold, with ``depth``, how many they are.
+
+    A sweep over the days on which that number changes; no day is listed. Null keys form a group.
+    Periods are cut where the depth changes.
+    """
+    by_day = Window.partitionBy(*keys).orderBy("day")
+    swept = depth_changes(df, keys, first, last).select(
+        *keys, F.col("day").alias("from_day"),
+        F.date_sub(F.lead("day").over(by_day), 1).alias("to_day"),
+        F.sum("change").over(by_day.rowsBetween(Window.unboundedPreceding, 0)).alias("depth"))
+    return swept.filter(F.col("depth") >= at_least)
+
+
+def duplicate_days(df: DataFrame, keys: Sequence[str], first: str, last: str,
+                   calendar: DataFrame, day: str = "dte") -> DataFrame:
+    """Keys and calendar days that several intervals hold, with ``row_count``, how many.
+
+    Days are listed at the end, and only those. A key of which two or more rows have no day of
+    the calendar comes with a null day.
+    """
+    held = to_calendar(df, F.col(first), F.col(last), calendar, ("_first", "_last"))
+    periods = overlap_periods(held, keys, "_first", "_last")
+    days = F.broadcast(distinct_days(calendar).select(F.col("dte").alias(day)))
+    listed = explode_days(periods, "from_day", "to_day", day).join(days, day).select(
+        *keys, day, F.col("depth").cast("long").alias("row_count"))
+    none = (held.filter(F.col("_first").isNull()).groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("row_count")).filter("row_count > 1"))
+    return listed.unionByName(none.withColumn(day, F.lit(None).cast("date")))
+
+
 def uncovered_days(df: DataFrame, keys: Sequence[str], first: str, last: str,
                    low: Column, high: Column) -> DataFrame:
     """Per key, the maximal intervals of [low, high] that no row covers.

@@ -9,11 +9,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import join_range
-from ..operators.spread import (HOT_ROWS, PART, HotKeys, hot_keys_each, join_parts, join_spread,
-                                ordinary, repeat_right, split_left)
+from ..operators.cover import dense_keys
+from ..operators.joins import DENSE, NODE, by_day, join_range
+from ..operators.spread import (PART, HotKeys, hot_keys_each, join_parts, join_spread, ordinary,
+                                repeat_right, split_left)
 from ..operators.tenure import tenure_metrics
 from ..operators.timeline import distinct_days
+from ..sources.tables import settle
 
 NO_COHORT = "Unidentified"
 FEED_PREFIX = "properties."
@@ -51,9 +53,10 @@ def unify_activities(feeds: Sequence[DataFrame], prefix: str = FEED_PREFIX,
 
 
 def staff_lookup(view: DataFrame, cohorts: DataFrame) -> DataFrame:
-    """Staff versions with their hire cohort, cut to what stamps show.
+    """Staff versions with their hire cohort, cut to what stamps show, and stored.
 
     The cohort depends on the hire date alone, so it is looked up here, not once per activity.
+    Being stored the table tells its size, by which the planner chooses the join.
     """
     staff = join_range(
         view.select("owner_id", "valid_from", "valid_to", "person_name", "hire_date", "area",
@@ -61,7 +64,7 @@ def staff_lookup(view: DataFrame, cohorts: DataFrame) -> DataFrame:
                     "segment"),
         cohorts.withColumnRenamed("name", "cohort"), "hire_date", "start_date", "end_date",
         hot=ordinary("_month"))
-    return staff.drop("start_date", "end_date").withColumnRenamed("area", "team")
+    return settle(staff.drop("start_date", "end_date").withColumnRenamed("area", "team"))
 
 
 def on_calendar(df: DataFrame, calendar: DataFrame, day: Column, prefix: str = "") -> DataFrame:
@@ -74,13 +77,14 @@ def on_calendar(df: DataFrame, calendar: DataFrame, day: Column, prefix: str = "
 
 
 def _stamp(facts: DataFrame, staff: DataFrame, calendar: DataFrame, day: Column, prefix: str,
-           kind: str, options: TenureOptions) -> DataFrame:
+           kind: str, options: TenureOptions, dense: DataFrame | None) -> DataFrame:
     """Stamp facts that carry part numbers; the parts stay, so a second stamp can follow."""
     dated = on_calendar(facts, calendar, day, prefix)
-    valid = F.col(f"{prefix}dte").between(F.col(f"{prefix}valid_from"),
-                                          F.col(f"{prefix}valid_to"))
+    at, start, end = (prefix + c for c in ("dte", "valid_from", "valid_to"))
     cohort = f"{prefix}cohort"
-    stamped = join_parts(dated, staff, OWNER, "left", valid).withColumn(
+    dated, staff, keys = by_day(dated, staff, OWNER, at, start, end, dense)
+    stamped = join_parts(dated, staff, keys, "left", F.col(at).between(
+        F.col(start), F.col(end))).drop(NODE).withColumn(
         cohort, F.coalesce(cohort, F.lit(NO_COHORT)))
     return tenure_metrics(stamped, f"{prefix}dte", f"{prefix}hire_date", kind,
                           options.week_mode, options.month_mode,
@@ -108,43 +112,46 @@ def _with_outcome(activities: DataFrame, dispositions: DataFrame, hot: HotKeys)
         spread_by=["activity_id"]).withColumn("created_date", F.col("created_at").cast("date"))
 
 
-def _sides(activities: DataFrame, tables: StampTables,
-           hot_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Calendar, activities and staff, ready to be joined; keys are counted in one pass."""
+def _sides(activities: DataFrame, tables: StampTables, hot_rows: int | None
+           ) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Activities and staff, ready to be joined, and the owners of many versions; if hot keys
+    are asked for they are counted in one pass."""
     staff = staff_lookup(tables.staff, tables.cohorts)
     spread, outcome = hot_keys_each(activities, [OWNER, OUTCOME], hot_rows)
     facts = _with_outcome(activities, tables.dispositions, outcome)
-    return (tables.calendar, split_left(facts, spread, ["activity_id"]),
-            repeat_right(staff, spread))
+    return (split_left(facts, spread, ["activity_id"]), repeat_right(staff, spread),
+            dense_keys(staff, OWNER, DENSE))
 
 
 def stamp_activities(activities: DataFrame, tables: StampTables, day: str = "activity_date",
                      options: TenureOptions = TenureOptions(),
-                     hot_rows: int = HOT_ROWS) -> DataFrame:
+                     hot_rows: int | None = None) -> DataFrame:
     """Activities with call outcome, calendar, staff version on the day, cohort and tenure.
 
     An activity on a day outside the calendar gets no staff version. One that meets several
     versions comes out several times.
     """
-    calendar, facts, staff = _sides(activities, tables, hot_rows)
-    stamped = _stamp(facts, staff, calendar, F.col(day), "", "activity_type", options)
+    facts, staff, dense = _sides(activities, tables, hot_rows)
+    stamped = _stamp(facts, staff, tables.calendar, F.col(day), "", "activity_type", options,
+                     dense)
     return stamped.select(*ACTIVITY_COLUMNS, *_stamp_columns())
 
 
 def activity_analysis(activities: DataFrame, tables: StampTables, day: str = "activity_date",
                       creation_day: str = "created_date",
                       options: TenureOptions = TenureOptions(),
-                      hot_rows: int = HOT_ROWS) -> DataFrame:
+                      hot_rows: int | None = None) -> DataFrame:
     """Activities stamped twice: on their own day and on the day they were created.
 
     Both stamps are put on the same row one after the other, which gives what joining two
     stamped tables on the activity id gives, without that join. Both look up the same owner, so
     the activities are shuffled once.
     """
-    calendar, facts, staff = _sides(activities, tables, hot_rows)
+    facts, staff, dense = _sides(activities, tables, hot_rows)
     prefix = "creation_"
     at_creation = staff.toDF(*[c if c in (*OWNER, PART) else prefix + c for c in staff.columns])
-    stamped = _stamp(facts, staff, calendar, F.col(day), "", "activity_type", options)
-    stamped = _stamp(stamped, at_creation, calendar, F.col(creation_day), prefix,
-                     "activity_type", options)
+    stamped = _stamp(facts, staff, tables.calendar, F.col(day), "", "activity_type", options,
+                     dense)
+    stamped = _stamp(stamped, at_creation, tables.calendar, F.col(creation_day), prefix,
+                     "activity_type", options, dense)
     return stamped.select(*ACTIVITY_COLUMNS, *_stamp_columns(), *_stamp_columns(prefix))

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import weeks_between
 from ..functions.rules import first_match
-from ..operators.spread import (HOT_ROWS, PART, hot_keys_each, join_parts, join_spread, ordinary,
+from ..operators.cover import dense_keys
+from ..operators.joins import DENSE, NODE, by_day
+from ..operators.spread import (PART, hot_keys_each, join_parts, join_spread, ordinary,
                                 repeat_right, split_left)
 from ..operators.tenure import tenure_metrics
+from ..sources.tables import settle
 from .activity import NO_COHORT, OWNER, on_calendar, staff_lookup
 
 # Days by which a creation date moves, by week of tenure.
@@ -47,29 +50,33 @@ def adjusted_date(df: DataFrame, created: str, hired: str, calendar: DataFrame)
 
 
 def contact_analysis(contacts: DataFrame, tables: ContactTables,
-                     hot_rows: int = HOT_ROWS) -> DataFrame:
+                     hot_rows: int | None = None) -> DataFrame:
     """One row per contact and staff version valid on its creation day."""
     by_id = ["contact_id"]
     companies = tables.companies.select("company_id", "row_tag")
     calendar = tables.calendar
     staff = staff_lookup(tables.staff, tables.cohorts)
     # Managers are keyed by owner too, so that the parts of hot owners serve for their join.
-    managers = join_spread(
+    managers = settle(join_spread(
         tables.manager_periods.select("person_name", "first_day", "last_day", "manager"),
-        tables.staff.select("owner_id", "person_name").distinct(), ["person_name"], "inner",
-        hot=ordinary("person_name"))
+        staff.select("owner_id", "person_name").distinct(), ["person_name"], "inner",
+        hot=ordinary("person_name")))
+    by_person = [*OWNER, "person_name"]
     to_company, to_owner = hot_keys_each(contacts, [["company_id"], OWNER], hot_rows)
     facts = join_spread(contacts, companies, ["company_id"], "left", hot=to_company,
                         spread_by=by_id)
     dated = on_calendar(facts, calendar, F.col("created_at").cast("date"), "original_")
     valid = F.col("original_dte").between(F.col("valid_from"), F.col("valid_to"))
-    owned = join_parts(split_left(dated, to_owner, by_id), repeat_right(staff, to_owner), OWNER,
-                       "left", valid)
+    dated, versions, keys = by_day(
+        split_left(dated, to_owner, by_id), repeat_right(staff, to_owner), OWNER, "original_dte",
+        "valid_from", "valid_to", dense_keys(staff, OWNER, DENSE))
+    owned = join_parts(dated, versions, keys, "left", valid).drop(NODE)
     adjusted = adjusted_date(owned, "original_dte", "hire_date", calendar)
     on_day = F.col("adj_dte").between(F.col("first_day"), F.col("last_day"))
-    managed = join_parts(
-        split_left(adjusted, to_owner, by_id), repeat_right(managers, to_owner),
-        [*OWNER, "person_name"], "left", on_day).drop(PART)
+    adjusted, periods, keys = by_day(
+        split_left(adjusted, to_owner, by_id), repeat_right(managers, to_owner), by_person,
+        "adj_dte", "first_day", "last_day", dense_keys(managers, by_person, DENSE))
+    managed = join_parts(adjusted, periods, keys, "left", on_day).drop(PART, NODE)
     # Adjusted dates count Monday weeks, original ones Sunday weeks.
     metrics = tenure_metrics(managed, "adj_dte", "hire_date", first_day="mon")
     metrics = tenure_metrics(metrics, "original_dte", "hire_date", first_day="sun",

@@ -12,7 +12,7 @@ from ..operators.scd2 import (PERSON, apply_defaults, backfill, clamp_valid_to,
                               effective_manager, enrich, prepare_snapshot, scd2_close_changed,
                               scd2_new_entities, scd2_new_versions, scd2_soft_delete,
                               spread_termination)
-from ..operators.spread import HOT_ROWS, hot_keys_each
+from ..operators.spread import hot_keys_each
 from ..schemas import LEAVERS, SNAPSHOT, STAFF_DIM
 from ..sources.landing import typed
 from ..sources.tables import settle
@@ -28,7 +28,7 @@ class RunOptions:
     null_safe: bool = False            # changes from or to null count
     rehire: bool = False               # returning persons get a version
     full_overlap: bool = False         # containment counts in the effective boss
-    hot_rows: int = HOT_ROWS
+    hot_rows: int | None = None        # persons and bosses of more rows are split
 
 
 def load_dim(raw: DataFrame) -> DataFrame:

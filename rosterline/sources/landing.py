@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .records import read_records
 from .tables import exists, write
 
 
@@ -27,6 +28,22 @@ def clean_table(df: DataFrame, int_columns: Sequence[str] = ()) -> DataFrame:
     return df.withColumns(cleaned)
 
 
+def as_type(raw: DataFrame, source: str | None, field: T.StructField,
+            missing: str = "NULL") -> tuple[Column, Column]:
+    """A column's value, null where it is empty or the word ``missing``, and the value in the
+    field's type, null where it cannot be read."""
+    if source is None:
+        none = F.lit(None)
+        return none.cast("string"), none.cast(field.dataType)
+    value, kind = F.col(f"`{source}`"), dict(raw.dtypes)[source]
+    if kind == field.dataType.simpleString():
+        return value, value
+    if kind == "string":
+        text = F.trim(value)
+        value = F.when((text != "") & (F.upper(text) != missing.upper()), text)
+    return value, value.try_cast(field.dataType)
+
+
 def typed(raw: DataFrame, schema: T.StructType, missing: str = "NULL") -> DataFrame:
     """Bring a table to a schema; columns beyond it stay, after those of the schema.
 
@@ -37,17 +54,11 @@ def typed(raw: DataFrame, schema: T.StructType, missing: str = "NULL") -> DataFr
     kinds = dict(raw.dtypes)
 
     def column(field: T.StructField) -> Column:
-        if field.name not in found:
-            return F.lit(None).cast(field.dataType).alias(field.name)
-        source = found[field.name]
-        value = F.col(f"`{source}`")
-        if kinds[source] == field.dataType.simpleString():
-            return value.alias(field.name)
-        if kinds[source] == "string":
-            text = F.trim(value)
-            value = F.when((text != "") & (F.upper(text) != missing.upper()), text)
-        cast = value.try_cast(field.dataType)
+        source = found.get(field.name)
+        value, cast = as_type(raw, source, field, missing)
         kind = field.dataType.simpleString()
+        if source is None or kinds[source] == kind:
+            return cast.alias(field.name)
         wrong = F.concat(F.lit(f"{source} has a value that is no {kind}: "), value.cast("string"))
         return F.when(value.isNotNull() & cast.isNull(), F.raise_error(wrong).cast(
             field.dataType)).otherwise(cast).alias(field.name)
@@ -71,13 +82,12 @@ def read_tab(spark: SparkSession, src: str, tab: str,
              schema: T.StructType | None = None) -> DataFrame:
     """One tab; all columns are text unless a schema is given.
 
-    Cells may be quoted, with doubled quotes, commas and line breaks inside. With a schema a cell
-    that does not fit it is an error.
+    Cells may be quoted, with doubled quotes, commas and line breaks inside; a large file is read
+    by several tasks all the same. With a schema columns are found by name, those it does not
+    have stay as text, and a cell that does not fit it is an error.
     """
-    reader = spark.read.options(header=True, multiLine=True, quote='"', escape='"')
-    if schema is not None:
-        reader = reader.schema(schema).option("mode", "FAILFAST")
-    return reader.csv(f"{src.rstrip('/')}/{tab}")
+    raw = read_records(spark, f"{src.rstrip('/')}/{tab}")
+    return raw if schema is None else typed(raw, schema)
 
 
 def land_tables(spark: SparkSession, src: str, dst: str, exclude: Sequence[str] = (),

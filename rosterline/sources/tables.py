@@ -8,21 +8,34 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .versions import COMMITS, VERSIONS, Files, latest, open_version
+
+
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder for a null
+
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A Parquet table: its last committed version if it keeps versions, else its files."""
+    version = latest(spark, path)
+    return spark.read.parquet(path) if version is None else open_version(spark, path, version)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is a Parquet table at the path; other errors are raised."""
+    """Whether there is a Parquet table at the path; other errors are raised.
+
+    A folder with no more than an uncommitted first version holds no table yet.
+    """
     try:
         read(spark, path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return False
+        inside = Files(spark, path).names(path)
+        if inside and set(inside) <= {VERSIONS, COMMITS}:
+            return False
         raise
     return True
 
@@ -50,13 +63,54 @@ def write(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def write_partitions(df: DataFrame, path: str, by: str, values: Sequence[int | None],
+                     sort_by: Sequence[str] = ()) -> None:
+    """Replace those partitions of a table that ``values`` name; the others' files stay.
+
+    ``df`` holds their rows and no others. A value without rows loses its partition. A run that
+    stops midway has replaced some of them; to run again replaces all.
+    """
+    spark = df.sparkSession
+    values = list(dict.fromkeys(values))
+    if not values:
+        return
+    seen = Observation()
+    counted = [F.count_if(F.col(by).eqNullSafe(F.lit(v))).alias(f"v{i}")
+               for i, v in enumerate(values)]
+    gathered = df.hint("rebalance", F.col(by))
+    if sort_by:
+        gathered = gathered.sortWithinPartitions(by, *sort_by)
+    (gathered.observe(seen, *counted).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path))
+    files = Files(spark, path)
+    for i, v in enumerate(values):
+        if not seen.get[f"v{i}"]:
+            files.delete(f"{path.rstrip('/')}/{by}={NO_VALUE if v is None else v}")
+
+
 def staged_overwrite(df: DataFrame, path: str, staging: str,
                      partition_by: Sequence[str] = ()) -> None:
-    """Replace a table that the DataFrame itself reads, by way of a staging table."""
+    """Replace a table that the DataFrame itself reads, by way of a staging table.
+
+    A run that stops during the second write leaves the table broken: for tables that can be made
+    again. What cannot, like a history, is written with ``write_version``.
+    """
     write(df, staging)
     write(read(df.sparkSession, staging), path, partition_by)
 
 
+def stored_max(spark: SparkSession, path: str, col: str) -> int | None:
+    """The greatest value of a column of a stored table, from the files' footers alone.
+
+    Only the other Parquet reader of Spark can answer an aggregate from footers, so this runs in
+    a session of its own settings. Null for a table without a value.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return read(own, path).agg(F.max(col)).first()[0]
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A table or view of the catalog."""
     return spark.table(name)
@@ -131,3 +185,19 @@ def settle(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "settled")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Store an intermediate result in buckets of its keys and go on from there.
+
+    Joins and groups by the keys then read it without a shuffle of its rows. Buckets need a table
+    of the catalog; its entry is dropped at once, as what was looked up with it stays known.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name, path = f"settled_{uuid.uuid4().hex}", scratch_path(spark, "buckets")
+    (df.repartition(buckets, *keys).write.format("parquet").option("path", path)
+     .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name))
+    stored = spark.table(name).select(*df.columns)
+    spark.sql(f"drop table {name}")
+    return stored

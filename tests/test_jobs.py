@@ -25,7 +25,7 @@ def test_chain(spark, tmp_path):
         pytest.skip(f"no tables at {FOLDER}")
     t = Inputs(spark, FOLDER)
     path = {n: str(tmp_path / n) for n in (
-        "tabs", "staging", "view", "calendar", "managers", "periods", "cohorts", "dispositions",
+        "tabs", "view", "calendar", "managers", "periods", "cohorts", "dispositions",
         "activities", "contacts_in", "companies", "contacts")}
     landed = str(tmp_path / "landed")
     history = f"{landed}/history.parquet"
@@ -46,7 +46,7 @@ def test_chain(spark, tmp_path):
                             schemas={"snapshot": SNAPSHOT, "leavers": LEAVERS})
         assert ("seed" in names) == (run == 0)
         dimension_job(spark, history, f"{landed}/seed.parquet", f"{landed}/snapshot.parquet",
-                      f"{landed}/leavers.parquet", path["staging"], RunOptions(RUN_DAY))
+                      f"{landed}/leavers.parquet", RunOptions(RUN_DAY))
         if run == 0:
             first = bag(read(spark, history))
     assert bag(read(spark, history)) == first

@@ -307,6 +307,6 @@ def test_load_and_job(spark, company, tmp_path):
     write(leavers, paths["leavers"])
     for _ in range(2):
         dimension_job(spark, paths["history"], paths["seed"], paths["snap"], paths["leavers"],
-                      paths["staging"], RunOptions(RUN))
+                      RunOptions(RUN))
     assert bag(read(spark, paths["history"])) == bag(
         scd2_run(dim, snap, leavers, RunOptions(RUN)))
