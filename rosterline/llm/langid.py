@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -81,8 +81,9 @@ def learn(docs: DataFrame, where: Column | None = None, text_col: str = "text",
           rows_per_language: int = 1500) -> LanguageModel:
     """Learn from a bounded sample of the labelled rows that pass ``where``.
 
-    About ``rows_per_language`` rows of each language are taken whole, chosen by a hash of their
-    id, so that the same rows are taken whatever the table's order. The language counts (one row
+    About ``rows_per_language`` rows of each language are taken whole, chosen by a hash of id and
+    text, so that the same rows are taken whatever the table's order; never more than twice as
+    many, and at least one, also where ids are null or rows repeat. The language counts (one row
     per language) and the sample's word counts reach the driver. Null languages and texts teach
     nothing; with no labelled row the model is empty.
     """
@@ -90,14 +91,20 @@ def learn(docs: DataFrame, where: Column | None = None, text_col: str = "text",
                            F.col(text_col).alias("text"),
                            (F.lit(True) if where is None else where).alias("use")) \
         .filter("use and lang is not null and text is not null").drop("use")
-    sizes = {r["lang"]: r["n"] for r in
-             labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    draw = F.pmod(F.xxhash64(F.lit(5), "id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    sizes = {r["lang"]: max(rows_per_language / r["n"], r["least"]) for r in
+             labelled.groupBy("lang").agg(F.count("*").alias("n"), F.min(draw).alias("least"))
+             .collect()}
     if not sizes:
         return LanguageModel([], [], np.zeros((0, 0)), [], np.zeros((0, 0)))
     share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(rows_per_language / n)).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1 << 30)) / float(1 << 30)
+    for lang, part in sizes.items():
+        share = F.when(F.col("lang") == lang, F.lit(part)).otherwise(share)
+    # The share leaves few rows, but for a row given very many times; the bound is exact.
+    by_draw = Window.partitionBy("lang").orderBy("draw", "id")
+    sample = (labelled.withColumn("draw", draw).filter(F.col("draw") <= share)
+              .withColumn("place", F.row_number().over(by_draw))
+              .filter(F.col("place") <= 2 * rows_per_language))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, Counter] = {}
@@ -112,7 +119,7 @@ def learn(docs: DataFrame, where: Column | None = None, text_col: str = "text",
                  pa.array(list(own.values()), pa.int64())], names=["lang", "word", "n"])
 
     counted = (
-        labelled.filter(draw < share).select("lang", "text")
+        sample.select("lang", "text")
         .mapInArrow(tidy(count), "lang string, word string, n long")
         .groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow())
     languages = sorted(sizes)

@@ -77,6 +77,71 @@ def test_language_forgets_unseen_words(monkeypatch):
     assert lang == "a" and score == pytest.approx(1 / (1 + (0.4 / 0.6) ** n))
 
 
+@pytest.mark.parametrize("doc_id", [None, 7, 8, 9])
+def test_language_sample_of_equal_ids(spark, spoken, doc_id):
+    """The sample goes by id and text: equal ids leave it neither empty nor unbounded."""
+    same = spoken.withColumn("doc_id", F.lit(doc_id).cast("long"))
+    model = langid.learn(same, rows_per_language=60)
+    assert model.languages == sorted(LETTERS)
+    rows = langid.identify(spoken, model).collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.95 * len(rows)
+    whole = langid.learn(same, rows_per_language=10**6)
+    assert len(model.words) < len(whole.words)
+
+
+def test_language_sample_of_repeated_rows(spark):
+    """One row given very many times: it is drawn, and no more often than the bound."""
+    rows = [(1, "ein haus", "de")] * 300 + [(2, "one house", "en")] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learn(df, rows_per_language=10)
+    assert set(model.words) == {"ein", "haus", "one", "house"}
+    scorer = langid.Scorer(model)
+    assert scorer.predict("haus")[0] == "de" and scorer.predict("house")[0] == "en"
+
+
+def test_language_against_plain_scoring(spark, spoken):
+    """Every text scored with dictionaries of counts, whatever the tables inside."""
+    model = langid.learn(spoken, rows_per_language=10**6)
+    word_counts = {lang: Counter() for lang in LETTERS}
+    for r in spoken.collect():
+        word_counts[r["lang"]].update(re.findall(r"[^\W\d_]+", r["text"].lower()))
+    gram_counts = {lang: Counter() for lang in LETTERS}
+    for lang, counts in word_counts.items():
+        for word, n in counts.items():
+            marked = f"_{word}_"
+            for size in range(1, 6):
+                for i in range(len(marked) - size + 1):
+                    gram_counts[lang][marked[i:i + size]] += n
+
+    def logs(counts):
+        known = set().union(*counts.values())
+        totals = {lang: sum(c.values()) + 0.5 * (len(known) - len(c)) + 0.5 * len(c)
+                  for lang, c in counts.items()}
+        return {k: [math.log((counts[lang][k] + 0.5) / totals[lang]) for lang in sorted(counts)]
+                for k in known}
+
+    by_word, by_gram = logs(word_counts), logs(gram_counts)
+
+    def plain(word):
+        if word in by_word:
+            return by_word[word]
+        marked = f"_{word}_"
+        for size in range(min(5, len(marked)), 0, -1):
+            met = [by_gram[g] for i in range(len(marked) - size + 1)
+                   if (g := marked[i:i + size]) in by_gram]
+            if met:
+                return [sum(x) / len(met) for x in zip(*met)]
+        return [0.0] * len(LETTERS)
+
+    scorer = langid.Scorer(model)
+    for _, text, _ in speech(seed=77, n=60):
+        totals = [sum(x) for x in zip(*map(plain, re.findall(r"[^\W\d_]+", text.lower())))]
+        best = max(range(len(totals)), key=lambda i: (totals[i], -i))
+        share = 1 / sum(math.exp(t - totals[best]) for t in totals)
+        lang, score = scorer.predict(text)
+        assert lang == sorted(LETTERS)[best] and score == pytest.approx(share, rel=1e-3)
+
+
 def test_language_edges(spark, spoken):
     model = langid.learn(spoken, rows_per_language=50)
     df = documents(spark, edge_rows())
