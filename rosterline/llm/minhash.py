@@ -297,8 +297,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """The table with one document of each component, the one with the smallest id.
 
-    Columns stay. Rows that share an id are told apart by their text, the smaller hash first;
-    rows equal in id and text are one document given several times and stay or go together.
+    Columns stay. Rows that share an id are told apart by their text, the smaller hash first; of
+    rows equal in id and text, which are one document given several times, one stays. Null and
+    empty texts are no copies of each other. An empty table stays empty.
     """
     k0, k1 = unused(docs, "k0_", "k1_")
     keyed = docs.withColumns(dict(zip((k0, k1), doc_hash(F.col(id_col), F.col(text_col)))))
@@ -307,4 +308,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id",
                        F.col(text_col).alias("text"))
     kept = (near_duplicates(one).filter("kept")
             .select(F.col("doc_id.k0").alias(k0), F.col("doc_id.k1").alias(k1)).distinct())
-    return keyed.join(settle(kept), [k0, k1], "left_semi").select(*docs.columns)
+    return (keyed.join(settle(kept), [k0, k1], "left_semi").dropDuplicates([k0, k1])
+            .select(*docs.columns))

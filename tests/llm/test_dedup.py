@@ -168,6 +168,16 @@ def test_drop_near_duplicates(spark):
     assert sorted(r["doc_id"] for r in found.collect()) == sorted(expected)
 
 
+def test_one_of_repeated_rows_stays(spark):
+    text = "one two three four five six seven eight"
+    rows = [(1, text), (1, text), (1, text), (2, text), (3, "other words"), (3, "other words"),
+            (None, "lost id here"), (None, "lost id here"), (4, None), (4, None), (5, ""), (6, "")]
+    found = drop_near_duplicates(documents(spark, rows)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in found), key=repr) == sorted([
+        (1, text), (3, "other words"), (None, "lost id here"), (4, None), (5, ""), (6, "")],
+        key=repr)
+
+
 def test_components(spark):
     rng = random.Random(2)
     chain = [(i, i + 1) for i in range(60)]
