@@ -2,8 +2,9 @@
 
 Many weak voters look at a text: lexicons and word-start patterns drawn from labelled texts, and
 patterns of its surface. A generative label model estimates each voter's accuracy and how far
-voters are correlated, and gives every sampled text a posterior label. A linear classifier is
-trained on those posteriors and scores whole texts.
+voters are correlated, and gives every sampled text a posterior label. The given label is one
+voter among them, of a fixed accuracy: others that agree can outvote it. A linear classifier is
+trained on those posteriors, and on nothing else, and scores whole texts.
 
 Only the sample reaches the driver; its size is a parameter.
 """
@@ -27,7 +28,7 @@ SALTS = [mix(np.array([s], dtype=U64))[0] for s in (101, 103)]
 LEXICON_WORDS = 8
 LEXICONS, START_PATTERNS = 24, 12
 FEATURES = 4096
-PRIOR = 0.6  # share of a feature's own log odds that its weight is drawn to
+GIVEN = 0.95  # accuracy of the given labels as a voter
 SURE, STRONG = 3.2, 2.5  # least standard deviations and size of a feature's log odds
 SURFACE = 5
 
@@ -159,16 +160,19 @@ def _votes(label, surface_votes, row, column, kind, odds, sure):
     return np.stack(columns, axis=1)
 
 
-def label_model(votes: np.ndarray, label: np.ndarray, weight: np.ndarray, rounds: int = 20):
+def label_model(votes: np.ndarray, label: np.ndarray, weight: np.ndarray, rounds: int = 20,
+                given_accuracy: float = GIVEN):
     """Posterior probability of toxic per row, voters' accuracies, and their correlations.
 
     Given the class, a voter votes 1, -1 or nothing with probabilities that are estimated by
-    expectation maximisation; the known labels start it and keep a share of each posterior.
+    expectation maximisation. The given label starts it and votes too, always, with
+    ``given_accuracy``, which keeps the classes from drifting.
     Correlation is what remains between two voters once the class is known; a voter's evidence is
     divided by one plus the sum of its correlations, so that copies of a voter count about once.
     """
     kinds = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
-    posterior = np.where(label == 1, 0.95, 0.05)
+    posterior = np.where(label == 1, given_accuracy, 1 - given_accuracy)
+    own = np.log(given_accuracy / (1 - given_accuracy)) * (2 * label - 1)
     share, correlation = np.ones(votes.shape[1]), np.zeros((votes.shape[1],) * 2)
     given = {}
     for _ in range(rounds):
@@ -184,30 +188,26 @@ def label_model(votes: np.ndarray, label: np.ndarray, weight: np.ndarray, rounds
         correlation = (rest * weight[:, None]).T @ rest / weight.sum() / np.outer(scale, scale)
         np.fill_diagonal(correlation, 0)
         share = 1 / (1 + np.where(np.abs(correlation) > 0.1, np.abs(correlation), 0).sum(axis=0))
-        evidence = np.einsum("ijk,jk->ij", kinds, np.log(given[1]) - np.log(given[0])) @ share
+        evidence = own + np.einsum(
+            "ijk,jk->ij", kinds, np.log(given[1]) - np.log(given[0])) @ share
         prior = (weight * posterior).sum() / weight.sum()
         model = 1 / (1 + np.exp(-np.clip(evidence + np.log(prior / (1 - prior)), -30, 30)))
-        posterior = np.clip(0.5 * model + 0.5 * label, 1e-3, 1 - 1e-3)
+        posterior = np.clip(model, 1e-3, 1 - 1e-3)
     wrong = (weight * posterior) @ (votes == -1) + (weight * (1 - posterior)) @ (votes == 1)
     cast = weight @ (votes != 0)
     return posterior, 1 - wrong / np.maximum(cast, 1e-9), correlation
 
 
-def _train(target, weight, row, column, n_rows, prior, penalty=1e-4, steps=600):
-    """Logistic regression on features that are there or not, by Adam over the whole sample.
-
-    Weights are drawn towards ``prior``, so that a feature which mostly comes along with others
-    keeps a weight of its own.
-    """
-    n_columns = len(prior)
-    w, b = prior.copy(), 0.0
+def _train(target, weight, row, column, n_rows, n_columns, penalty=1e-4, steps=600):
+    """Logistic regression on features that are there or not, by Adam over the whole sample."""
+    w, b = np.zeros(n_columns), 0.0
     moments = np.zeros((2, n_columns + 1))
     weight = weight / weight.sum()
     for step in range(1, steps + 1):
         z = np.bincount(row, weights=w[column], minlength=n_rows) + b
         error = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target)
         slope = np.append(np.bincount(column, weights=error[row], minlength=n_columns)
-                          + penalty * (w - prior), error.sum())
+                          + penalty * w, error.sum())
         moments[0] = 0.9 * moments[0] + 0.1 * slope
         moments[1] = 0.99 * moments[1] + 0.01 * slope ** 2
         move = (moments[0] / (1 - 0.9 ** step)) / (
@@ -246,7 +246,7 @@ def learn(docs: DataFrame, labels: DataFrame, where: Column | None = None,
     odds, sure, kept = odds[chosen], sure[chosen], keys[chosen]
     votes = _votes(label, surface_votes, row, column, kept & 1, odds, sure)
     posterior, _, _ = label_model(votes, label, weight)
-    w, b = _train(posterior, weight, row, column, len(label), PRIOR * odds)
+    w, b = _train(posterior, weight, row, column, len(label), len(kept))
     return ToxicityModel(kept, w, b)
 
 

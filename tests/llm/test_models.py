@@ -220,6 +220,59 @@ def test_label_model_weighs_voters():
     assert ((posterior > 0.5) == label).mean() > 0.95
 
 
+def test_voters_outvote_a_wrong_label():
+    """The given label is a voter: five others that agree against it win."""
+    rng = np.random.default_rng(3)
+    truth = (rng.random(2000) < 0.4).astype(int)
+    votes = np.stack([np.where(rng.random(2000) < 0.9, truth, 1 - truth) * 2 - 1
+                      for _ in range(5)], axis=1).astype(np.int8)
+    label = np.where(rng.random(2000) < 0.1, 1 - truth, truth)
+    posterior, accuracy, _ = toxicity.label_model(votes, label, np.ones(2000))
+    wrong = label != truth
+    assert ((posterior > 0.5) == truth)[wrong].mean() > 0.8
+    assert ((posterior > 0.5) == truth).mean() > 0.97
+    assert all(0.85 < a < 0.95 for a in accuracy)
+
+
+def test_label_model_against_plain_loops():
+    rng = np.random.default_rng(5)
+    n, voters, rounds = 60, 4, 6
+    label = (rng.random(n) < 0.4).astype(int)
+    votes = rng.integers(-1, 2, (n, voters)).astype(np.int8)
+    votes[:, 1] = votes[:, 0]  # a copy
+    weight = rng.random(n) + 0.5
+    post = [0.95 if y else 0.05 for y in label]
+    for _ in range(rounds):
+        chance = {}
+        for c in (0, 1):
+            for j in range(voters):
+                counts = {v: 0.5 for v in (-1, 0, 1)}
+                for i in range(n):
+                    counts[votes[i, j]] += weight[i] * (post[i] if c else 1 - post[i])
+                chance[c, j] = {v: x / sum(counts.values()) for v, x in counts.items()}
+        rest = [[votes[i, j] - sum((post[i] if c else 1 - post[i])
+                                   * (chance[c, j][1] - chance[c, j][-1]) for c in (0, 1))
+                 for j in range(voters)] for i in range(n)]
+        total = sum(weight)
+        scale = [math.sqrt(sum(weight[i] * rest[i][j] ** 2 for i in range(n)) / total) + 1e-9
+                 for j in range(voters)]
+        share = []
+        for j in range(voters):
+            others = [abs(sum(weight[i] * rest[i][j] * rest[i][k] for i in range(n)) / total
+                          / scale[j] / scale[k]) for k in range(voters) if k != j]
+            share.append(1 / (1 + sum(x for x in others if x > 0.1)))
+        prior = sum(w * p for w, p in zip(weight, post)) / total
+        fresh = []
+        for i in range(n):
+            z = math.log(prior / (1 - prior)) + math.log(19) * (1 if label[i] else -1)
+            z += sum(share[j] * math.log(chance[1, j][votes[i, j]] / chance[0, j][votes[i, j]])
+                     for j in range(voters))
+            fresh.append(min(max(1 / (1 + math.exp(-z)), 1e-3), 1 - 1e-3))
+        post = fresh
+    found, _, correlation = toxicity.label_model(votes, label, weight, rounds)
+    assert np.allclose(found, post) and correlation[0, 1] > 0.99
+
+
 def test_toxicity_edges(spark):
     rows = insults(2, 400)
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
