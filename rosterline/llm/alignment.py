@@ -53,12 +53,12 @@ class ByteLevel:
                               if all(c in alphabet for c in token) else token.encode())
         self._fast = _as_ranks(path, alphabet)
 
-    def encode(self, texts: Sequence[str]) -> list[list[int]]:
-        found: list[list[int] | None] = [None] * len(texts)
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+        found: list[np.ndarray | None] = [None] * len(texts)
         if self._fast is not None:
             for i, text in enumerate(texts):
                 try:
-                    found[i] = self._fast.encode_ordinary(text)
+                    found[i] = np.array(self._fast.encode_ordinary(text), dtype=np.uint32)
                 except (KeyboardInterrupt, SystemExit):
                     raise
                 except BaseException:  # it gives up on some very long runs; the library does not
@@ -66,7 +66,7 @@ class ByteLevel:
         rest = [i for i, ids in enumerate(found) if ids is None]
         for i, one in zip(rest, self._library.encode_batch_fast(
                 [texts[i] for i in rest], add_special_tokens=False)):
-            found[i] = one.ids
+            found[i] = np.array(one.ids, dtype=np.uint32)
         return found
 
 
@@ -112,57 +112,85 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
-        self._sizes = [np.array([len(t) for t in x.tokens], dtype=np.int64)
-                       for x in (self.a, self.b)]
+        self._sizes, self._starts, self._bytes = [], [], []
+        for x in (self.a, self.b):
+            sizes = np.array([len(t) for t in x.tokens], dtype=np.int64)
+            self._sizes.append(sizes)
+            self._starts.append(np.cumsum(sizes) - sizes)
+            self._bytes.append(np.frombuffer(b"".join(x.tokens), dtype=np.uint8))
         # Decimal ids with what follows: a comma, or the mark at the end of a group's part.
         self._texts = [np.array([[f"{i},", f"{i}{mark}"] for i in range(len(x.tokens))],
                                 dtype=object) for x, mark in ((self.a, "|"), (self.b, ";"))]
 
-    def tokens(self, texts: Sequence[str]) -> tuple[list[int], list[list[int]], list[list[int]]]:
+    def _same(self, which: int, ids: list[np.ndarray], raw: list[bytes]) -> np.ndarray:
+        """Whether the bytes of each text's tokens, joined, are the text's."""
+        counts = np.array([len(x) for x in ids])
+        flat = np.concatenate(ids).astype(np.int64)
+        sizes = self._sizes[which][flat]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        cuts = ends[np.concatenate([[0], np.cumsum(counts)])]
+        lengths = np.array([len(r) for r in raw])
+        place = np.arange(ends[-1]) + np.repeat(self._starts[which][flat] - ends[:-1], sizes)
+        joined = self._bytes[which][place].tobytes()
+        equal = np.diff(cuts) == lengths
+        if equal.all() and joined == b"".join(raw):
+            return equal
+        return np.array([joined[i:j] == r for i, j, r in zip(cuts, cuts[1:], raw)])
+
+    def tokens(self, texts: Sequence[str]
+               ) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
         """Places of the texts that both tokenizers give back byte by byte, and their ids."""
+        if not len(texts):
+            return [], [], []
         spaced = [" " + t for t in texts]
-        places, ids_a, ids_b = [], [], []
-        for i, (text, one, other) in enumerate(zip(spaced, self.a.encode(spaced),
-                                                   self.b.encode(texts))):
-            raw = text.encode()
-            if (b"".join(map(self.a.tokens.__getitem__, one)) == raw
-                    and b"".join(map(self.b.tokens.__getitem__, other)) == raw):
-                places.append(i)
-                ids_a.append(one)
-                ids_b.append(other)
-        return places, ids_a, ids_b
-
-    def align(self, ids_a: list[list[int]], ids_b: list[list[int]]) -> dict:
+        raw = [t.encode() for t in spaced]
+        ids_a = self.a.encode(spaced)
+        ids_b = [np.array(x, dtype=np.uint32) for x in self.b.encode(texts)]
+        good = np.flatnonzero(self._same(0, ids_a, raw) & self._same(1, ids_b, raw)).tolist()
+        return good, [ids_a[i] for i in good], [ids_b[i] for i in good]
+
+    def align(self, ids_a: list[np.ndarray], ids_b: list[np.ndarray]) -> dict:
         """Measures and links of texts, laid end to end.
 
-        Per text: n_a, n_b, n_groups, n_links and groups, the ids by group as text. ``links`` are
-        all links in order as (place of a, place of b) in the ids laid end to end; ``owner`` is
-        the text of each.
+        Per text: n_a, n_b, n_groups, n_links and groups, the ids by group as text. ``ids`` are
+        all ids, ``links`` the places in them of the tokens of each link, in order, and ``owner``
+        the text of each link.
         """
-        sizes = [np.array([len(x) for x in ids], dtype=np.int64) for ids in (ids_a, ids_b)]
-        flat = [np.fromiter((i for x in ids for i in x), dtype=np.int64, count=int(n.sum()))
-                for ids, n in zip((ids_a, ids_b), sizes)]
+        counts = [np.array([len(x) for x in ids], dtype=np.int64) for ids in (ids_a, ids_b)]
+        flat = [np.concatenate(ids).astype(np.int64) for ids in (ids_a, ids_b)]
         ends = [np.cumsum(size[ids]) for size, ids in zip(self._sizes, flat)]
-        bounds = ends[0][np.cumsum(sizes[0]) - 1]  # where texts end; each has a token
-        shared = np.intersect1d(*ends, assume_unique=True)
-        offsets = np.union1d(*ends)
-        owner = np.searchsorted(bounds, offsets)
-        groups = [np.searchsorted(shared, e) for e in ends]
-        closes = [shared[g] == e for g, e in zip(groups, ends)]
+        # What ends at each byte: a token of a (1), of b (2), a text (4).
+        marks = np.zeros(ends[0][-1] + 1, dtype=np.uint8)
+        marks[ends[0]] = 1
+        marks[ends[1]] |= 2
+        marks[ends[0][np.cumsum(counts[0]) - 1]] |= 4
+        marks = marks[marks > 0]  # one per offset at which a token ends: one per link
+        closes = [(marks & 1) > 0, (marks & 2) > 0]
+        shared = closes[0] & closes[1]
+        texts = (marks & 4) > 0
+
+        def earlier(flags: np.ndarray) -> np.ndarray:
+            return np.cumsum(flags) - flags
+
+        owner, group = earlier(texts), earlier(shared)
+        links = [earlier(c) for c in closes]
+        # Within a group the tokens of a come first, then those of b.
+        upto = [np.concatenate([[0], (link + 1)[shared]]) for link in links]
         out = np.empty(len(flat[0]) + len(flat[1]), dtype=object)
-        place = np.arange(len(flat[0])) + np.searchsorted(groups[1], groups[0])
-        out[place] = self._texts[0][flat[0], closes[0].astype(np.int8)]
-        place = np.arange(len(flat[1])) + np.searchsorted(groups[0], groups[1], "right")
-        out[place] = self._texts[1][flat[1], closes[1].astype(np.int8)]
-        cuts = np.concatenate([[0], np.cumsum(sizes[0] + sizes[1])]).tolist()
+        in_a, in_b = group[closes[0]], group[closes[1]]
+        out[np.arange(len(flat[0])) + upto[1][in_a]] = self._texts[0][
+            flat[0], shared[closes[0]].view(np.int8)]
+        out[np.arange(len(flat[1])) + upto[0][in_b + 1]] = self._texts[1][
+            flat[1], shared[closes[1]].view(np.int8)]
+        cuts = np.concatenate([[0], np.cumsum(counts[0] + counts[1])]).tolist()
         pieces = out.tolist()
+        n = len(counts[0])
         return {
-            "n_a": sizes[0], "n_b": sizes[1],
-            "n_groups": np.bincount(np.searchsorted(bounds, shared), minlength=len(bounds)),
-            "n_links": np.bincount(owner, minlength=len(bounds)),
+            "n_a": counts[0], "n_b": counts[1],
+            "n_groups": np.bincount(owner[shared], minlength=n),
+            "n_links": np.bincount(owner, minlength=n),
             "groups": ["".join(pieces[i:j])[:-1] for i, j in zip(cuts, cuts[1:])],
-            "ids": flat, "owner": owner,
-            "links": [np.searchsorted(e, offsets) for e in ends],
+            "ids": flat, "owner": owner, "links": links,
         }
 
 
@@ -178,7 +206,8 @@ BLOCK = ("block bigint, keys binary, digests binary, n_a array<bigint>, n_b arra
 BLOCK_NAMES = [x.split()[0] for x in BLOCK.split(", ")]
 
 
-def _block(number: int, texts: list[str], times: list[int], use: Aligner) -> pa.RecordBatch | None:
+def _block(number: int, texts: list[str], times: list[int],
+           use: Aligner) -> pa.RecordBatch | None:
     """A block's measures, its distinct pairs with the documents that hold them, and the links of
     each text as places among those pairs."""
     places, ids_a, ids_b = use.tokens(texts)

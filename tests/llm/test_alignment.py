@@ -102,6 +102,21 @@ def test_measures_and_counts(spark, libraries, block_bytes):
     assert all(r["best"] == (r["n"] == top[r["a"]]) for r in counts.collect())
 
 
+def test_very_long_texts(spark, libraries):
+    """Texts far longer than a block are aligned whole."""
+    byte_level, pieces = libraries
+    rng = random.Random(11)
+    texts = [" ".join(words(rng, 40_000, stock(rng, 500))), "é日x" * 50_000, " " * 100_000 + "a"]
+    df = documents(spark, texts)
+    measures, _ = align_tokenizers(df, tokenizer_path(), piece_path(), block_bytes=1000)
+    for r in measures.collect():
+        a = byte_level.encode(" " + texts[r["doc_id"]], add_special_tokens=False).ids
+        b = pieces.encode(texts[r["doc_id"]])
+        assert (r["n_a"], r["n_b"]) == (len(a), len(b))
+        assert r["n_links"] == r["n_a"] + r["n_b"] - r["n_groups"]
+        assert r["n_links"] <= r["count_sum"] and 0 < r["n_best"] <= r["n_links"]
+
+
 def test_repeated_rows_and_no_rows(spark):
     df = documents(spark, edge_rows())
     measures, _ = align_tokenizers(df, tokenizer_path(), piece_path())
@@ -122,4 +137,4 @@ def test_merging_by_id_is_the_library_s_encoding(libraries):
     texts += [" ".join(f"a{c}1{c} {c}!{c}{c}x" for c in map(chr, range(i, i + 256)))
               for i in [*range(0, 0xD800, 256), *range(0xE000, 0x20000, 256)]]
     expected = [e.ids for e in libraries[0].encode_batch(texts, add_special_tokens=False)]
-    assert use.encode(texts) == expected
+    assert [ids.tolist() for ids in use.encode(texts)] == expected
