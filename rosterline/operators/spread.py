@@ -8,8 +8,8 @@ from a hash of the row, its right rows are repeated once per part. Every left ro
 every right row of its key exactly once, so results do not change. The hash makes the part number
 the same when a task is run again.
 
-The list of hot keys goes through the driver and is broadcast. It cannot hold more than
-``rows(left) / hot_rows`` entries: with the default, 10^12 left rows give at most 250,000 keys.
+The list of hot keys is stored, and broadcast. It cannot hold more than ``rows(left) / hot_rows``
+entries: with HOT_ROWS, 10^12 left rows give at most 250,000 keys.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import settle
+
 HOT_ROWS = 4_000_000
 NULL_PARTS = 1024  # rows with a null key match nothing; they are only kept from piling up
 PART = "_part"
@@ -80,22 +82,18 @@ def hot_keys_each(df: DataFrame, ons: Sequence[Sequence[str]],
         grouped = df.groupingSets([[F.col(c) for c in on] for on in ons],
                                   *map(F.col, columns))
         which = F.grouping_id()
-    found = (
+    table = settle(
         grouped.agg(F.count(F.lit(1)).alias("_rows"), which.cast("long").alias("_set"))
         .filter(F.col("_rows") > hot_rows)
         .select(*columns, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_parts"), "_set")
     )
-    rows = found.collect()
-    if not rows:
-        return [HotKeys(tuple(on), None) for on in ons]
-    table = df.sparkSession.createDataFrame(rows, found.schema)
+    hot_sets = {r["_set"] for r in table.select("_set").distinct().collect()}
     results = []
     for on in ons:
         # grouping_id() has a bit for every column, the first highest, set if it is left out
         number = int("".join("0" if c in on else "1" for c in columns), 2)
-        is_hot = any(r["_set"] == number for r in rows)
         mine = table.filter(F.col("_set") == number).select(*on, "_parts")
-        results.append(HotKeys(tuple(on), mine if is_hot else None))
+        results.append(HotKeys(tuple(on), mine if number in hot_sets else None))
     return results
 
 
