@@ -156,7 +156,8 @@ BODIES: dict[str, str] = {
     **{name: f"""select a.owner_id, a.shift_id, a.valid_from, a.valid_to,
  b.shift_id as other_shift_id, b.valid_from as other_valid_from, b.valid_to as other_valid_to
  from (select * from shifts where shift_id % 5 = 0) a
- left join (select * from shifts where shift_id % 5 = 0) b on a.owner_id = b.owner_id and ({rule})"""
+ left join (select * from shifts where shift_id % 5 = 0) b
+  on a.owner_id = b.owner_id and ({rule})"""
        for name, rule in (
            ("join_shifts_overlap", """a.valid_from between b.valid_from and b.valid_to
   or a.valid_to between b.valid_from and b.valid_to"""),

@@ -17,8 +17,8 @@ from rosterline.operators import (apply_defaults, backfill, clamp_valid_to,
                                   duplicate_days, effective_manager, enrich,
                                   first_role, join_overlapping, join_range, join_spread,
                                   join_valid_at, latest_rows, latest_version, manager_periods,
-                                  matched, max_value, not_in, open_days, overlap_periods, prepare_snapshot,
-                                  ranked_versions, scd2_close_changed, scd2_new_entities,
+                                  matched, max_value, not_in, open_days, overlap_periods,
+                                  prepare_snapshot, ranked_versions, scd2_close_changed, scd2_new_entities,
                                   scd2_new_versions, scd2_soft_delete, spread_termination,
                                   subteam, subteam_active, tenure_metrics, with_group_values)
 from rosterline.plans import (ContactTables, RunOptions, StampTables, activity_analysis,
@@ -342,7 +342,8 @@ def overlaps(t):
 
 def _earlier(staff: DataFrame) -> DataFrame:
     """The staff as if some persons' last versions had other bosses and titles then."""
-    moved = (F.col("owner_id") % 10 == 3) & (F.col("valid_from") >= F.lit("1998-03-01").cast("date"))
+    late = F.col("valid_from") >= F.lit("1998-03-01").cast("date")
+    moved = (F.col("owner_id") % 10 == 3) & late
     return staff.withColumns({
         "direct_report": F.when(moved, "Supplier 000000001").otherwise(F.col("direct_report")),
         "job_title": F.when(moved, "Key Account Manager").otherwise(F.col("job_title"))})

@@ -43,15 +43,17 @@ def rank_in_group(df: DataFrame, keys: Sequence[str], order: str, tie: str,
     """Number a group's rows by (order, tie), and with ``size`` add the group's row count.
 
     Null keys form a group. If ``hot`` says that no group is hot, windows by the key do it, which
-    need no more than the one shuffle that other windows by that key use. Else rows are sorted by range over many partitions, so that a group of any
-    size is spread over several, and stored: places and counts must come from the same cut. Rows
-    are then numbered within their partition only. A group that spans partitions is at an edge of
-    each, so the table of what comes before has two rows per partition at most and is broadcast.
+    need no more than the one shuffle that other windows by that key use. Else rows are sorted by
+    range over many partitions, so that a group of any size is spread over several, and stored:
+    places and counts must come from the same cut. Rows are then numbered within their partition
+    only. A group that spans partitions is at an edge of each, so the table of what comes before
+    has two rows per partition at most and is broadcast.
     """
     if hot is not None and not hot:
         group = Window.partitionBy(*keys)
         ranked = df.withColumn(rank, F.row_number().over(group.orderBy(order, tie)))
-        return ranked.withColumn(size, F.count(F.lit(1)).over(group).cast("int")) if size else ranked
+        count = F.count(F.lit(1)).over(group).cast("int")
+        return ranked.withColumn(size, count) if size else ranked
     by = [*keys, order, tie]
     placed = settle(
         df.repartitionByRange(*by).sortWithinPartitions(*by)
