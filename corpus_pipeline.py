@@ -20,9 +20,11 @@ from rosterline.llm.queries import table, tokenizer_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents in which a language can be told; texts without a letter go.
+    """Documents in which a language can be told; texts without a letter go, null ones too.
 
-    The model is learned from a bounded sample of the documents that name their language.
+    The model is learned from a bounded sample of the documents that name their language. A text
+    with a letter always stays: the model knows no language but those, so it cannot tell that a
+    text is in none of them. Repeated rows stay, columns too; an empty table stays empty.
     """
     ship(spark)
     return langid.keep_identified(docs, langid.learn(docs))
@@ -42,18 +44,30 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, the one with the smallest id.
+
+    Of rows equal in id and text one stays; a row without an id counts as the smallest. Texts
+    without a word are copies of nothing. Columns stay; an empty table stays empty.
+    """
     ship(spark)
     return drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
+    """Documents that hold no window of a benchmark item.
+
+    Documents without a word hold none; repeated rows stay or go together. Items without a word
+    and an empty benchmark table take nothing. Columns stay; an empty table stays empty.
+    """
     return drop_contaminated(docs, table(spark, folder, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Ids, their number, and the text that they decode to."""
+    """Ids, their number, and the text that they decode to, beside doc_id, lang and source.
+
+    A null text counts as empty: no ids. One row per row, repeated ones too; other columns are
+    left out, so that their names cannot clash with the new ones.
+    """
     ship(spark)
     outputs = {c: c for c in ("n_tokens", "token_ids", "decoded")}
     given = docs.select("doc_id", "text", "lang", "source")
