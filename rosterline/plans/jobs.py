@@ -53,7 +53,8 @@ def manager_job(spark: SparkSession, view: str, calendar: str, out: str, periods
 
     The periods are kept in versions. Only years in which a period has changed since the last
     version are written; returns them. The new periods are committed when that is done, so a run
-    that stops before is made good by the next one. A changed calendar needs a fresh ``out``.
+    that stops before is made good by the next one. A changed calendar, or an ``out`` that is
+    gone, needs a fresh ``periods_out`` too.
     """
     staff, days = read(spark, view), read(spark, calendar)
     with scratch(spark):

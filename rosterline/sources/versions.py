@@ -150,8 +150,10 @@ def new_version(spark: SparkSession, path: str, schema: StructType | None = None
 def commit(spark: SparkSession, path: str, version: Version, keep: int = KEEP) -> None:
     """Make a written folder the table's last version, and remove what is no longer needed.
 
-    Raises :class:`CommitConflict` if another run has taken the number; its version stays. The
-    ``keep`` last versions stay, so that readers of the one before can finish.
+    Raises :class:`CommitConflict` if another run has taken the number; its version stays. That
+    needs a file system that creates a file once only (HDFS, local disks); on a store that does
+    not, the later of two markers counts. The ``keep`` last versions stay, so that readers of the
+    one before can finish.
     """
     path = path.rstrip("/")
     files = Files(spark, path)
