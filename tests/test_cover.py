@@ -8,9 +8,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rosterline.operators import (cover, dense_keys, duplicate_days, explode_days,
+from rosterline.operators import (cover, dense_keys, duplicate_days, explode_days, inside,
                                   join_overlapping, join_valid_at, overlap_periods, pieces_with,
                                   to_calendar)
+from rosterline.sources import read, write
 from tests.helpers import bag, calendar, day, rows
 
 SPAN = "k string, id int, s date, e date"
@@ -158,3 +159,14 @@ def test_calendar_days_within_intervals(spark):
         assert (r["first_day"], r["last_day"]) == expected, r
     empty = to_calendar(df, F.col("s"), F.col("e"), days.limit(0))
     assert empty.filter("first_day is not null or last_day is not null").isEmpty()
+
+
+def test_listed_pieces_are_not_broadcast(spark, tmp_path):
+    """The planner takes them for as large as the files they are listed from."""
+    rng = random.Random(9)
+    write(facts_of(spark, rng, 50)[0], str(tmp_path / "points"))
+    write(spark.createDataFrame(spans(rng, 50, "ab"), SPAN), str(tmp_path / "ranges"))
+    points, ranges = (read(spark, str(tmp_path / n)) for n in ("points", "ranges"))
+    plan = inside(points, ranges, ["k"], "at", "s", "e")._jdf.queryExecution().executedPlan()
+    joins = [line for line in plan.toString().splitlines() if "Join" in line]
+    assert joins and not any("Broadcast" in j for j in joins)
