@@ -7,6 +7,7 @@ contacts. Jobs count hot keys and split them; a call of an operator does so only
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from .refresh import changed_rows, cut_to_years, distinct_years, in_years, touch
 from .scd2_run import RunOptions, load_dim, scd2_run
 
 YEAR = ["yyyy"]
+ROWS_PER_FILE = 2_000_000
 
 
 def dimension_job(spark: SparkSession, history: str, seed: str, snapshot: str, leavers: str,
@@ -47,6 +49,22 @@ def view_job(spark: SparkSession, dim: str, out: str, as_of: dt.date) -> None:
         write_version(view, out, sort_by=["person_name", "valid_from"])
 
 
+def days_by_year(periods: DataFrame, calendar: DataFrame, years: Sequence[int | None],
+                 rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """The daily rows of some years, gathered by year and in order of person and day.
+
+    The periods are moved and sorted, not the many days that are listed from them. Those of one
+    person and the same days are told apart by a hash, so that they too can lie in several files.
+    """
+    cut = cut_to_years(periods, *DAYS, years).withColumns({
+        "yyyy": F.year(DAYS[0]), "_tie": F.xxhash64(*periods.columns)})
+    listed = F.coalesce(F.datediff(DAYS[1], DAYS[0]) + 1, F.lit(1))
+    rows = cut.agg(F.sum(listed.cast("long"))).first()[0] or 0
+    order = ["yyyy", "person_name", *DAYS, "_tie"]
+    placed = cut.repartitionByRange(max(1, math.ceil(rows / rows_per_file)), *order)
+    return periods_to_days(placed.sortWithinPartitions(*order).drop("_tie"), calendar)
+
+
 def manager_job(spark: SparkSession, view: str, calendar: str, out: str, periods_out: str,
                 as_of: dt.date) -> list[int | None]:
     """Daily managers by year, and the periods they come from, which the contact job reads.
@@ -64,14 +82,11 @@ def manager_job(spark: SparkSession, view: str, calendar: str, out: str, periods
     before = latest(spark, periods_out)
     if before is None:
         years = touched_years(periods, *DAYS, days)
-        daily = periods_to_days(periods, days)
-        write(daily.withColumn("yyyy", F.year("dte")), out, YEAR, ["person_name", "dte"])
+        write(days_by_year(periods, days, years), out, YEAR, placed=True)
     else:
         changes = changed_rows(open_version(spark, periods_out, before), periods)
         years = touched_years(changes, *DAYS, days)
-        daily = periods_to_days(cut_to_years(periods, *DAYS, years), days)
-        write_partitions(daily.withColumn("yyyy", F.year("dte")), out, *YEAR, years,
-                         ["person_name", "dte"])
+        write_partitions(days_by_year(periods, days, years), out, *YEAR, years, placed=True)
     commit(spark, periods_out, staged)
     return years
 

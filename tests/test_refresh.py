@@ -7,10 +7,11 @@ import os
 
 from pyspark.sql import functions as F
 
-from rosterline.operators import daily_manager, dim_view
+from rosterline.operators import daily_manager, dim_view, periods_to_days
 from rosterline.plans import (StampTables, activity_analysis, activity_job, changed_rows,
                               cut_to_years, manager_job, touched_years, unify_activities,
                               view_job)
+from rosterline.plans.jobs import days_by_year
 from rosterline.schemas import COHORT, DISPOSITION
 from rosterline.sources import read, stage_version, write, write_partitions, write_version
 from tests.helpers import bag, calendar, day, rows, staff
@@ -99,6 +100,33 @@ def test_managers_by_year(spark, tmp_path):
     assert bag(read(spark, path["out"]).drop("yyyy")) == expected(second)
 
 
+def test_days_are_neither_shuffled_nor_sorted(spark, tmp_path):
+    """Periods are; days are listed from them in the tasks that write them."""
+    data = [(f"p{i:02}", None if i == 7 else day("2019-06-01"), None if i == 7 else
+             day("2021-03-01"), "Ann") for i in range(20)] * 2
+    periods = spark.createDataFrame(
+        data, "person_name string, first_day date, last_day date, level_2_name string")
+    days = calendar(spark, "2019-01-01", "2021-12-31").filter("dayofweek(dte) <> 1")
+    path, years = str(tmp_path / "t"), [None, 2019, 2020, 2021]
+    plain = periods_to_days(periods, days).withColumn("yyyy", F.year("dte"))
+    write(plain, path, ["yyyy"], ["person_name", "dte"])
+    assert bag(read(spark, path)) == bag(plain)
+    for some in (years, [2020]):
+        listed = days_by_year(periods, days, some, rows_per_file=5000)
+        write_partitions(listed, path, "yyyy", some, placed=True)
+        assert bag(read(spark, path)) == bag(plain)
+        plan = listed._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Generate") < plan.index("Repartition")  # the days come after
+    listed = days_by_year(periods, days, years, rows_per_file=5000)
+    assert listed.rdd.getNumPartitions() == 5
+    write(listed, path, ["yyyy"], placed=True)
+    assert bag(read(spark, path)) == bag(plain)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    for f in glob.glob(f"{path}/yyyy=2020/*.parquet"):
+        names = [r["person_name"] for r in spark.read.parquet(f).collect()]
+        assert names == sorted(names)
+
+
 def test_activities_by_year(spark, tmp_path):
     path = {n: str(tmp_path / n) for n in ("dim", "view", "calendar", "out", "cohorts", "calls",
                                            "dispositions")}
