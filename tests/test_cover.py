@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from rosterline.operators import joins
 from rosterline.operators import (cover, dense_keys, duplicate_days, explode_days, inside,
                                   join_overlapping, join_valid_at, overlap_periods, pieces_with,
                                   to_calendar)
@@ -170,3 +171,30 @@ def test_listed_pieces_are_not_broadcast(spark, tmp_path):
     plan = inside(points, ranges, ["k"], "at", "s", "e")._jdf.queryExecution().executedPlan()
     joins = [line for line in plan.toString().splitlines() if "Join" in line]
     assert joins and not any("Broadcast" in j for j in joins)
+
+
+def test_versions_of_keys_without_a_fact_are_not_listed(spark, monkeypatch):
+    """Ten owners of 200 versions each, facts of one: only its versions are cut into pieces."""
+    listed = []
+
+    def inside_seen(points, ranges, *args):
+        listed.append(ranges.count())
+        return inside(points, ranges, *args)
+
+    monkeypatch.setattr(joins, "inside", inside_seen)
+    first = F.lit(day("2000-01-01"))
+    at = (F.col("id") % 200).cast("int")
+    versions = spark.range(2000).select(
+        F.floor(F.col("id") / 200).alias("k"), "id", F.date_add(first, at).alias("s"),
+        F.date_add(first, at + 20).alias("e"))
+    facts = spark.range(20).select(F.lit(3).cast("long").alias("k"), F.date_add(
+        first, (F.col("id") % 2 * 300 + 10).cast("int")).alias("at"))
+    joined = join_valid_at(facts, versions, ["k"], "at", "s", "e")
+    assert joined.count() == 10 + 10 * 11 and listed == [200]
+
+
+def test_pieces_of_a_short_and_a_long_range_are_few(spark):
+    df = spark.createDataFrame([(day("2020-01-01"), day("2020-02-09")),
+                                (day("1995-05-05"), day("2100-12-31"))], "s date, e date")
+    assert all(r["n"] <= 60 for r in df.select(
+        F.size(cover(F.col("s"), F.col("e"))).alias("n")).collect())
