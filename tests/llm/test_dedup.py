@@ -8,6 +8,7 @@ import re
 from collections import defaultdict
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from corpus import documents, edge_rows, stock, words
 from pyspark.sql import functions as F
@@ -400,3 +401,35 @@ def test_repeats_over_chunks(spark, monkeypatch):
             covered = sorted((a, p) for a, lo, hi in starts for p in range(lo, hi + 1))
             found.append(covered)
     assert found[:3] == found[3:]
+
+
+def test_repeats_gather_short_texts(monkeypatch):
+    """Short texts share a chunk; groups are those of each text alone and stay within it."""
+    import pyarrow as pa
+
+    from rosterline.llm import repeats
+
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdé") for _ in range(n))
+             for n in (60, 300, 59, 0, 1500, 61, 400, 200, 90)]
+    texts[3] = None
+    monkeypatch.setattr(repeats, "CHUNK", 1000)
+    gathered = list(repeats._gathered(pa.array(texts), 60, 30, 8))
+    assert [rows.tolist() for rows, _ in gathered] == [[4], [4], [0, 1, 2, 5], [6, 7, 8]]
+
+    def groups(row, chunk, piece, zero, low):
+        own = chunk.anchor, chunk.low, chunk.high
+        docs = np.full(len(chunk.begins), 7, dtype=np.int64)
+        return zip(row[piece], chunk.bucket(own, 30), chunk.refined(own),
+                   chunk.member(own, low, docs), chunk.low - zero, chunk.high - zero)
+
+    together, alone = [], []
+    for row, chunk in gathered:
+        piece, zero = chunk.places((chunk.anchor, chunk.low, chunk.high))
+        together += groups(row, chunk, piece, zero, (chunk.low - zero).astype(np.uint64))
+    for i, text in enumerate(texts):
+        for chunk in repeats._chunks(text, 60, 30, 8):
+            none = np.zeros(len(chunk.low), dtype=int)
+            alone += groups(np.array([i]), chunk, none, none - chunk.first,
+                            (chunk.low + chunk.first).astype(np.uint64))
+    assert sorted(together) == sorted(alone) and len(alone) > 100
