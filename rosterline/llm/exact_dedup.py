@@ -98,11 +98,13 @@ def block_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows have equal identities exactly if their texts are equal after lower-casing A-Z.
     """
     raw = F.encode(fold_case(F.col(text_col)), "UTF-8")
-    cut = docs.select(F.col(id_col).alias("doc_id"), raw.alias("raw")).select(
+    # Stored, as the sort by range reads its input twice, once for the bounds of the ranges.
+    cut = settle(docs.select(F.col(id_col).alias("doc_id"), raw.alias("raw")).select(
         F.monotonically_increasing_id().alias("row_id"), "doc_id", "raw",
-        F.greatest(F.lit(1), F.ceil(F.octet_length("raw") / block_bytes)).cast("int").alias("n"))
+        F.greatest(F.lit(1), F.ceil(F.octet_length("raw") / block_bytes)).cast("int").alias("n"),
+        F.sha2("raw", 256).alias("sha")))
     blocks = cut.select(
-        "row_id", "doc_id", "n", F.sha2("raw", 256).alias("sha"),
+        "row_id", "doc_id", "n", "sha",
         F.posexplode(F.transform(
             F.sequence(F.lit(0), F.col("n") - 1),
             lambda i: F.substring(F.col("raw"), i * block_bytes + 1, F.lit(block_bytes))))

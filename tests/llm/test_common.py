@@ -102,3 +102,12 @@ def test_queries_return_a_row_per_document(spark, tmp_path):
         assert columns <= set(found.columns), name
         ids = [r["doc_id"] for r in found.select("doc_id").collect()]
         assert sorted(ids) == [5 * i for i in range(len(texts))], name
+
+
+def test_fold_case_of_odd_texts(spark):
+    texts = ["", "ABC", "@AZ[`az{", "aB\nÉÀ\u212aKxYZ", "ZÉ", "ÉZ", "İI\u0130i\U0001d400A\x00B",
+             "ẞSSß", "É" * 3, "A" * 3 + "\r\n" + "é"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    folded = [r[0] for r in df.select(fold_case(F.col("t"))).collect()]
+    assert folded == [t.encode().lower().decode() for t in texts]
+    assert "translate" not in df.select(fold_case(F.col("t")))._jdf.queryExecution().toString()

@@ -57,6 +57,21 @@ def test_exact_empty_table(spark):
     assert exact_dedup(documents(spark, ["a"]).limit(0)).count() == 0
 
 
+def test_exact_dedup_reads_each_text_once(spark):
+    """Texts are folded and hashed once, not again for the bounds of the sort by range."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    texts = ["Éa", "éA", "ÉA", "x" * 700]
+    counted = documents(spark, texts).withColumn("text", F.udf(seen)("text"))
+    rows = exact_dedup(counted).collect()
+    assert read.value == len(texts) and sorted(r.group_size for r in rows) == [1, 1, 2, 2]
+
+
+
 # Near-dedup
 
 def shingles(text: str | None) -> frozenset:
