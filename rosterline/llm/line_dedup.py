@@ -170,18 +170,20 @@ def _listed(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
         .drop("word", "flags"))
 
 
-def _shared_keys(coded: DataFrame) -> DataFrame:
-    """kind (0 segment, 1 probe), h0 and key, for keys that several lines have.
+def _shared_keys(coded: DataFrame, max_edits: int) -> DataFrame:
+    """h0, key and whether it is of a segment of the line itself, for keys that occur repeatedly.
 
-    The places of a line's own segments are among its probes, so these are all that is counted.
+    The places of a line's own segments are among its probes, so these are all that is computed
+    and counted. A key that one line alone has twice passes too and meets no other line's.
     """
     shared = settle(
-        coded.select("h0", F.explode("probe").alias("key")).groupBy("key")
-        .agg(F.min("h0").alias("least"), F.max("h0").alias("most"))
-        .filter("least <> most").select("key"))
-    every = coded.select("h0", F.explode("index").alias("key"), F.lit(0).alias("kind")) \
-        .unionByName(coded.select("h0", F.explode("probe").alias("key"), F.lit(1).alias("kind")))
-    return settle(_listed(every, "key", shared).filter("listed").select("kind", "h0", "key"))
+        coded.select(F.explode("probe").alias("key")).groupBy("key")
+        .agg(F.count("*").alias("n")).filter("n > 1").select("key"))
+    places = _probe_places(max_edits)
+    own = [places.index(p) for p in _segment_places(max_edits)]
+    every = coded.select("h0", F.posexplode("probe").alias("place", "key"))
+    return settle(_listed(every, "key", shared).filter("listed").select(
+        "h0", "key", F.col("place").isin(own).alias("own")))
 
 
 def line_links(docs: DataFrame, lines: DataFrame, firsts: DataFrame,
@@ -198,9 +200,8 @@ def line_links(docs: DataFrame, lines: DataFrame, firsts: DataFrame,
     coded = settle(
         distinct.select("h0", F.length("line").alias("length"),
                         F.encode("line", "UTF-32").alias("wide"))
-        .select("h0", _keys(_segment_places(max_edits), max_edits).alias("index"),
-                _keys(_probe_places(max_edits), max_edits).alias("probe")))
-    shared = _shared_keys(coded)
+        .select("h0", _keys(_probe_places(max_edits), max_edits).alias("probe")))
+    shared = _shared_keys(coded, max_edits)
     # Texts are fetched for these lines only, from the documents that have them.
     wanted = settle(shared.select("h0").distinct())
     homes = lines.join(wanted, "h0", "left_semi").select("k0")
@@ -210,9 +211,9 @@ def line_links(docs: DataFrame, lines: DataFrame, firsts: DataFrame,
         .agg(F.min("h0").alias("h0"), F.min("h1").alias("h1"))
         .withColumn("counts", _counts()))
     keyed = settle(shared.join(texts.select("h0", "counts"), "h0"))
-    index = keyed.filter("kind = 0").select(
+    index = keyed.filter("own").select(
         "key", F.col("h0").alias("x"), F.col("counts").alias("counts_x"))
-    probe = keyed.filter("kind = 1").select(
+    probe = keyed.select(
         "key", F.col("h0").alias("y"), F.col("counts").alias("counts_y"))
     met = settle(
         index.join(probe, "key")
@@ -233,11 +234,12 @@ def line_links(docs: DataFrame, lines: DataFrame, firsts: DataFrame,
 
 def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
                  copy_chars: int | None = None) -> DataFrame:
-    """Per line that ``_lines`` lists: k0, k1, line_no, first, near, n_links.
+    """Per line that has a copy or a near line: k0, k1, line_no, first, near, n_links.
 
     ``first`` says whether it is the first of all equal lines, ``near`` whether a different line
     within ``max_edits`` edits comes before all its equals; n_links counts such lines, before or
-    after. Only lines of at least ``min_chars`` characters are compared by edits.
+    after. Only lines of at least ``min_chars`` characters are compared by edits. All other lines
+    that ``_lines`` lists are first, not near and without links.
     """
     lines = settle(_lines(docs, min_chars, copy_chars).select("k0", "k1", "place", "line_no", "h0", "h1"))
     firsts = settle(lines.groupBy("h0", "h1").agg(
@@ -253,7 +255,8 @@ def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = M
     linked = (
         both.join(firsts, ["h0", "h1"]).join(other, ["g0", "g1"])
         .groupBy("h0", "h1").agg(F.count("*").alias("n_links"), F.bool_or(earlier).alias("near")))
-    known = settle(firsts.drop("copies").join(linked, ["h0", "h1"], "left"))
+    known = settle(firsts.join(linked, ["h0", "h1"], "left")
+                   .filter("copies > 1 or n_links is not null").drop("copies"))
     return lines.join(known, ["h0", "h1"]).select(
         "k0", "k1", "line_no", (F.col("place") == F.col("begin")).alias("first"),
         F.coalesce("near", F.lit(False)).alias("near"),

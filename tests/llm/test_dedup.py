@@ -342,6 +342,17 @@ def test_short_copies(spark, tmp_path):
         0: texts[0], 1: "\n\t\nx", 2: "read mora\n\t"}
 
 
+def test_line_classes_list_no_lone_lines(spark):
+    """Lines without a copy or a near line are neither joined nor gathered per document."""
+    from rosterline.llm.line_dedup import _keyed, line_classes
+
+    line = "a line of some more than thirty-two characters"
+    texts = [line + "\nalone: " + "x" * 30, line, line + "s", "alone, too: " + "y" * 30]
+    found = line_classes(_keyed(documents(spark, texts), "doc_id", "text"))
+    rows = [(r.line_no, r.first, r.near, r.n_links) for r in found.collect()]
+    assert sorted(rows) == [(0, False, False, 1), (0, True, False, 1), (0, True, True, 1)]
+
+
 def test_line_report_is_native(spark):
     plan = line_report(documents(spark, line_corpus()))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", plan)
